@@ -169,13 +169,14 @@ def series_gate(cells: DataFrame, validation_days: int = VALIDATION_DAYS) -> Dat
 def split_holdout(weekly: DataFrame, validation_days: int = VALIDATION_DAYS) -> DataFrame:
     """Flag training weeks and describe the training part on every row of its series.
 
-    Adds ``validation_start``, ``is_train``, ``train_weeks``, ``train_end`` and ``yearly``.
+    Adds ``last_week``, ``validation_start``, ``is_train``, ``train_weeks``, ``train_end`` and
+    ``yearly``.
     """
     whole = series_window()
-    start = F.date_sub(F.max("ds").over(whole), validation_days - 1)
     train_day = F.when(F.col("is_train"), F.col("ds"))
     return (
-        weekly.withColumn("validation_start", start)
+        weekly.withColumn("last_week", F.max("ds").over(whole))
+        .withColumn("validation_start", F.date_sub("last_week", validation_days - 1))
         .withColumn("is_train", F.col("ds") < F.col("validation_start"))
         .withColumn("train_weeks", F.count(train_day).over(whole))
         .withColumn("train_end", F.max(train_day).over(whole))
