@@ -27,11 +27,3 @@ def to_log_scale(col: Column) -> Column:
 
 def from_log_scale(col: Column) -> Column:
     return F.expm1(col)
-
-
-def total(columns: list[Column]) -> Column:
-    """The sum of many expressions as one flat expression."""
-    out = F.lit(0.0)
-    for c in columns:
-        out = out + c
-    return out

@@ -11,7 +11,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.numeric import total
 from shelfcast.operators.holidays import week_holiday_flag
 from shelfcast.schemas import LAG, PROMO, WEATHER
 
@@ -29,10 +28,10 @@ def regressor_names(df: DataFrame) -> list[str]:
     return [c for c in [*PROMO, *WEATHER, LAG] if c in df.columns]
 
 
-def yearly_terms(day: Column) -> list[Column]:
-    """Sine and cosine of one to ten cycles per year."""
-    angle = F.unix_date(day) * (2 * math.pi / YEAR_DAYS)
-    return [f(angle * k) for k in range(1, YEARLY_ORDER + 1) for f in (F.sin, F.cos)]
+def yearly_terms(day: str = "ds") -> list[str]:
+    """Sine and cosine of one to ten cycles per year, as SQL text."""
+    rates = [2 * math.pi * k / YEAR_DAYS for k in range(1, YEARLY_ORDER + 1)]
+    return [f"{f}(unix_date({day}) * {rate!r}D)" for rate in rates for f in ("sin", "cos")]
 
 
 def holiday_term(day: Column, last_week: Column, match: str = "sunday") -> Column:
@@ -49,54 +48,46 @@ def design(rows: DataFrame, by: list[str], holiday_match: str = "sunday") -> Dat
     """
     names = regressor_names(rows)
     group = Window.partitionBy(*by)
-    train = F.col("is_train")
 
-    def over_train(agg, value: Column) -> Column:
-        return agg(F.when(train, value)).over(group)
+    def over_train(agg: str, value: str) -> Column:
+        return F.expr(f"{agg}(if(is_train, {value}, null))").over(group)
 
-    scaled = rows
     stats = {
-        "t0": over_train(F.min, F.col("ds")),
-        "_t1": over_train(F.max, F.col("ds")),
-        "weeks": F.count(F.when(train, F.lit(1))).over(group),
-        "_top": over_train(F.max, F.abs("y")),
+        "t0": over_train("min", "ds"),
+        "_t1": over_train("max", "ds"),
+        "weeks": over_train("count", "1"),
+        "_top": over_train("max", "abs(y)"),
     }
     for c in names:
-        stats[f"_avg_{c}"] = over_train(F.avg, F.col(c))
-        stats[f"_std_{c}"] = over_train(F.stddev_samp, F.col(c))
-        stats[f"_min_{c}"] = over_train(F.min, F.col(c))
-        stats[f"_max_{c}"] = over_train(F.max, F.col(c))
-        stats[f"_binary_{c}"] = over_train(F.min, F.col(c).isin(0.0, 1.0).cast("int"))
-    scaled = scaled.withColumns(stats)
-
-    def as_is(c: str) -> Column:
-        two_values = (F.col(f"_binary_{c}") == 1) & (F.col(f"_min_{c}") != F.col(f"_max_{c}"))
-        constant = F.col(f"_min_{c}") == F.col(f"_max_{c}")
-        return two_values | constant
-
-    centers = {c: F.when(as_is(c), 0.0).otherwise(F.col(f"_avg_{c}")) for c in names}
-    scales = {c: F.when(as_is(c), 1.0).otherwise(F.col(f"_std_{c}")) for c in names}
-    span = F.greatest(F.datediff("_t1", "t0"), F.lit(1)).cast("double")
-    top = F.when(F.col("_top") > 0, F.col("_top")).otherwise(1.0)
-    drop = [c for c in scaled.columns if c.startswith("_")]
-    scaled = scaled.withColumns(
+        stats[f"_avg_{c}"] = over_train("avg", c)
+        stats[f"_std_{c}"] = over_train("stddev_samp", c)
+        stats[f"_min_{c}"] = over_train("min", c)
+        stats[f"_max_{c}"] = over_train("max", c)
+        stats[f"_binary_{c}"] = over_train("bool_and", f"{c} in (0, 1)")
+
+    def unless_plain(c: str, scaled: str, plain: str) -> str:
+        """0/1 and constant regressors stay as they are."""
+        return f"if(_binary_{c} or _min_{c} = _max_{c}, {plain}, {scaled})"
+
+    centers = ", ".join(unless_plain(c, f"_avg_{c}", "0D") for c in names)
+    scales = ", ".join(unless_plain(c, f"_std_{c}", "1D") for c in names)
+    measured = rows.withColumns(stats)
+    scaled = measured.withColumns(
         {
-            "t_span": span,
-            "y_scale": top,
-            "centers": F.array(*[centers[c] for c in names]),
-            "scales": F.array(*[scales[c] for c in names]),
+            "t_span": F.expr("cast(greatest(datediff(_t1, t0), 1) as double)"),
+            "y_scale": F.expr("if(_top > 0, _top, 1D)"),
+            "centers": F.expr(f"array({centers})"),
+            "scales": F.expr(f"array({scales})"),
+            "_holiday": holiday_term(F.col("ds"), F.col("last_week"), holiday_match),
         }
     )
-    yearly = [F.when(F.col("yearly"), term).otherwise(0.0) for term in yearly_terms(F.col("ds"))]
-    regressors = [
-        (F.col(c) - F.col("centers")[i]) / F.col("scales")[i] for i, c in enumerate(names)
-    ]
-    flag = holiday_term(F.col("ds"), F.col("last_week"), holiday_match)
-    return (
-        scaled.withColumn("t", F.datediff("ds", "t0") / F.col("t_span"))
-        .withColumn("x", F.array(*yearly, flag, *regressors))
-        .drop(*drop)
-    )
+    yearly = [f"if(yearly, {term}, 0D)" for term in yearly_terms()]
+    regressors = [f"({c} - centers[{i}]) / scales[{i}]" for i, c in enumerate(names)]
+    features = ", ".join([*yearly, "_holiday", *regressors])
+    helpers = [c for c in scaled.columns if c.startswith("_")]
+    return scaled.withColumns(
+        {"t": F.expr("datediff(ds, t0) / t_span"), "x": F.expr(f"array({features})")}
+    ).drop(*helpers)
 
 
 def knots(weeks: Column, changepoint_range: Column) -> Column:
@@ -117,18 +108,15 @@ def trend_at(t: Column) -> Column:
     )
 
 
-def yearly_effect(day: Column) -> Column:
-    return total([F.col("beta")[i] * term for i, term in enumerate(yearly_terms(day))])
+def yearly_effect(day: str = "ds") -> Column:
+    return F.expr(" + ".join(f"beta[{i}] * {term}" for i, term in enumerate(yearly_terms(day))))
 
 
-def regressor_effect(names: list[str], values: dict[str, Column] | None = None) -> Column:
+def regressor_effect(names: list[str]) -> Column:
     """Effect of the named regressors, which are the first ones of the model's list."""
-    values = values or {}
-    return total(
-        [
-            F.col("beta")[REGRESSORS_AT + i]
-            * (values.get(c, F.col(c)) - F.col("centers")[i])
-            / F.col("scales")[i]
+    return F.expr(
+        " + ".join(
+            f"beta[{REGRESSORS_AT + i}] * ({c} - centers[{i}]) / scales[{i}]"
             for i, c in enumerate(names)
-        ]
+        )
     )

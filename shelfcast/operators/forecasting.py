@@ -60,7 +60,7 @@ def _known_parts(rows: DataFrame, names: list[str], holiday_match: str) -> DataF
     return rows.withColumns(
         {
             "_level": trend_at(F.col("t")),
-            "_yearly": yearly_effect(F.col("ds")),
+            "_yearly": yearly_effect(),
             "_holidays": F.col("beta")[HOLIDAY_AT] * flag,
             "_regressors": regressor_effect(names),
         }
