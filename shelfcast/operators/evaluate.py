@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.dates import week_series
 from shelfcast.functions.metrics import accuracy
 from shelfcast.functions.numeric import is_finite
 from shelfcast.schemas import METRICS, SERIES
@@ -52,6 +53,17 @@ def naive_forecast(split: DataFrame) -> DataFrame:
     return held.select(*SERIES, "ds", lag.alias("yhat"))
 
 
+def naive_by_fold(weekly: DataFrame, folds: DataFrame) -> DataFrame:
+    """The test weeks of every fold, forecast by the week before."""
+    weeks = folds.select(
+        *SERIES,
+        "fold",
+        F.explode(week_series(F.date_add("cutoff", 7), F.col("test_end"))).alias("ds"),
+    )
+    rows = weekly.select(*SERIES, "ds", "y", F.col("y_lag1").alias("yhat"))
+    return weeks.join(rows, [*SERIES, "ds"])
+
+
 def validation_plot_rows(comparison: DataFrame, by: list[str] | None = None) -> DataFrame:
     """One row per point of the validation plot: actual, forecast and band in long form."""
     keys = [*(by or SERIES), "ds"]

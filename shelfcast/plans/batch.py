@@ -87,6 +87,14 @@ def run_batch(
     return Run(split, scored, models, forecast, comparison, components, results)
 
 
+def retrain(
+    split: DataFrame, subset: DataFrame, chosen: DataFrame, holiday_match: str = "sunday"
+) -> DataFrame:
+    """New models for a subset of the series; writing them supersedes the stored ones."""
+    wanted = split.join(subset.select(*SERIES).distinct(), SERIES, "left_semi")
+    return fitting.fit_models(wanted, chosen, holiday_match)
+
+
 def result_table(
     series: DataFrame,
     gate: DataFrame,

@@ -8,12 +8,30 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions import text
-from shelfcast.operators import frozen, ingest, inventory, weekly
+from shelfcast.durable import settle
+from shelfcast.functions import numeric, text
+from shelfcast.operators import (
+    evaluate,
+    fitting,
+    forecasting,
+    frozen,
+    grid,
+    holidays,
+    ingest,
+    inventory,
+    monitoring,
+    quality,
+    regressors,
+    tuning,
+    weekly,
+)
+from shelfcast.plans import batch
 from shelfcast.plans import standins as given
 from shelfcast.plans.present import present
-from shelfcast.sources import dimensions, sales as sales_source, series_list, weather
-from shelfcast.sources.tables import with_partition_day
+from shelfcast.schemas import PARAMETERS
+from shelfcast.sources import dimensions, series_list, weather
+from shelfcast.sources import sales as sales_source
+from shelfcast.sources.tables import latest_models, with_partition_day
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +43,16 @@ SEEDS = given.STOCK_SEED_FILES
 QUALIFY = {"since": "1999-01-01", "min_days": 12, "seen_by": "1999-12-31", "seen_from": "2000-01-01"}
 
 
+#: A grid of eight records, for runs that are about the rest of the pipeline.
+SMALL_GRID = {
+    "changepoint_prior_scale": [0.05, 0.5],
+    "seasonality_prior_scale": [0.1, 10.0],
+    "holidays_prior_scale": [10.0],
+    "seasonality_mode": ["additive", "multiplicative"],
+    "changepoint_range": [0.8],
+}
+
+
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -346,3 +374,487 @@ def qualified_skus_by_contract(spark, sf):
         inventory.qualified_skus(given.sku_sales(spark, sf), **QUALIFY),
         given.trimmed_catalog(spark, sf),
     )
+
+
+# --- holdout, holidays, future weeks ------------------------------------------------------
+
+KEYS = ["SKU_ID", "Channel", "Unit"]
+
+
+def split(spark, sf):
+    return weekly.split_holdout(features(spark, sf))
+
+
+def training(spark, sf):
+    return split(spark, sf).where("is_train")
+
+
+def town_daily(spark, sf):
+    return sales_source.daily_sales(given.sales(spark, sf).withColumn("unit", F.col("town")))
+
+
+@query
+def holiday_flags(spark, sf):
+    rows = weekly.weekly_features(daily(spark, sf))
+    return rows.select(
+        *KEYS,
+        "ds",
+        holidays.week_holiday_flag(F.col("ds")).alias("on_sunday"),
+        holidays.week_holiday_flag(F.col("ds"), "week").alias("in_week"),
+    )
+
+
+@query
+def holiday_calendar(spark, sf):
+    """Holidays per series, with the stock days of the test tables as extra days off."""
+    extra = given.landing_stocks(spark, sf).select(F.col("date").alias("ds"))
+    return holidays.holiday_calendar(weekly.weekly_features(daily(spark, sf)), KEYS, extra)
+
+
+@query
+def series_years(spark, sf):
+    return holidays.series_years(weekly.weekly_features(daily(spark, sf)), KEYS)
+
+
+@query
+def training_means(spark, sf):
+    return regressors.training_means(split(spark, sf))
+
+
+@query
+def future_weeks(spark, sf):
+    return regressors.future_weeks(split(spark, sf))
+
+
+def weekly_outlook(spark, sf):
+    days = weather.limit_forecast(given.weather(spark, sf), "2001-10-20", 16)
+    return weather.weekly_weather(days)
+
+
+def future(spark, sf):
+    return regressors.future_regressors(split(spark, sf), weekly_outlook(spark, sf))
+
+
+@query
+def future_regressors(spark, sf):
+    return future(spark, sf)
+
+
+@query
+def future_regressors_without_holdout(spark, sf):
+    """Nothing held out: the promotion is assumed, the weather is the training mean."""
+    return regressors.future_regressors(
+        weekly.split_holdout(features(spark, sf), validation_days=0)
+    )
+
+
+@query
+def history_future_scaffold(spark, sf):
+    return regressors.scaffold(split(spark, sf), future(spark, sf)).drop("step")
+
+
+@query
+def fill_forward_backward(spark, sf):
+    rows = weekly.weekly_features(daily(spark, sf)).select(
+        *KEYS, "ds", *[F.nullif(F.col(c), F.lit(0.0)).alias(c) for c in ("y", "Promo_discount_perc")]
+    )
+    return regressors.fill_forward_backward(rows, ["y", "Promo_discount_perc"])
+
+
+# --- accuracy -----------------------------------------------------------------------------
+
+
+def naive_comparison(spark, sf):
+    held = split(spark, sf)
+    return evaluate.forecast_vs_actual(
+        held.where(~F.col("is_train")), evaluate.naive_forecast(held)
+    )
+
+
+@query
+def forecast_vs_actual(spark, sf):
+    return naive_comparison(spark, sf)
+
+
+@query
+def naive_metrics(spark, sf):
+    return evaluate.rounded_metrics(evaluate.score(naive_comparison(spark, sf)))
+
+
+@query
+def validation_plot(spark, sf):
+    return evaluate.validation_plot_rows(naive_comparison(spark, sf))
+
+
+@query
+def run_summary(spark, sf):
+    done = evaluate.score(naive_comparison(spark, sf)).withColumn("Status", F.lit(weekly.SUCCESS))
+    finite = evaluate.finite_rows(done, "WAPE")
+    return evaluate.mean_metrics(finite)
+
+
+@query
+def status_counts(spark, sf):
+    """Series of single customers, by what the data gate and the training gate say."""
+    by_customer = given.sales(spark, sf).withColumn("unit", F.col("customer_ID"))
+    rows = sales_source.daily_sales(by_customer)
+    cells = weekly.weekly_cells(rows)
+    gate = weekly.series_gate(cells).select(*KEYS, F.col("status").alias("gate"))
+    summary = weekly.split_summary(weekly.split_holdout(weekly.fill_weeks(cells)))
+    joined = gate.join(summary.select(*KEYS, "status"), KEYS, "left")
+    status = F.coalesce("gate", "status", F.lit(weekly.SUCCESS))
+    return evaluate.status_counts(joined.select(status.alias("Status")))
+
+
+# --- tuning -------------------------------------------------------------------------------
+
+
+@query
+def series_profile(spark, sf):
+    return grid.series_profile(training(spark, sf))
+
+
+@query
+def param_grid(spark, sf):
+    return grid.default_grid(weekly.date_range(daily(spark, sf)))
+
+
+@query
+def param_grid_by_series(spark, sf):
+    """Town series are sparse: the grid shrinks where zeros are many."""
+    train = weekly.split_holdout(weekly.weekly_features(town_daily(spark, sf))).where("is_train")
+    return grid.profiled_grid(grid.series_profile(train)).groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.countDistinct("param_id").alias("ids"),
+        F.max("param_id").alias("last_id"),
+        F.max_by("seasonality_mode", "param_id").alias("last_mode"),
+        F.sum("changepoint_prior_scale").alias("sum_changepoint"),
+        F.sum(F.col("seasonality_prior_scale") * F.col("param_id")).alias("sum_seasonality"),
+    )
+
+
+@query
+def cv_schedule(spark, sf):
+    return grid.cv_schedule(training(spark, sf))
+
+
+def many_folds(spark, sf):
+    return grid.cv_schedule(
+        training(spark, sf), grid.initial_weeks(F.col("train_weeks"), automatic=True)
+    )
+
+
+@query
+def cv_schedule_automatic(spark, sf):
+    return many_folds(spark, sf)
+
+
+def scored_grid(spark, sf):
+    """A score for every record by formula, some of them infinite."""
+    train = training(spark, sf)
+    profile = grid.series_profile(train)
+    records = grid.with_manual_record(grid.profiled_grid(profile), profile)
+    rows = records.join(profile.select(*KEYS, "n_points"), KEYS)
+    mixed = (F.col("param_id") * 37 + F.col("n_points") * 11) % 101
+    failed = F.col("param_id") % 10 == 7
+    return rows.select(
+        *KEYS,
+        "param_id",
+        *PARAMETERS,
+        F.when(failed, float("inf")).otherwise(mixed / 101.0).alias("smape"),
+        F.when(failed, float("inf"))
+        .otherwise((F.col("param_id") * 53 + F.col("n_points")) % 211 / 10.0)
+        .alias("mae"),
+    )
+
+
+@query
+def best_params(spark, sf):
+    return tuning.best_params(scored_grid(spark, sf))
+
+
+@query
+def param_impact(spark, sf):
+    return tuning.param_impact(scored_grid(spark, sf))
+
+
+@query
+def param_scatter(spark, sf):
+    return tuning.param_scatter(scored_grid(spark, sf))
+
+
+@query
+def tuned_beside_manual(spark, sf):
+    return tuning.tuned_beside_manual(scored_grid(spark, sf))
+
+
+@query
+def params_with_overrides(spark, sf):
+    """Hand-picked values for the series of one unit replace the tuned ones."""
+    best = tuning.best_params(scored_grid(spark, sf))
+    chosen = {**{p: F.lit(None) for p in PARAMETERS}, "changepoint_prior_scale": F.lit(0.5)}
+    overrides = best.where(F.col("Unit") == "ASIA").select(
+        *KEYS, *[chosen[p].cast(best.schema[p].dataType).alias(p) for p in PARAMETERS]
+    )
+    return tuning.with_overrides(best, overrides)
+
+
+# --- forecasts ----------------------------------------------------------------------------
+
+
+@query
+def recursive_ar1_forecast(spark, sf):
+    """Four weeks of ``intercept + slope * lag``, each forecast being the next week's lag."""
+    train = training(spark, sf)
+    coefficients = train.groupBy(*KEYS).agg(
+        F.regr_slope("y", "y_lag1").alias("slope"),
+        F.regr_intercept("y", "y_lag1").alias("intercept"),
+        F.max_by("y", "ds").alias("last_y"),
+        F.max("ds").alias("train_end"),
+    )
+    return forecasting.recursive_lag_forecast(coefficients)
+
+
+def manual_params(spark, sf):
+    return weekly.date_range(daily(spark, sf)).select(
+        *KEYS, *[F.lit(v).alias(p) for p, v in grid.MANUAL_RECORD.items()]
+    )
+
+
+def models(spark, sf):
+    return fitting.fit_models(split(spark, sf), manual_params(spark, sf))
+
+
+@query
+def fit_models(spark, sf):
+    fitted = models(spark, sf)
+    plain = [f.name for f in fitted.schema.fields if f.dataType.typeName() != "array"]
+    return fitted.select(*plain, F.size("knots").alias("changepoints")).withColumn(
+        "weeks_per_bend", F.col("weeks") / F.col("changepoints")
+    )
+
+
+@query
+def iterative_forecast(spark, sf):
+    return forecasting.iterative_forecast(models(spark, sf), future(spark, sf))
+
+
+@query
+def fitted_components(spark, sf):
+    return forecasting.fitted_components(models(spark, sf), split(spark, sf), future(spark, sf))
+
+
+@query
+def model_metrics(spark, sf):
+    """Holdout accuracy of the fitted models."""
+    held = split(spark, sf).where(~F.col("is_train"))
+    forecast = forecasting.iterative_forecast(models(spark, sf), future(spark, sf))
+    return evaluate.score(evaluate.forecast_vs_actual(held, forecast))
+
+
+@query
+def weekly_forecast_job(spark, sf):
+    """Stored models forecast four weeks from the latest actuals."""
+    return forecasting.weekly_job(models(spark, sf), features(spark, sf), AS_OF)
+
+
+@query
+def retrained_models(spark, sf):
+    """The series with the worst naive forecast get new models; the newest one counts."""
+    held = settle(split(spark, sf), "weekly")
+    naive = evaluate.score(
+        evaluate.forecast_vs_actual(held.where(~F.col("is_train")), evaluate.naive_forecast(held))
+    )
+    params = manual_params(spark, sf)
+    old = fitting.fit_models(held, params).withColumn("trained_at", F.lit("2001-11-04").cast("timestamp"))
+    new = batch.retrain(held, naive.where("WAPE > 1"), params)
+    stored = old.unionByName(new.withColumn("trained_at", F.lit("2001-11-11").cast("timestamp")))
+    return latest_models(stored).select(*KEYS, "trained_at", "status", "sigma", "slope", "weeks")
+
+
+@query
+def tuning_results(spark, sf):
+    """Cross-validation scores of the whole grid of every series."""
+    train = settle(training(spark, sf), "train")
+    records = grid.profiled_grid(grid.series_profile(train))
+    return tuning.tune(train, records, grid.cv_schedule(train))
+
+
+@query
+def run_results(spark, sf):
+    """The whole run over the listed series with a small grid."""
+    run = batch.run_batch(
+        given.sales(spark, sf),
+        series_list.normalise_series_list(given.series_list(spark, sf)),
+        given.weather(spark, sf),
+        given.weather(spark, sf),
+        param_grid=SMALL_GRID,
+    )
+    return run.results
+
+
+# --- quality and features -----------------------------------------------------------------
+
+
+@query
+def outliers_mad(spark, sf):
+    rows = quality.outliers(weekly.weekly_features(daily(spark, sf)))
+    return rows.select(*KEYS, "ds", "y", "y_original", "is_outlier")
+
+
+@query
+def rolling_features(spark, sf):
+    return quality.rolling_features(features(spark, sf)).drop(
+        "Promo_discount_perc", "is_promo", *given.WEATHER
+    )
+
+
+@query
+def weather_extremes(spark, sf):
+    sold = town_daily(spark, sf).select("ds").distinct()
+    return quality.weekly_extremes(given.weather(spark, sf).join(sold, "ds", "left_semi"))
+
+
+@query
+def regressor_correlation(spark, sf):
+    return quality.regressor_correlation(features(spark, sf))
+
+
+@query
+def regressor_information(spark, sf):
+    return quality.regressor_information(features(spark, sf))
+
+
+@query
+def regressor_selection(spark, sf):
+    return quality.regressor_selection(features(spark, sf)).select(*KEYS, "regressor", "keep")
+
+
+@query
+def seasonality_mode(spark, sf):
+    return quality.seasonality_mode(weekly.weekly_features(daily(spark, sf)))
+
+
+@query
+def dow_profile(spark, sf):
+    return quality.day_of_week_profile(daily(spark, sf))
+
+
+@query
+def quality_report(spark, sf):
+    return quality.quality_report(weekly.weekly_cells(town_daily(spark, sf)))
+
+
+@query
+def log_scale_target(spark, sf):
+    """The optional log scale of the target and its inverse."""
+    rows = weekly.weekly_features(daily(spark, sf))
+    logged = numeric.to_log_scale(F.col("y"))
+    return rows.select(
+        *KEYS, "ds", logged.alias("y_log"), numeric.from_log_scale(logged).alias("y_back")
+    )
+
+
+# --- monitoring ---------------------------------------------------------------------------
+
+
+def stored_forecasts(spark, sf):
+    """Every week forecast by the one before, as rows of the forecast table."""
+    rows = weekly.weekly_features(daily(spark, sf))
+    return rows, rows.select(
+        *KEYS,
+        F.date_sub("ds", 7).alias("forecast_date"),
+        F.col("ds").alias("target_date"),
+        F.col("y_lag1").alias("predicted_quantity"),
+    )
+
+
+def matched(spark, sf):
+    rows, stored = stored_forecasts(spark, sf)
+    return monitoring.forecasts_beside_actuals(stored, rows)
+
+
+@query
+def forecasts_beside_actuals(spark, sf):
+    return matched(spark, sf)
+
+
+@query
+def monitor_long(spark, sf):
+    return monitoring.metrics_long(matched(spark, sf), AS_OF)
+
+
+@query
+def metric_trend(spark, sf):
+    return monitoring.metric_trend(matched(spark, sf), ["Unit"])
+
+
+@query
+def worst_models(spark, sf):
+    return monitoring.worst_models(evaluate.score(naive_comparison(spark, sf)))
+
+
+@query
+def alerts(spark, sf):
+    return monitoring.alerts(monitoring.weekly_scores(matched(spark, sf)))
+
+
+@query
+def score_issues(spark, sf):
+    comparison = matched(spark, sf).select(*KEYS, F.col("target_date").alias("ds"), "y", "yhat")
+    return monitoring.score_issues(comparison)
+
+
+@query
+def success_criteria(spark, sf):
+    scores = evaluate.score(matched(spark, sf).withColumn("ds", F.col("target_date")))
+    return monitoring.success_criteria(scores)
+
+
+def members(spark, sf):
+    """Three simple forecasts of the holdout: last week, four weeks' mean, training mean."""
+    held = split(spark, sf)
+    order = weekly.series_window("ds").rowsBetween(-4, -1)
+    mean = F.avg(F.when(F.col("is_train"), F.col("y"))).over(weekly.series_window())
+    rows = held.select(
+        *KEYS,
+        "ds",
+        "is_train",
+        F.col("y_lag1").alias("last"),
+        F.avg("y").over(order).alias("four"),
+        mean.alias("level"),
+    )
+    return rows.where(~F.col("is_train")).unpivot(
+        [*KEYS, "ds"], ["last", "four", "level"], "member", "yhat"
+    )
+
+
+@query
+def ensemble(spark, sf):
+    return monitoring.ensemble(members(spark, sf))
+
+
+@query
+def ensemble_weighted(spark, sf):
+    """Members weighted by one over their training error."""
+    rows = split(spark, sf).where("is_train")
+    mean = F.avg("y").over(weekly.series_window())
+    four = F.avg("y").over(weekly.series_window("ds").rowsBetween(-4, -1))
+    errors = rows.select(
+        *KEYS,
+        F.abs(F.col("y") - F.col("y_lag1")).alias("last"),
+        F.abs(F.col("y") - F.coalesce(four, F.lit(0.0))).alias("four"),
+        F.abs(F.col("y") - mean).alias("level"),
+    )
+    weights = (
+        errors.unpivot(KEYS, ["last", "four", "level"], "member", "error")
+        .groupBy(*KEYS, "member")
+        .agg((1.0 / (1.0 + F.avg("error"))).alias("weight"))
+    )
+    return monitoring.ensemble(members(spark, sf), weights)
+
+
+@query
+def rolling_origin(spark, sf):
+    held = evaluate.naive_by_fold(training(spark, sf), many_folds(spark, sf))
+    return monitoring.rolling_origin(held)
