@@ -94,10 +94,11 @@ def knots(weeks: Column, changepoint_range: Column) -> Column:
     """Scaled times of the changepoints: even over the first part of a gap-free history."""
     reach = F.floor(weeks * changepoint_range).cast("int")
     count = F.least(F.lit(CHANGEPOINTS), reach - 1)
-    return F.transform(
-        F.sequence(F.lit(1), count),
-        lambda j: F.rint(j * (reach - 1) / count) / (weeks - 1),
+    placed = F.transform(
+        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+        lambda j: F.try_divide(F.rint(F.try_divide(j * (reach - 1), count)), weeks - 1),
     )
+    return F.when(count > 0, placed).otherwise(F.array().cast("array<double>"))
 
 
 def trend_at(t: Column) -> Column:

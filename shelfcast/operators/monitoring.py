@@ -155,7 +155,7 @@ def ensemble(forecasts: DataFrame, weights: DataFrame | None = None) -> DataFram
     else:
         rows = forecasts.join(weights.select(*SERIES, "member", "weight"), [*SERIES, "member"])
     return rows.groupBy(*SERIES, "ds").agg(
-        (F.sum(F.col("weight") * F.col("yhat")) / F.sum("weight")).alias("yhat"),
+        F.try_divide(F.sum(F.col("weight") * F.col("yhat")), F.sum("weight")).alias("yhat"),
         F.count(F.lit(1)).alias("members"),
     )
 

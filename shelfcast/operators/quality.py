@@ -78,9 +78,11 @@ def _regressors(df: DataFrame) -> list[str]:
 def regressor_correlation(weekly: DataFrame) -> DataFrame:
     """Pearson correlation of each regressor with the target; NULL for a constant one."""
     names = _regressors(weekly)
-    wide = weekly.groupBy(*SERIES).agg(
-        *[F.nanvl(F.corr(c, "y"), F.lit(None).cast("double")).alias(c) for c in names]
-    )
+
+    def correlation(c: str) -> Column:
+        return F.try_divide(F.covar_pop(c, "y"), F.stddev_pop(c) * F.stddev_pop("y"))
+
+    wide = weekly.groupBy(*SERIES).agg(*[correlation(c).alias(c) for c in names])
     return wide.unpivot(SERIES, names, "regressor", "correlation")
 
 
@@ -156,7 +158,9 @@ def seasonality_mode(weekly: DataFrame) -> DataFrame:
     q1, q2 = F.sum(F.col("n") * F.col("season")), F.sum(F.col("n") * F.col("season") * F.col("season"))
 
     def spread(count: Column, total: Column, squares: Column) -> Column:
-        return F.sqrt(F.greatest((squares - total * total / count) / (count - 1), F.lit(0.0)))
+        return F.sqrt(
+            F.greatest(F.try_divide(squares - total * total / count, count - 1), F.lit(0.0))
+        )
 
     stats = phases.groupBy(*SERIES).agg(
         n.alias("weeks"),
