@@ -17,7 +17,9 @@ from shelfcast.schemas import PARAMETERS, SERIES
 
 TREND_SCALE = 5.0
 NOISE_SCALE = 0.5
-ROUNDS = 12
+#: Reweighting steps: few to rank records, more for the model that is kept.
+ROUNDS_TO_RANK = 8
+ROUNDS_TO_KEEP = 20
 SMALLEST_BEND = 1e-4
 
 MODEL_SCHEMA = (
@@ -40,7 +42,25 @@ def _solve(gram, moment, noise, precision):
     return np.linalg.solve(a, b[:, :, None])[:, :, 0]
 
 
-def map_estimates(y, trend, x, bend_scale, effect_scale, multiplicative):
+class _Grams:
+    """Weighted Gram matrices of fixed columns for many weight vectors in one product."""
+
+    def __init__(self, columns):
+        self.size = columns.shape[1]
+        self.upper = np.triu_indices(self.size)
+        self.pairs = columns[:, self.upper[0]] * columns[:, self.upper[1]]
+
+    def weighted(self, weights):
+        out = np.empty((len(weights), self.size, self.size))
+        values = weights @ self.pairs
+        out[:, self.upper[0], self.upper[1]] = values
+        out[:, self.upper[1], self.upper[0]] = values
+        return out
+
+
+def map_estimates(
+    y, trend, x, bend_scale, effect_scale, multiplicative, rounds=ROUNDS_TO_KEEP
+):
     """Posterior modes for many prior settings on the same data.
 
     ``trend`` holds the columns 1, t and one hinge per changepoint, whose weights have Laplace
@@ -54,26 +74,26 @@ def map_estimates(y, trend, x, bend_scale, effect_scale, multiplicative):
     shape[:, 2:] = 1.0 / bend_scale[:, None] ** 2
     effect_precision = 1.0 / effect_scale**2
     noise = np.full(settings, max(float(np.var(y)), 1e-6))
-    theta, beta = np.zeros((settings, q)), np.zeros((settings, p))
-    both = np.hstack([trend, x])
-    joint_gram, joint_moment = both.T @ both, both.T @ y
-    for _ in range(ROUNDS):
+    beta = np.zeros((settings, p))
+    if multiplicative:
+        trend_grams, x_grams = _Grams(trend), _Grams(x)
+    else:
+        both = np.hstack([trend, x])
+        gram, moment = (both.T @ both)[None], both.T @ y
+    for _ in range(rounds):
         if multiplicative:
             lift = 1.0 + beta @ x.T
-            d = trend[None] * lift[:, :, None]
-            dt = d.transpose(0, 2, 1)
-            theta = _solve(dt @ d, dt @ y, noise, shape)
+            theta = _solve(trend_grams.weighted(lift**2), (lift * y) @ trend, noise, shape)
             level = theta @ trend.T
-            d = x[None] * level[:, :, None]
-            dt = d.transpose(0, 2, 1)
-            rest = (dt @ (y[None] - level)[:, :, None])[:, :, 0]
-            beta = _solve(dt @ d, rest, noise, effect_precision)
+            beta = _solve(
+                x_grams.weighted(level**2),
+                (level * (y - level)) @ x,
+                noise,
+                effect_precision,
+            )
             fitted = level * (1.0 + beta @ x.T)
         else:
-            precision = np.hstack([shape, effect_precision])
-            joint = _solve(
-                np.broadcast_to(joint_gram, (settings, q + p, q + p)), joint_moment, noise, precision
-            )
+            joint = _solve(gram, moment, noise, np.hstack([shape, effect_precision]))
             theta, beta = joint[:, :q], joint[:, q:]
             fitted = joint @ both.T
         rss = ((y[None] - fitted) ** 2).sum(axis=1)
@@ -91,13 +111,16 @@ def predicted(theta, beta, trend, x, multiplicative):
     return level * (1.0 + effect) if multiplicative else level + effect
 
 
-def _matrices(pdf: pd.DataFrame):
-    """Scaled target, trend columns and features of the rows of one group."""
-    t = pdf["t"].to_numpy(float)
-    bends = np.asarray(pdf["knots"].iloc[0], float)
-    trend = np.column_stack([np.ones_like(t), t, np.maximum(t[:, None] - bends[None], 0.0)])
+def _trend(t, bends):
+    """Columns of the piecewise linear trend: level, slope and one hinge per changepoint."""
+    bends = np.asarray(bends, float)
+    return np.column_stack([np.ones_like(t), t, np.maximum(t[:, None] - bends[None], 0.0)])
+
+
+def _arrays(pdf: pd.DataFrame):
+    """Scaled target, scaled time and features of the rows of one group."""
     y = pdf["y"].to_numpy(float) / float(pdf["y_scale"].iloc[0])
-    return y, trend, np.stack(pdf["x"].to_numpy()).astype(float)
+    return y, pdf["t"].to_numpy(float), np.stack(pdf["x"].to_numpy()).astype(float)
 
 
 def _effect_scales(seasonal, holidays, width: int):
@@ -121,11 +144,11 @@ def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
     try:
         if pd.isna(last["changepoint_prior_scale"]):
             raise ValueError("no valid parameters")
-        y, trend, x = _matrices(pdf)
+        y, t, x = _arrays(pdf)
         multiplicative = last["seasonality_mode"] == "multiplicative"
         theta, beta, sigma = map_estimates(
             y,
-            trend,
+            _trend(t, last["knots"]),
             x,
             np.array([last["changepoint_prior_scale"]], float),
             _effect_scales(
@@ -148,14 +171,21 @@ def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([row])
 
 
+def spread_for_fits(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Several partitions per core: a fit costs time, not bytes, so sizes say nothing."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(4 * cores, *keys)
+
+
 def fit_models(split: DataFrame, params: DataFrame, holiday_match: str = "sunday") -> DataFrame:
     """One fitted model per series, from its training weeks and chosen parameters.
 
-    ``params`` has one row per series; a series without one gets a failed model row.
+    ``params`` has one row per series; a series without one gets a failed model row.  The rows
+    are exchanged once, for the scaling window and the fit alike.
     """
     names = regressor_names(split)
     train = split.where("is_train").join(params.select(*SERIES, *PARAMETERS), SERIES, "left")
-    ready = design(train, SERIES, holiday_match).select(
+    ready = design(spread_for_fits(train, SERIES), SERIES, holiday_match).select(
         *SERIES, *PARAMETERS, "yearly", "weeks", "t0", "t_span", "y_scale", "last_week",
         "ds", "y", "t", "x", "centers", "scales",
         F.array(*[F.lit(c) for c in names]).alias("regressors"),
@@ -168,40 +198,51 @@ HELD_SCHEMA = (
     "SKU_ID string, Channel string, Unit string, fold int, param_id int, ds date, y double, "
     "yhat double, error string"
 )
+HELD_COLUMNS = [*SERIES, "fold", "param_id", "ds", "y", "yhat", "error"]
 
 
 def fit_and_hold_out(pdf: pd.DataFrame, records: pd.DataFrame) -> pd.DataFrame:
-    """Predictions of the held-out weeks for every record of one (series, fold, range, mode)."""
+    """Predictions of the held-out weeks of one series and fold for every record.
+
+    Records with the same changepoint range and mode share their matrices and are solved
+    together.
+    """
     if pdf.empty or records.empty:
-        return pd.DataFrame(columns=[*SERIES, "fold", "param_id", "ds", "y", "yhat", "error"])
-    pdf, records = pdf.sort_values("ds"), records.sort_values("param_id")
+        return pd.DataFrame(columns=HELD_COLUMNS)
+    pdf = pdf.sort_values("ds")
     train = pdf["is_train"].to_numpy(bool)
-    held = pdf[~train]
-    error = None
-    try:
-        y, trend, x = _matrices(pdf)
-        multiplicative = records["seasonality_mode"].iloc[0] == "multiplicative"
-        theta, beta, _ = map_estimates(
-            y[train],
-            trend[train],
-            x[train],
-            records["changepoint_prior_scale"].to_numpy(float),
-            _effect_scales(
-                records["seasonality_prior_scale"], records["holidays_prior_scale"], x.shape[1]
-            ),
-            multiplicative,
+    held = pdf.loc[~train, [*SERIES, "fold", "ds", "y"]]
+    y, t, x = _arrays(pdf)
+    scale = float(pdf["y_scale"].iloc[0])
+    parts = []
+    for (_, mode), same in records.groupby(["changepoint_range", "seasonality_mode"]):
+        error = None
+        try:
+            trend = _trend(t, same["knots"].iloc[0])
+            theta, beta, _ = map_estimates(
+                y[train],
+                trend[train],
+                x[train],
+                same["changepoint_prior_scale"].to_numpy(float),
+                _effect_scales(
+                    same["seasonality_prior_scale"], same["holidays_prior_scale"], x.shape[1]
+                ),
+                mode == "multiplicative",
+                ROUNDS_TO_RANK,
+            )
+            yhat = scale * predicted(theta, beta, trend[~train], x[~train], mode == "multiplicative")
+        except Exception as problem:  # noqa: BLE001 - an error is a result of the record
+            error = str(problem)
+            yhat = np.full((len(same), len(held)), np.nan)
+        part = held.loc[held.index.repeat(len(same))]
+        parts.append(
+            part.assign(
+                param_id=np.tile(same["param_id"].to_numpy(), len(held)),
+                yhat=yhat.T.reshape(-1),
+                error=error,
+            )
         )
-        yhat = predicted(theta, beta, trend[~train], x[~train], multiplicative)
-        yhat = yhat * float(pdf["y_scale"].iloc[0])
-    except Exception as problem:  # noqa: BLE001 - an error is a result of the record
-        error = str(problem)
-        yhat = np.full((len(records), len(held)), np.nan)
-    out = held[[*SERIES, "fold", "ds", "y"]]
-    out = out.loc[out.index.repeat(len(records))].reset_index(drop=True)
-    out["param_id"] = np.tile(records["param_id"].to_numpy(), len(held))
-    out["yhat"] = yhat.T.reshape(-1)
-    out["error"] = error
-    return out[[*SERIES, "fold", "param_id", "ds", "y", "yhat", "error"]]
+    return pd.concat(parts)[HELD_COLUMNS]
 
 
 def held_out_predictions(
@@ -209,8 +250,8 @@ def held_out_predictions(
 ) -> DataFrame:
     """Cross-validation predictions of every record on every fold.
 
-    Work is split by series, fold, changepoint range and mode: the records of one such group
-    share their feature matrices and are solved together.
+    One group is one series and fold: its weekly rows, bounded by the calendar, and its
+    records, bounded by the grid.
     """
     by_fold = [*SERIES, "fold"]
     rows = (
@@ -218,19 +259,20 @@ def held_out_predictions(
         .where(F.col("ds") <= F.col("test_end"))
         .withColumn("is_train", F.col("ds") <= F.col("cutoff"))
     )
-    ready = design(rows, by_fold, holiday_match).select(
-        *by_fold, "ds", "y", "is_train", "weeks", "y_scale", "t", "x"
+    ready = design(spread_for_fits(rows, by_fold), by_fold, holiday_match).select(
+        *by_fold, "ds", "y", "is_train", "y_scale", "t", "x"
     )
-    by_task = [*by_fold, "changepoint_range", "seasonality_mode"]
-    tried = folds.select(*by_fold).join(records, SERIES)
-    tasks = tried.select(*by_task).distinct()
-    work = ready.join(tasks, by_fold).withColumn(
-        "knots", knots(F.col("weeks"), F.col("changepoint_range"))
+    tried = folds.select(*by_fold, "weeks_before").join(records, SERIES)
+    tried = spread_for_fits(
+        tried.select(
+            # New column identities, because both sides stem from the same frame.
+            *[F.col(c).alias(c) for c in [*by_fold, "param_id", *PARAMETERS]],
+            knots(F.col("weeks_before"), F.col("changepoint_range")).alias("knots"),
+        ),
+        by_fold,
     )
-    # Both sides stem from the same frame; new column identities tell them apart.
-    tried = tried.select(*[F.col(c).alias(c) for c in tried.columns])
     return (
-        work.groupBy(*by_task)
-        .cogroup(tried.groupBy(*by_task))
+        ready.groupBy(*by_fold)
+        .cogroup(tried.groupBy(*by_fold))
         .applyInPandas(fit_and_hold_out, HELD_SCHEMA)
     )
