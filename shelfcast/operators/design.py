@@ -47,7 +47,12 @@ def design(rows: DataFrame, by: list[str], holiday_match: str = "sunday") -> Dat
     scaled unless they are 0/1 or constant.
     """
     names = regressor_names(rows)
-    group = Window.partitionBy(*by)
+    # Ordered, so that rounding does not depend on how the rows arrive.
+    group = (
+        Window.partitionBy(*by)
+        .orderBy("ds")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
 
     def over_train(agg: str, value: str) -> Column:
         return F.expr(f"{agg}(if(is_train, {value}, null))").over(group)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.durable import broadcast_if_small
 from shelfcast.schemas import LAG, PROMO, SERIES, WEATHER
 
 HORIZON_WEEKS = 4
@@ -38,8 +39,8 @@ def future_regressors(
 ) -> DataFrame:
     """One row per series and future week with promotion and weather.
 
-    ``weather_forecast`` is weekly (see ``weekly_weather``): one row per calendar week.
-    A regressor without forecast and training mean is 0.
+    ``weather_forecast`` is weekly (see ``weekly_weather``).  A regressor without forecast and
+    training mean is 0.
     """
     weather = [c for c in WEATHER if c in split.columns]
     train = F.col("is_train")
@@ -75,7 +76,7 @@ def future_regressors(
         renamed = weather_forecast.select(
             "ds", *[F.col(c).alias(f"_fc_{c}") for c in forecast_names]
         )
-        out = out.join(F.broadcast(renamed), "ds", "left")
+        out = out.join(broadcast_if_small(renamed), "ds", "left")
 
     def filled(name: str) -> Column:
         options = [F.col(f"_fc_{name}")] if name in forecast_names else []

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.durable import broadcast_if_small
 from shelfcast.functions.dates import closing_sunday, span_days, week_series
 from shelfcast.schemas import LAG, PROMO, SERIES, TEMPERATURES, WEATHER
 from shelfcast.sources.weather import weekly_weather
@@ -35,14 +36,10 @@ def series_window(*order_by: str):
 
 
 def join_daily_weather(daily: DataFrame, weather: DataFrame) -> DataFrame:
-    """Daily weather beside every sales row; a day without weather counts as 0.
-
-    The weather table has one row per calendar day, so its size is bounded by the calendar.
-    """
+    """Daily weather beside every sales row; a day without weather counts as 0."""
     present = [c for c in WEATHER if c in weather.columns]
-    return daily.join(F.broadcast(weather.select("ds", *present)), "ds", "left").fillna(
-        0.0, subset=present
-    )
+    days = broadcast_if_small(weather.select("ds", *present))
+    return daily.join(days, "ds", "left").fillna(0.0, subset=present)
 
 
 def weekly_cells(
@@ -83,7 +80,7 @@ def weekly_cells(
         F.max("ds").alias("last_day"),
     )
     if weather is not None and not by_row:
-        # One row per calendar week: bounded like the daily table.
+        # Grouped by week: one row per calendar week, whatever the weather table holds.
         by_week = weekly_weather(weather).withColumnRenamed("ds", "week")
         cells = cells.join(F.broadcast(by_week), "week", "left")
     return cells
