@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from shelfcast.durable import settle
 from shelfcast.functions.dates import iso_day
+from shelfcast.functions.numeric import at_least_zero, from_log_scale, to_log_scale
 from shelfcast.operators import evaluate, fitting, forecasting, grid, regressors, tuning, weekly
-from shelfcast.schemas import METRICS, PARAMETERS, SERIES
+from shelfcast.schemas import LAG, METRICS, PARAMETERS, SERIES
 from shelfcast.sources.sales import daily_sales
 from shelfcast.sources.weather import weekly_weather
 
@@ -51,22 +53,28 @@ def run_batch(
     overrides: DataFrame | None = None,
     weather_grain: str = "day",
     holiday_match: str = "sunday",
+    log_target: bool = False,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Run:
     """Clean, aggregate, tune, fit, forecast and score every series of ``series``.
 
     The sales are scanned once.  Weekly cells, tuning results and models are written to the
     shared folder because several later steps read them.  Every requested series appears
     in the results, whatever became of it.
+
+    ``log_target`` tunes and fits on log(1 + y) and reports on the scale of the data.
+    ``prepare`` is applied to the weekly rows first, for instance outlier handling.
     """
     daily = daily_sales(sales, series, start_date, end_date)
     cells = settle(weekly.weekly_cells(daily, weather, weather_grain), "cells")
     gate = weekly.series_gate(cells, validation_days)
     passed = gate.where(F.col("status").isNull()).select(*SERIES)
-    split = weekly.split_holdout(
-        weekly.fill_weeks(cells.join(passed, SERIES, "left_semi")), validation_days
-    )
-    split = settle(split, "weekly")
-    ready = split.where(F.col("train_weeks") >= weekly.MIN_TRAIN_WEEKS)
+    filled = weekly.fill_weeks(cells.join(passed, SERIES, "left_semi"))
+    if prepare is not None:
+        filled = prepare(filled)
+    split = settle(weekly.split_holdout(filled, validation_days), "weekly")
+    observed = split.where(F.col("train_weeks") >= weekly.MIN_TRAIN_WEEKS)
+    ready = log_scale(observed) if log_target else observed
     train = ready.where("is_train")
 
     if param_grid is None:
@@ -81,12 +89,24 @@ def run_batch(
     by_week = None if weather_forecast is None else weekly_weather(weather_forecast)
     future = regressors.future_regressors(ready, by_week)
     forecast = forecasting.iterative_forecast(models, future, holiday_match)
-    comparison = evaluate.forecast_vs_actual(ready.where(~F.col("is_train")), forecast)
+    if log_target:
+        forecast = natural_scale(forecast)
+    comparison = evaluate.forecast_vs_actual(observed.where(~F.col("is_train")), forecast)
     components = forecasting.fitted_components(models, ready, future, holiday_match)
     results = result_table(series, gate, split, models, comparison, validation_days)
     return Run(split, scored, models, forecast, comparison, components, results)
 
 
+def log_scale(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: to_log_scale(F.col(c)) for c in ("y", LAG)})
+
+
+def natural_scale(forecast: DataFrame) -> DataFrame:
+    return forecast.withColumns(
+        {c: at_least_zero(from_log_scale(F.col(c))) for c in evaluate.FORECAST_COLUMNS}
+    )
+
+
 def retrain(
     split: DataFrame, subset: DataFrame, chosen: DataFrame, holiday_match: str = "sunday"
 ) -> DataFrame:

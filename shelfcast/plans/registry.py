@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfcast.durable import settle
 from shelfcast.functions import numeric, text
 from shelfcast.operators import (
+    design,
     evaluate,
     fitting,
     forecasting,
@@ -28,7 +29,7 @@ from shelfcast.operators import (
 from shelfcast.plans import batch
 from shelfcast.plans import standins as given
 from shelfcast.plans.present import present
-from shelfcast.schemas import PARAMETERS
+from shelfcast.schemas import PARAMETERS, PROMO, WEATHER
 from shelfcast.sources import dimensions, series_list, weather
 from shelfcast.sources import sales as sales_source
 from shelfcast.sources.tables import latest_models, with_partition_day
@@ -62,6 +63,11 @@ def query(fn: Query) -> Query:
     return run
 
 
+def stored(df):
+    """Weekly rows that several model steps read are written once, as in the batch run."""
+    return settle(df, "weekly")
+
+
 def daily(spark, sf):
     return sales_source.daily_sales(given.sales(spark, sf))
 
@@ -211,14 +217,13 @@ def split_summary(spark, sf):
 
 @query
 def daily_sales_seed(spark, sf):
-    return given.main_sales(spark, sf)
+    return given.seeded_sales(given.landing_sales(spark, sf))
 
 
 @query
 def daily_sales_merge(spark, sf):
-    return ingest.daily_merge(
-        given.main_sales(spark, sf), given.landing_sales(spark, sf), trim=True, placeholder=True
-    )
+    landing = given.landing_sales(spark, sf)
+    return ingest.daily_merge(given.seeded_sales(landing), landing, trim=True, placeholder=True)
 
 
 @query
@@ -230,13 +235,15 @@ def daily_stock_merge(spark, sf):
 
 @query
 def placeholder_row(spark, sf):
-    newest = ingest.newest_file(given.main_sales(spark, sf), given.landing_sales(spark, sf))
+    landing = given.landing_sales(spark, sf)
+    newest = ingest.newest_file(given.seeded_sales(landing), landing)
     return ingest.placeholder_row(newest)
 
 
 @query
 def load_audit(spark, sf):
-    newest = ingest.newest_file(given.main_sales(spark, sf), given.landing_sales(spark, sf))
+    landing = given.landing_sales(spark, sf)
+    newest = ingest.newest_file(given.seeded_sales(landing), landing)
     return ingest.load_audit(newest, "main_sales", AS_OF)
 
 
@@ -244,7 +251,7 @@ def load_audit(spark, sf):
 def load_status(spark, sf):
     landing = given.landing_sales(spark, sf)
     again = ingest.load_status(landing, landing)
-    return ingest.load_status(given.main_sales(spark, sf), landing).unionByName(again)
+    return ingest.load_status(given.seeded_sales(landing), landing).unionByName(again)
 
 
 @query
@@ -312,14 +319,15 @@ def frozen_stocks(spark, sf):
 # --- stock cover --------------------------------------------------------------------------
 
 
-def report(spark, sf, **kw):
+def report(spark, sf, sales=None, **kw):
+    sales = given.sku_sales(spark, sf) if sales is None else sales
     return inventory.stock_cover_report(
-        given.sku_sales(spark, sf),
+        sales,
         ingest.replay(given.landing_stocks(spark, sf)),
         given.customers(spark, sf),
         given.goods(spark, sf),
         given.catalog(spark, sf),
-        given.forecasts(spark, sf),
+        given.forecasts(spark, sf, sales),
         given.warehouse_map(spark, sf),
         as_of=AS_OF,
         **kw,
@@ -344,12 +352,18 @@ def report_with_forecast(spark, sf):
 
 @query
 def report_sku_overlap(spark, sf):
-    return inventory.skus_with_any_forecast(report(spark, sf), given.forecasts(spark, sf))
+    sales = given.sku_sales(spark, sf)
+    return inventory.skus_with_any_forecast(
+        report(spark, sf, sales), given.forecasts(spark, sf, sales)
+    )
 
 
 @query
 def forecast_vs_report(spark, sf):
-    return inventory.forecast_beside_report(given.forecasts(spark, sf), report(spark, sf))
+    sales = given.sku_sales(spark, sf)
+    return inventory.forecast_beside_report(
+        given.forecasts(spark, sf, sales), report(spark, sf, sales)
+    )
 
 
 @query
@@ -538,21 +552,16 @@ def cv_schedule(spark, sf):
     return grid.cv_schedule(training(spark, sf))
 
 
-def many_folds(spark, sf):
+@query
+def cv_schedule_automatic(spark, sf):
     return grid.cv_schedule(
         training(spark, sf), grid.initial_weeks(F.col("train_weeks"), automatic=True)
     )
 
 
-@query
-def cv_schedule_automatic(spark, sf):
-    return many_folds(spark, sf)
-
-
 def scored_grid(spark, sf):
     """A score for every record by formula, some of them infinite."""
-    train = training(spark, sf)
-    profile = grid.series_profile(train)
+    profile = grid.series_profile(training(spark, sf))
     records = grid.with_manual_record(grid.profiled_grid(profile), profile)
     rows = records.join(profile.select(*KEYS, "n_points"), KEYS)
     mixed = (F.col("param_id") * 37 + F.col("n_points") * 11) % 101
@@ -615,57 +624,82 @@ def recursive_ar1_forecast(spark, sf):
     return forecasting.recursive_lag_forecast(coefficients)
 
 
-def manual_params(spark, sf):
-    return weekly.date_range(daily(spark, sf)).select(
+def manual_params(split_rows):
+    return split_rows.select(*KEYS).distinct().select(
         *KEYS, *[F.lit(v).alias(p) for p, v in grid.MANUAL_RECORD.items()]
     )
 
 
-def models(spark, sf):
-    return fitting.fit_models(split(spark, sf), manual_params(spark, sf))
+def fitted(spark, sf):
+    """Weekly rows with holdout flags, models fitted to them, and their future weeks."""
+    held = stored(split(spark, sf))
+    models = fitting.fit_models(held, manual_params(held))
+    return held, models, regressors.future_regressors(held, weekly_outlook(spark, sf))
 
 
 @query
-def fit_models(spark, sf):
-    fitted = models(spark, sf)
-    plain = [f.name for f in fitted.schema.fields if f.dataType.typeName() != "array"]
-    return fitted.select(*plain, F.size("knots").alias("changepoints")).withColumn(
-        "weeks_per_bend", F.col("weeks") / F.col("changepoints")
+def model_features(spark, sf):
+    """Scaled time and the feature vector of every training week."""
+    rows = design.design(training(spark, sf), KEYS)
+    features_ = [F.col("x")[i].alias(f"x_{i}") for i in range(design.REGRESSORS_AT + 7)]
+    return rows.select(*KEYS, "ds", "weeks", "y_scale", "t", *features_)
+
+
+@query
+def changepoints(spark, sf):
+    """Scaled times of the possible trend changes, per series and changepoint range."""
+    counted = training(spark, sf).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("weeks"))
+    ranges = F.explode(F.array(*[F.lit(v) for v in grid.DEFAULT_GRID["changepoint_range"]]))
+    placed = counted.select(*KEYS, "weeks", ranges.alias("changepoint_range")).select(
+        *KEYS,
+        "changepoint_range",
+        F.posexplode(design.knots(F.col("weeks"), F.col("changepoint_range"))).alias("i", "t"),
     )
+    return placed
+
+
+@query
+def fit_models(spark, sf):
+    _, models, _ = fitted(spark, sf)
+    plain = [f.name for f in models.schema.fields if f.dataType.typeName() != "array"]
+    return models.select(*plain, F.size("knots").alias("changepoints"))
 
 
 @query
 def iterative_forecast(spark, sf):
-    return forecasting.iterative_forecast(models(spark, sf), future(spark, sf))
+    _, models, future_rows = fitted(spark, sf)
+    return forecasting.iterative_forecast(models, future_rows)
 
 
 @query
 def fitted_components(spark, sf):
-    return forecasting.fitted_components(models(spark, sf), split(spark, sf), future(spark, sf))
+    held, models, future_rows = fitted(spark, sf)
+    return forecasting.fitted_components(stored(models), held, future_rows)
 
 
 @query
 def model_metrics(spark, sf):
     """Holdout accuracy of the fitted models."""
-    held = split(spark, sf).where(~F.col("is_train"))
-    forecast = forecasting.iterative_forecast(models(spark, sf), future(spark, sf))
-    return evaluate.score(evaluate.forecast_vs_actual(held, forecast))
+    held, models, future_rows = fitted(spark, sf)
+    forecast = forecasting.iterative_forecast(models, future_rows)
+    return evaluate.score(evaluate.forecast_vs_actual(held.where(~F.col("is_train")), forecast))
 
 
 @query
 def weekly_forecast_job(spark, sf):
     """Stored models forecast four weeks from the latest actuals."""
-    return forecasting.weekly_job(models(spark, sf), features(spark, sf), AS_OF)
+    held, models, _ = fitted(spark, sf)
+    return forecasting.weekly_job(models, held.select(*KEYS, "ds", "y", "y_lag1", *PROMO, *WEATHER), AS_OF)
 
 
 @query
 def retrained_models(spark, sf):
     """The series with the worst naive forecast get new models; the newest one counts."""
-    held = settle(split(spark, sf), "weekly")
+    held = stored(split(spark, sf))
     naive = evaluate.score(
         evaluate.forecast_vs_actual(held.where(~F.col("is_train")), evaluate.naive_forecast(held))
     )
-    params = manual_params(spark, sf)
+    params = manual_params(held)
     old = fitting.fit_models(held, params).withColumn("trained_at", F.lit("2001-11-04").cast("timestamp"))
     new = batch.retrain(held, naive.where("WAPE > 1"), params)
     stored = old.unionByName(new.withColumn("trained_at", F.lit("2001-11-11").cast("timestamp")))
@@ -675,7 +709,7 @@ def retrained_models(spark, sf):
 @query
 def tuning_results(spark, sf):
     """Cross-validation scores of the whole grid of every series."""
-    train = settle(training(spark, sf), "train")
+    train = stored(training(spark, sf))
     records = grid.profiled_grid(grid.series_profile(train))
     return tuning.tune(train, records, grid.cv_schedule(train))
 
@@ -705,7 +739,7 @@ def outliers_mad(spark, sf):
 @query
 def rolling_features(spark, sf):
     return quality.rolling_features(features(spark, sf)).drop(
-        "Promo_discount_perc", "is_promo", *given.WEATHER
+        "Promo_discount_perc", "is_promo", *WEATHER
     )
 
 
@@ -811,9 +845,8 @@ def success_criteria(spark, sf):
     return monitoring.success_criteria(scores)
 
 
-def members(spark, sf):
+def members(held):
     """Three simple forecasts of the holdout: last week, four weeks' mean, training mean."""
-    held = split(spark, sf)
     order = weekly.series_window("ds").rowsBetween(-4, -1)
     mean = F.avg(F.when(F.col("is_train"), F.col("y"))).over(weekly.series_window())
     rows = held.select(
@@ -831,13 +864,14 @@ def members(spark, sf):
 
 @query
 def ensemble(spark, sf):
-    return monitoring.ensemble(members(spark, sf))
+    return monitoring.ensemble(members(split(spark, sf)))
 
 
 @query
 def ensemble_weighted(spark, sf):
     """Members weighted by one over their training error."""
-    rows = split(spark, sf).where("is_train")
+    held = split(spark, sf)
+    rows = held.where("is_train")
     mean = F.avg("y").over(weekly.series_window())
     four = F.avg("y").over(weekly.series_window("ds").rowsBetween(-4, -1))
     errors = rows.select(
@@ -851,10 +885,11 @@ def ensemble_weighted(spark, sf):
         .groupBy(*KEYS, "member")
         .agg((1.0 / (1.0 + F.avg("error"))).alias("weight"))
     )
-    return monitoring.ensemble(members(spark, sf), weights)
+    return monitoring.ensemble(members(held), weights)
 
 
 @query
 def rolling_origin(spark, sf):
-    held = evaluate.naive_by_fold(training(spark, sf), many_folds(spark, sf))
-    return monitoring.rolling_origin(held)
+    train = training(spark, sf)
+    folds = grid.cv_schedule(train, grid.initial_weeks(F.col("train_weeks"), automatic=True))
+    return monitoring.rolling_origin(evaluate.naive_by_fold(train, folds))

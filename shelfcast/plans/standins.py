@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import closing_sunday, weekday_name
 from shelfcast.schemas import WEATHER
-from shelfcast.sources.dimensions import GOODS_NUMBERS, GOODS_TEXTS
+from shelfcast.operators.ingest import seed_except_month
+from shelfcast.sources.dimensions import GOODS_NUMBERS, GOODS_TEXTS, goods_attributes
 
 #: The last sales date of the test tables, used wherever a reporting day is needed.
 AS_OF = "2001-11-04"
@@ -135,11 +136,9 @@ def landing_sales(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def main_sales(spark: SparkSession, sf: str) -> DataFrame:
+def seeded_sales(landing: DataFrame) -> DataFrame:
     """The clean sales table before the newest file: every file but November 2001's."""
-    from shelfcast.operators.ingest import seed_except_month
-
-    return seed_except_month(landing_sales(spark, sf), "2001-11")
+    return seed_except_month(landing, "2001-11")
 
 
 def landing_stocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,14 +231,12 @@ def goods_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def goods(spark: SparkSession, sf: str) -> DataFrame:
-    from shelfcast.sources.dimensions import goods_attributes
-
     return goods_attributes(goods_source(spark, sf))
 
 
-def forecasts(spark: SparkSession, sf: str) -> DataFrame:
+def forecasts(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
     """Forecasts for each channel and unit a part was sold in; small sizes are not planned."""
-    sold = sku_sales(spark, sf).select(F.col("SKU_ID").alias("sku_id"), "channel", "unit").distinct()
+    sold = lines.select(F.col("SKU_ID").alias("sku_id"), "channel", "unit").distinct()
     part = (
         _read(spark, sf, "part")
         .where(F.col("p_size") > 10)

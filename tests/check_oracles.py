@@ -61,9 +61,8 @@ def sql_result(con, sql):
     return table_rows([c[0] for c in cur.description], cur.fetchall())
 
 
-def compare(spark, con, sf_dir, query, sql):
+def compare(con, df, sql):
     """None when equal, else a short text."""
-    df = query(spark, sf_dir)
     names, got = table_rows(df.columns, [tuple(r) for r in df.collect()])
     want_names, want = sql_result(con, sql)
     if names != want_names:
@@ -105,7 +104,7 @@ def main(argv):
         began = time.time()
         try:
             if name in oracles:
-                problem = compare(spark, con, sf_dir, query, oracles[name])
+                problem = compare(con, query(spark, sf_dir), oracles[name])
                 n = "=" if problem is None else "!"
             else:
                 rows = query(spark, sf_dir).collect()

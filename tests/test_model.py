@@ -14,6 +14,7 @@ from shelfcast.operators import (
     forecasting,
     grid,
     holidays,
+    quality,
     regressors,
     tuning,
     weekly,
@@ -271,3 +272,25 @@ def test_batch_reports_every_series(spark, daily_frame):
     assert got["short"].error_message == "20 days available, 42 required"
     assert got["good"].validation_start == "2024-07-08" and got["good"].min_date == "2024-01-01"
     assert run.forecast.count() == 4 and run.components.where("step > 0").count() == 4
+
+
+def test_log_scale_and_prepared_weeks(spark, daily_frame):
+    """The optional log scale reports on the data's scale; prepared rows reach the model."""
+    first = D(2024, 1, 1)
+    daily = daily_frame(
+        [("a", str(first + dt.timedelta(days=i)), 500 if i == 60 else 3 + i % 3, 0) for i in range(203)]
+    )
+    sales = daily.select(
+        "SKU_ID", F.col("Channel").alias("channel"), F.col("Unit").alias("unit"), F.col("ds").alias("date"),
+        F.col("y").alias("quantity"), "Promo_discount_perc",
+    )
+    run = batch.run_batch(
+        sales,
+        daily.select(*SERIES).distinct(),
+        param_grid={k: [v] for k, v in LOOSE.items()},
+        log_target=True,
+        prepare=quality.outliers,
+    )
+    assert run.weekly.where("is_outlier").count() == 1
+    assert run.results.first().Status == weekly.SUCCESS
+    assert run.comparison.where("yhat between 20 and 40").count() == 2

@@ -1,26 +1,13 @@
 """What the physical plans must and must not contain."""
 
-import pytest
-
 import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 
-#: Queries that run jobs while they are put together.
-EAGER = {"tuning_results", "run_results", "retrained_models"}
-
-
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
-def test_no_pairwise_joins(spark, sf, name):
-    plan = plan_of(QUERIES[name](spark, sf))
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
-
-
 def test_features_shuffle_partial_sums(spark, sf):
     """Lines are summed before the exchange, and only cells are exchanged again."""
     plan = plan_of(QUERIES["weekly_lag"](spark, sf))
