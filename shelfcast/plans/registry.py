@@ -702,8 +702,8 @@ def retrained_models(spark, sf):
     params = manual_params(held)
     old = fitting.fit_models(held, params).withColumn("trained_at", F.lit("2001-11-04").cast("timestamp"))
     new = batch.retrain(held, naive.where("WAPE > 1"), params)
-    stored = old.unionByName(new.withColumn("trained_at", F.lit("2001-11-11").cast("timestamp")))
-    return latest_models(stored).select(*KEYS, "trained_at", "status", "sigma", "slope", "weeks")
+    versions = old.unionByName(new.withColumn("trained_at", F.lit("2001-11-11").cast("timestamp")))
+    return latest_models(versions).select(*KEYS, "trained_at", "status", "sigma", "slope", "weeks")
 
 
 @query
@@ -804,8 +804,8 @@ def stored_forecasts(spark, sf):
 
 
 def matched(spark, sf):
-    rows, stored = stored_forecasts(spark, sf)
-    return monitoring.forecasts_beside_actuals(stored, rows)
+    rows, table = stored_forecasts(spark, sf)
+    return monitoring.forecasts_beside_actuals(table, rows)
 
 
 @query
