@@ -1,4 +1,4 @@
-"""Lineage cuts that survive executor loss, and checked broadcasts."""
+"""Lineage cuts that survive executor loss, checked broadcasts, spreading of costly rows."""
 
 from __future__ import annotations
 
@@ -45,3 +45,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Several partitions per core, by ``keys``.
+
+    For rows that cost time rather than bytes (a fit, a row to be repeated many times): their
+    size says nothing, so the number is given and not left to adaptive coalescing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(4 * cores, *keys)
+
+
+#: Rows made from one row at once when rows are repeated.
+REPEAT_CHUNK = 1024
+
+
+def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its ``times`` column says, without that column.
+
+    Rows become chunks, the chunks are spread over the cluster, and each is unrolled where it
+    lands: a row repeated a billion times neither sits in one task nor in one array.
+    """
+    names = [c for c in df.columns if c != times]
+    whole = F.floor((F.col(times) - 1) / REPEAT_CHUNK).cast("bigint")
+    chunks = df.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), whole)).alias("_chunk"))
+    left = F.col(times) - F.col("_chunk") * REPEAT_CHUNK
+    size = F.least(left, F.lit(REPEAT_CHUNK)).cast("int")
+    unrolled = spread(chunks, [*names, "_chunk"]).select(
+        *names, F.explode(F.sequence(F.lit(1), size)).alias("_copy")
+    )
+    return unrolled.drop("_copy")

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.durable import spread
 from shelfcast.operators.design import HOLIDAY_AT, design, knots, regressor_names
 from shelfcast.operators.weekly import FAILED, SUCCESS
 from shelfcast.schemas import PARAMETERS, SERIES
@@ -171,12 +172,6 @@ def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([row])
 
 
-def spread_for_fits(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Several partitions per core: a fit costs time, not bytes, so sizes say nothing."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(4 * cores, *keys)
-
-
 def fit_models(split: DataFrame, params: DataFrame, holiday_match: str = "sunday") -> DataFrame:
     """One fitted model per series, from its training weeks and chosen parameters.
 
@@ -185,7 +180,7 @@ def fit_models(split: DataFrame, params: DataFrame, holiday_match: str = "sunday
     """
     names = regressor_names(split)
     train = split.where("is_train").join(params.select(*SERIES, *PARAMETERS), SERIES, "left")
-    ready = design(spread_for_fits(train, SERIES), SERIES, holiday_match).select(
+    ready = design(spread(train, SERIES), SERIES, holiday_match).select(
         *SERIES, *PARAMETERS, "yearly", "weeks", "t0", "t_span", "y_scale", "last_week",
         "ds", "y", "t", "x", "centers", "scales",
         F.array(*[F.lit(c) for c in names]).alias("regressors"),
@@ -259,11 +254,11 @@ def held_out_predictions(
         .where(F.col("ds") <= F.col("test_end"))
         .withColumn("is_train", F.col("ds") <= F.col("cutoff"))
     )
-    ready = design(spread_for_fits(rows, by_fold), by_fold, holiday_match).select(
+    ready = design(spread(rows, by_fold), by_fold, holiday_match).select(
         *by_fold, "ds", "y", "is_train", "y_scale", "t", "x"
     )
     tried = folds.select(*by_fold, "weeks_before").join(records, SERIES)
-    tried = spread_for_fits(
+    tried = spread(
         tried.select(
             # New column identities, because both sides stem from the same frame.
             *[F.col(c).alias(c) for c in [*by_fold, "param_id", *PARAMETERS]],

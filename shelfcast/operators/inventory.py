@@ -1,9 +1,9 @@
 """Stock cover report and the queries on top of it.
 
-The report has one row per sales line of the last sales day, and its other columns depend only
-on the line's (SKU, unit, channel).  Those are therefore looked up once per distinct
-combination, and the lines are joined to the result once: one shuffle of the lines at most,
-instead of one per dimension.
+The report has one row per sales line of the last sales day, but lines with the same SKU, name,
+unit and channel have the same report row.  Lines are therefore counted per combination, which
+collapses hot SKUs before anything is shuffled; values are looked up once per combination, and
+the report rows are repeated at the end.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.durable import broadcast_if_small
+from shelfcast.durable import broadcast_if_small, repeat_rows
 from shelfcast.functions.dates import as_of_day
 
 #: Days looked back, days the totals are divided by, forecast kind used.
@@ -23,21 +23,6 @@ FORECAST_KIND = "Accurate"
 
 AsOf = str | dt.date | Column | None
 
-REPORT_COLUMNS = [
-    "report_date",
-    "sku_id",
-    "sku_name",
-    "channel",
-    "contract",
-    "unit",
-    "current_stock_items",
-    "current_stock_HL",
-    "days_of_stock_remaining",
-    "hist_avg_daily_quantity_14d",
-    "predicted_avg_daily_quantity_14d",
-]
-
-
 def recent_sales(sales: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Trimmed sales of the look-back window; the date bound prunes partitions."""
     return sales.where(F.col("date") >= F.date_sub(as_of_day(as_of), LOOK_BACK_DAYS)).select(
@@ -84,7 +69,7 @@ def forecast_totals(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def stock_cover_report(
+def report_by_combination(
     sales: DataFrame,
     stocks: DataFrame,
     customers: DataFrame,
@@ -95,40 +80,19 @@ def stock_cover_report(
     as_of: AsOf = None,
     stock_by_unit: bool = False,
 ) -> DataFrame:
-    """Stock, days of cover, recent and predicted daily averages for the last day's lines."""
+    """The report with equal lines folded into one row and counted in ``lines``."""
     recent = recent_sales(sales, as_of)
     channels = customers.select(
         F.col("child_code").alias("customer_ID"), F.col("parent_3_name").alias("channel")
     )
-    lines = (
+    sold = (
         recent.where(F.col("date") == recent.agg(F.max("date")).scalar())
+        .groupBy("SKU_ID", "SKU", "unit", "customer_ID")
+        .agg(F.count(F.lit(1)).alias("lines"))
         .join(broadcast_if_small(channels), "customer_ID", "left")
-        .select("SKU_ID", "SKU", "unit", "channel")
-    )
-    keys = lines.select("SKU_ID", "unit", "channel").distinct()
-    looked_up = _report_values(
-        keys, recent, stocks, goods, catalog, forecasts, warehouse_map, stock_by_unit
-    )
-    left, right = lines.alias("l"), looked_up.alias("r")
-    same = (
-        F.col("l.SKU_ID").eqNullSafe(F.col("r.SKU_ID"))
-        & F.col("l.unit").eqNullSafe(F.col("r.unit"))
-        & F.col("l.channel").eqNullSafe(F.col("r.channel"))
-    )
-    return left.join(right, same, "left").select(
-        as_of_day(as_of).alias("report_date"),
-        F.col("l.SKU_ID").alias("sku_id"),
-        F.col("l.SKU").alias("sku_name"),
-        F.col("l.channel").alias("channel"),
-        "contract",
-        F.col("l.unit").alias("unit"),
-        *REPORT_COLUMNS[6:],
+        .groupBy("SKU_ID", "SKU", "unit", "channel")
+        .agg(F.sum("lines").alias("lines"))
     )
-
-
-def _report_values(
-    keys, recent, stocks, goods, catalog, forecasts, warehouse_map, stock_by_unit
-) -> DataFrame:
     stock = latest_stock(stocks, warehouse_map, stock_by_unit).select(
         "SKU_ID", F.col("mapped_unit").alias("unit"), "stock"
     )
@@ -145,17 +109,19 @@ def _report_values(
     items = F.coalesce(F.col("stock"), F.lit(0.0))
     pace = F.col("average_quantity")
     return (
-        keys.withColumn("_channel", F.trim("channel"))
+        sold.withColumn("_channel", F.trim("channel"))
         .join(stock, ["SKU_ID", "unit"], "left")
         .join(sales_averages(recent), ["SKU_ID", "unit"], "left")
         .join(volumes, "SKU_ID", "left")
         .join(contracts, "SKU_ID", "left")
         .join(predicted, ["SKU_ID", "unit", "_channel"], "left")
         .select(
-            "SKU_ID",
-            "unit",
+            as_of_day(as_of).alias("report_date"),
+            F.col("SKU_ID").alias("sku_id"),
+            F.col("SKU").alias("sku_name"),
             "channel",
             "contract",
+            "unit",
             items.alias("current_stock_items"),
             F.round(items * F.col("gl"), 2).alias("current_stock_HL"),
             F.when(pace > 0, F.round(F.try_divide(items, pace))).alias("days_of_stock_remaining"),
@@ -163,35 +129,56 @@ def _report_values(
             F.round(F.col("predicted_quantity") / AVERAGE_DAYS).alias(
                 "predicted_avg_daily_quantity_14d"
             ),
+            "lines",
         )
     )
 
 
+def stock_cover_report(*inputs: DataFrame, **options) -> DataFrame:
+    """Stock, days of cover, recent and predicted daily averages for the last day's lines.
+
+    Takes the arguments of :func:`report_by_combination` and has one row per sales line (and
+    matching warehouse, goods, catalog and forecast row).
+    """
+    return repeat_rows(report_by_combination(*inputs, **options), "lines")
+
+
 def with_forecast(report: DataFrame) -> DataFrame:
     return report.where(F.col("predicted_avg_daily_quantity_14d").isNotNull())
 
 
 def skus_with_any_forecast(report: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """How many SKUs of the report have a forecast of any kind."""
+    """How many SKUs of the report have a forecast of any kind.
+
+    Either form of the report will do.
+    """
     known = forecasts.select(F.trim("sku_id").alias("_sku")).distinct()
     return (
-        report.withColumn("_sku", F.trim("sku_id"))
+        report.select("sku_id", F.trim("sku_id").alias("_sku"))
+        .distinct()
         .join(known, "_sku", "left_semi")
         .agg(F.countDistinct("sku_id").alias("skus"))
     )
 
 
-def forecast_beside_report(forecasts: DataFrame, report: DataFrame) -> DataFrame:
-    """Forecast rows next to the report rows of the same SKU, whatever channel or unit."""
+def forecast_beside_report(forecasts: DataFrame, combinations: DataFrame) -> DataFrame:
+    """Forecast rows next to the report rows of the same SKU, whatever channel or unit.
+
+    ``combinations`` is the folded report: the join sees each SKU, channel and unit once, and
+    the rows are repeated after it.
+    """
     rows = forecasts.where(F.col("Type of Forecast") == FORECAST_KIND).select(
         "sku_id", "channel", "unit", "predicted_quantity", F.trim("sku_id").alias("_sku")
     )
-    beside = report.select(
-        F.trim("sku_id").alias("_sku"),
-        F.col("channel").alias("b_channel"),
-        F.col("unit").alias("b_unit"),
+    beside = (
+        combinations.groupBy(
+            F.trim("sku_id").alias("_sku"),
+            F.col("channel").alias("b_channel"),
+            F.col("unit").alias("b_unit"),
+        )
+        .agg(F.sum("lines").alias("lines"))
     )
-    return rows.join(beside, "_sku").drop("_sku")
+    return repeat_rows(rows.join(beside, "_sku").drop("_sku"), "lines")
 
 
 def qualified_skus(

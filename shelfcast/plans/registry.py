@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.durable import settle
+from shelfcast.durable import repeat_rows, settle
 from shelfcast.functions import numeric, text
 from shelfcast.operators import (
     design,
@@ -319,9 +319,9 @@ def frozen_stocks(spark, sf):
 # --- stock cover --------------------------------------------------------------------------
 
 
-def report(spark, sf, sales=None, **kw):
+def combinations(spark, sf, sales=None, **kw):
     sales = given.sku_sales(spark, sf) if sales is None else sales
-    return inventory.stock_cover_report(
+    return inventory.report_by_combination(
         sales,
         ingest.replay(given.landing_stocks(spark, sf)),
         given.customers(spark, sf),
@@ -334,6 +334,10 @@ def report(spark, sf, sales=None, **kw):
     )
 
 
+def report(spark, sf, **kw):
+    return repeat_rows(combinations(spark, sf, **kw), "lines")
+
+
 @query
 def stock_cover_report(spark, sf):
     return report(spark, sf)
@@ -354,7 +358,7 @@ def report_with_forecast(spark, sf):
 def report_sku_overlap(spark, sf):
     sales = given.sku_sales(spark, sf)
     return inventory.skus_with_any_forecast(
-        report(spark, sf, sales), given.forecasts(spark, sf, sales)
+        combinations(spark, sf, sales), given.forecasts(spark, sf, sales)
     )
 
 
@@ -362,7 +366,7 @@ def report_sku_overlap(spark, sf):
 def forecast_vs_report(spark, sf):
     sales = given.sku_sales(spark, sf)
     return inventory.forecast_beside_report(
-        given.forecasts(spark, sf, sales), report(spark, sf, sales)
+        given.forecasts(spark, sf, sales), combinations(spark, sf, sales)
     )
 
 

@@ -142,3 +142,14 @@ def test_text_and_numbers(spark):
 def test_goods_and_warehouses(spark):
     assert len(dimensions.GOODS_TEXTS) == 34 and len(dimensions.GOODS_NUMBERS) == 5
     assert dimensions.warehouse_units(spark).select("unit").distinct().count() == 5
+
+
+def test_repeated_rows_are_whole(spark):
+    """Small, exact-chunk and very frequent rows; equal rows included."""
+    chunk = durable.REPEAT_CHUNK
+    counts = [("a", 1), ("b", chunk), ("c", chunk + 1), ("hot", 50 * chunk + 7), ("a", 2), (None, 3)]
+    df = spark.createDataFrame(counts, "k string, n bigint")
+    got = {r.k: r["count"] for r in durable.repeat_rows(df, "n").groupBy("k").count().collect()}
+    assert got == {"a": 3, "b": chunk, "c": chunk + 1, "hot": 50 * chunk + 7, None: 3}
+    sizes = durable.repeat_rows(df, "n").groupBy(F.spark_partition_id()).count()
+    assert sizes.agg(F.max("count")).first()[0] < 25 * chunk
