@@ -55,7 +55,7 @@ def frozen_sales(
     )
 
 
-def untyped_frozen_sales(sales: DataFrame) -> DataFrame:
+def empty_frozen_sales(sales: DataFrame) -> DataFrame:
     """The empty snapshot table: contract and channel are typed NULLs."""
     return sales.where(F.lit(False)).select(
         "date",

@@ -185,7 +185,6 @@ def merge_into_table(
     changed = trim_text_columns(newest) if trim else newest
     if placeholder:
         extra = placeholder_row(newest)
-        day = F.broadcast(extra.select("date"))
-        beside = main.join(day, "date", "left_semi").select(*landing.columns)
+        beside = main.where(F.col("date") == extra.agg(F.max("date")).scalar())
         changed = changed.unionByName(extra).unionByName(beside)
     replace_partitions(changed, main_path, ["date"])

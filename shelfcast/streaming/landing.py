@@ -24,8 +24,11 @@ def fold_batch(batch: DataFrame, main_path: str, trim: bool = False) -> None:
     # Calendar dates and file dates: both sets are bounded by the calendar.
     days = F.broadcast(rows.select("date").distinct().withColumnRenamed("date", "_day"))
     files = F.broadcast(rows.select(FILE_DAY).distinct())
+    # The span of the batch prunes the stored partitions before the exact match.
+    first, last = (rows.agg(f("date")).scalar() for f in (F.min, F.max))
     stored = (
         read_table(batch.sparkSession, main_path, batch.schema)
+        .where(F.col("date").isNull() | F.col("date").between(first, last))
         .join(days, F.col("date").eqNullSafe(F.col("_day")), "left_semi")
         .join(files, FILE_DAY, "left_anti")
     )

@@ -2,11 +2,12 @@
 
 import datetime as dt
 import random
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from shelfcast import schemas
-from shelfcast.operators import ingest
+from shelfcast.operators import frozen, ingest
 from shelfcast.sources import tables
 from shelfcast.streaming import landing as arriving
 
@@ -156,3 +157,23 @@ def test_audit_schema_and_partition_day(spark):
     ]
     row = tables.with_partition_day(audit, "date_from_file_name", "day").first()
     assert (row.day, row.ingestion_date, row.no_of_records) == (D(2024, 1, 7), "2024-01-08", 1)
+
+
+def test_empty_snapshot_has_typed_columns(spark):
+    sales = spark.createDataFrame([], schemas.SALES)
+    empty = frozen.empty_frozen_sales(sales)
+    assert [(f.name, f.dataType) for f in empty.schema] == [
+        (f.name, f.dataType) for f in schemas.FROZEN_SALES
+    ]
+
+
+def test_arriving_batch_reads_only_near_partitions(spark, folder):
+    """Stored partitions outside the span of the batch are not listed for reading."""
+    path = f"{folder}/main"
+    rows = [(D(2024, 1, d), D(2024, 1, d), d) for d in range(1, 20)]
+    tables.overwrite(stock_rows(spark, rows), path, ["date"])
+    before = {p.name: p.stat().st_mtime_ns for p in Path(path).glob("date=*")}
+    arriving.fold_batch(stock_rows(spark, [(D(2024, 1, 5), D(2024, 2, 1), 50)]), path)
+    after = {p.name: p.stat().st_mtime_ns for p in Path(path).glob("date=*")}
+    assert {n for n in before if before[n] != after[n]} == {"date=2024-01-05"}
+    assert tables.read_table(spark, path).where("date = '2024-01-05'").first().stock == 50.0
