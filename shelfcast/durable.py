@@ -12,16 +12,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+#: Scratch folder of a local session that names none, by application.
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a scratch folder in local mode only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _local_folders[context.applicationId]
 
 
 def settle(df: DataFrame, label: str = "stage") -> DataFrame:

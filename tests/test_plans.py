@@ -25,3 +25,26 @@ def test_replay_does_not_shuffle_the_facts(spark, sf):
 def test_scan_reads_needed_columns_only(spark, sf):
     plan = plan_of(QUERIES["date_range"](spark, sf))
     assert "l_extendedprice" not in plan and "l_discount" not in plan
+
+
+def test_large_dimensions_join_by_shuffle(spark, sf, monkeypatch):
+    """Beyond the broadcast limit the joins shuffle, with the same rows."""
+    from check_oracles import compare, connect
+
+    from shelfcast.operators import frozen, inventory
+    from shelfcast.sources import sales
+
+    for module in (frozen, inventory, sales):
+        monkeypatch.setattr(module, "broadcast_if_small", lambda df: df)
+    con, sql = connect(sf), entry.oracle_sql()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("stock_cover_report", "frozen_sales", "sales_scan"):
+            df = QUERIES[name](spark, sf)
+            assert "SortMergeJoin" in plan_of(df)
+            assert "CartesianProduct" not in plan_of(df)
+            assert compare(con, df, sql[name]) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

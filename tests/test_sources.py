@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +154,19 @@ def test_repeated_rows_are_whole(spark):
     assert got == {"a": 3, "b": chunk, "c": chunk + 1, "hot": 50 * chunk + 7, None: 3}
     sizes = durable.repeat_rows(df, "n").groupBy(F.spark_partition_id()).count()
     assert sizes.agg(F.max("count")).first()[0] < 25 * chunk
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    """A scratch folder is made in local mode only."""
+
+    def session(master, named=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: named or default),
+            sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"),
+        )
+
+    assert durable.shared_folder(session("spark://m:7077", "hdfs:///shared")) == "hdfs:///shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        durable.shared_folder(session("spark://m:7077"))
+    local = durable.shared_folder(session("local[2]"))
+    assert local == durable.shared_folder(session("local[2]"))
