@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import quality_ledger
+from shelfcast.llm import quality_ledger, swap_packing, token_counts
+
+#: The vocabulary that token counts and packing use.
+VOCABULARY = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +27,26 @@ def op1_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = token_counts.count_tokens(docs, vocabulary(VOCABULARY))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return swap_packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
+    "op6_token_counts": op6_token_counts,
+    "op7_swap_packing": op7_swap_packing,
 }
 
 ORACLES: dict[str, str] = {
