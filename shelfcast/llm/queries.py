@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import quality_ledger, swap_packing, token_counts
+from shelfcast.llm import anchor_simhash, quality_ledger, swap_packing, token_counts
 
 #: The vocabulary that token counts and packing use.
 VOCABULARY = "word_bpe_49k.json"
@@ -43,10 +43,15 @@ def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return swap_packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(VOCABULARY))
 
 
+def op8_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op6_token_counts": op6_token_counts,
     "op7_swap_packing": op7_swap_packing,
+    "op8_anchor_simhash": op8_anchor_simhash,
 }
 
 ORACLES: dict[str, str] = {
