@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import anchor_simhash, quality_ledger, swap_packing, token_counts
+from shelfcast.llm import (
+    anchor_simhash,
+    quality_ledger,
+    secret_lexer,
+    swap_packing,
+    token_counts,
+)
 
 #: The vocabulary that token counts and packing use.
 VOCABULARY = "word_bpe_49k.json"
@@ -33,6 +39,21 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_secret_lexer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_lexer.find_secrets(table(spark, sf_dir, "documents"))
+    listed = F.transform(
+        "spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    )
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        "base_sha256", F.array_join(listed, ",").alias("spans"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = token_counts.count_tokens(docs, vocabulary(VOCABULARY))
@@ -49,6 +70,7 @@ def op8_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
+    "op5_secret_lexer": op5_secret_lexer,
     "op6_token_counts": op6_token_counts,
     "op7_swap_packing": op7_swap_packing,
     "op8_anchor_simhash": op8_anchor_simhash,
