@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import (
     anchor_simhash,
+    license_join,
     quality_ledger,
     secret_lexer,
     swap_packing,
     token_counts,
+    url_rules,
 )
 
 #: The vocabulary that token counts and packing use.
@@ -68,12 +70,35 @@ def op8_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchor_simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def license_columns(scanned: DataFrame) -> DataFrame:
+    return scanned.select(
+        "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").alias("first_word"), F.array_max("starts").alias("last_word"),
+        F.array_join("base", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def op9_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_columns(license_join.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("id"), F.when(bad, "block").otherwise("allow").alias("label")
+    )
+    return url_rules.judge_pages(table(spark, sf_dir, "pages"), labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op5_secret_lexer": op5_secret_lexer,
     "op6_token_counts": op6_token_counts,
     "op7_swap_packing": op7_swap_packing,
     "op8_anchor_simhash": op8_anchor_simhash,
+    "op9_license_join": op9_license_join,
+    "op10_url_rules": op10_url_rules,
 }
 
 ORACLES: dict[str, str] = {
