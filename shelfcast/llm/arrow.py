@@ -13,6 +13,15 @@ from pyspark.sql.types import StructType
 SLICE_ROWS = 500
 
 
+def _values(column: pa.Array) -> list:
+    """Python objects; NumPy arrays where the values are lists of numbers."""
+    if not (pa.types.is_list(column.type) and pa.types.is_primitive(column.type.value_type)):
+        return column.to_pylist()
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    valid = column.is_valid().to_pylist()
+    return [flat[i:j] if ok else None for ok, i, j in zip(valid, ends, ends[1:])]
+
+
 def map_lists(
     df: DataFrame,
     start: Callable[[], Callable[..., dict[str, list]]],
@@ -22,8 +31,8 @@ def map_lists(
     """``mapInArrow`` over lists: ``start()`` is called once in a task and gives the function for a slice.
 
     The first ``carry`` columns of ``df`` pass through unread and come first in the result.  The
-    function takes one list for each other column, in order, and returns a list for each column
-    of ``schema``; it may change the number of rows where nothing is carried.
+    function takes one list for each other column, in order, and returns a list or Arrow array for
+    each column of ``schema``; it may change the number of rows where nothing is carried.
     """
     kept = df.schema.fields[:carry]
     whole = StructType(kept + schema.fields)
@@ -33,8 +42,11 @@ def map_lists(
         for batch in batches:
             for low in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(low, SLICE_ROWS)
-                new = work(*[column.to_pylist() for column in part.columns[carry:]])
-                made = [pa.array(new[f.name], f.type) for f in arrow]
+                new = work(*[_values(column) for column in part.columns[carry:]])
+                made = [
+                    n if isinstance(n := new[f.name], pa.Array) else pa.array(n, f.type)
+                    for f in arrow
+                ]
                 yield pa.RecordBatch.from_arrays(part.columns[:carry] + made, names=whole.names)
 
     return df.mapInArrow(run, whole)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import (
     anchor_simhash,
+    block_topk,
     license_join,
+    piece_automaton,
     quality_ledger,
     secret_lexer,
     swap_packing,
@@ -19,6 +21,7 @@ from shelfcast.llm import (
 
 #: The vocabulary that token counts and packing use.
 VOCABULARY = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +44,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
+def op4_piece_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text again."""
+    model = piece_automaton.read_model(vocabulary(PIECES))
+    encoded = piece_automaton.encode(table(spark, sf_dir, "documents"), model)
+    summed = piece_automaton.ids_crc32(encoded)
+    decoded = piece_automaton.decode(summed, model)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op5_secret_lexer(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_lexer.find_secrets(table(spark, sf_dir, "documents"))
     listed = F.transform(
@@ -93,6 +113,8 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
+    "op2_block_topk": op2_block_topk,
+    "op4_piece_automaton": op4_piece_automaton,
     "op5_secret_lexer": op5_secret_lexer,
     "op6_token_counts": op6_token_counts,
     "op7_swap_packing": op7_swap_packing,
@@ -139,5 +161,22 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
        cast(f0::int + 2 * f1::int + 4 * f2::int + 8 * f3::int + 16 * f4::int + 32 * f5::int
             as bigint) as fail_bits
 from bits
+""",
+    "op2_block_topk": """
+with whole as (
+    select vec_id,
+           list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id,
+           cast(list_inner_product(q.v, c.v) as bigint) as score
+    from whole q join whole c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+    from scored
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
 """,
 }
