@@ -11,6 +11,7 @@ from shelfcast.llm import (
     anchor_simhash,
     block_topk,
     license_join,
+    line_templates,
     piece_automaton,
     quality_ledger,
     secret_lexer,
@@ -48,6 +49,13 @@ def op2_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_topk.top_products(table(spark, sf_dir, "embeddings"))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_templates.dedup_rows(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op4_piece_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text again."""
     model = piece_automaton.read_model(vocabulary(PIECES))
@@ -114,6 +122,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op2_block_topk": op2_block_topk,
+    "op3_line_templates": op3_line_templates,
     "op4_piece_automaton": op4_piece_automaton,
     "op5_secret_lexer": op5_secret_lexer,
     "op6_token_counts": op6_token_counts,
@@ -178,5 +187,43 @@ with whole as (
     from scored
 )
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
+""",
+    "op3_line_templates": r"""
+with lines as (
+    select doc_id, unnest(string_split(text, chr(10))) as line,
+           generate_subscripts(string_split(text, chr(10)), 1) as place
+    from documents
+), tokens as (
+    select doc_id, line, place,
+           list_transform(
+               list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda t: t <> ''),
+               lambda t: case when regexp_matches(t, '[0-9]') then '<*>' else t end) as ts
+    from lines
+), numbered as (
+    select doc_id, place, ts, len(ts) as n, j
+    from tokens, (values (-1), (0), (1), (2), (3)) as parts(j)
+    where len(ts) >= 3 and (j = -1 or len(ts) >= 11)
+), templates as (
+    select doc_id, place,
+           case when j = -1 then ts else
+               ts[: 3 + (n - 3) * j // 4] || ['<part>']
+               || ts[4 + (n - 3) * (j + 1) // 4 :] end as template, n, j
+    from numbered
+), recurring as (
+    select template, n, j, min(struct_pack(d := doc_id, a := place)) as first
+    from templates group by template, n, j having count(distinct doc_id) >= 2
+), dropped as (
+    select distinct t.doc_id, t.place
+    from templates t join recurring r on t.template = r.template and t.n = r.n and t.j = r.j
+    where struct_pack(d := t.doc_id, a := t.place) <> r.first
+), texts as (
+    select l.doc_id, count(*) as n_lines, count(d.place) as n_dropped,
+           coalesce(string_agg(l.line, chr(10) order by l.place) filter (where d.place is null), '') as kept
+    from lines l left join dropped d on l.doc_id = d.doc_id and l.place = d.place
+    group by l.doc_id
+)
+select d.doc_id, coalesce(t.n_lines, 0) as n_lines, coalesce(t.n_dropped, 0) as n_dropped,
+       sha256(t.kept) as kept_sha256
+from documents d left join texts t on d.doc_id = t.doc_id
 """,
 }
