@@ -177,14 +177,18 @@ def merge_into_table(
 ) -> None:
     """Fold the newest landing file into a stored table, touching only its own dates.
 
-    All changed dates go out in one write.  The placeholder is added to its date, which the
-    file does not restate, so rows already stored for that date are written again.
+    All changed dates go out in one write.  Rows that the file does not restate but that share
+    a partition with new ones are written again: those without a date, and those of the
+    placeholder's date.  The storage must commit a dynamic partition overwrite at once, or
+    readers must wait for it: the partitions are read and replaced in place.
     """
     main = read_table(landing.sparkSession, main_path, landing.schema)
     newest = newest_file(main, landing)
     changed = trim_text_columns(newest) if trim else newest
+    undated = changed.where(F.col("date").isNull()).agg(F.count(F.lit(1))).scalar()
+    beside = main.where(F.col("date").isNull() & (undated > 0))
     if placeholder:
         extra = placeholder_row(newest)
-        beside = main.where(F.col("date") == extra.agg(F.max("date")).scalar())
-        changed = changed.unionByName(extra).unionByName(beside)
-    replace_partitions(changed, main_path, ["date"])
+        same_day = main.where(F.col("date") == extra.agg(F.max("date")).scalar())
+        changed = changed.unionByName(extra).unionByName(same_day)
+    replace_partitions(changed.unionByName(beside), main_path, ["date"])

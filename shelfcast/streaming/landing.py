@@ -1,9 +1,12 @@
 """Folding arriving files into a stored table with Structured Streaming.
 
 Each micro-batch restates the dates its files contain, by the same rule as the batch replay:
-per date the latest file wins.  Only the partitions of those dates are rewritten.  Running a
-batch again, after a failure, gives the same table, and a file that arrives late never
-overrides a newer one.
+per date the latest file wins.  Only the partitions of those dates are rewritten.
+
+A file day may come as many part files, and those in any number of micro-batches.  So a batch's
+rows are first kept beside the table, under the number of the batch, and a date is folded from
+everything that has arrived of its file days.  Running a batch again, after a failure, replaces
+its own rows and gives the same table, and a file that arrives late never overrides a newer one.
 """
 
 from __future__ import annotations
@@ -18,21 +21,43 @@ from shelfcast.operators.ingest import FILE_DAY, replay
 from shelfcast.sources.tables import read_table, replace_partitions
 
 
-def fold_batch(batch: DataFrame, main_path: str, trim: bool = False) -> None:
-    """Fold one micro-batch of landing rows into the table at ``main_path``."""
+#: Number of the micro-batch that brought a row.
+BATCH = "_batch"
+
+
+def fold_batch(
+    batch: DataFrame, main_path: str, arrived_path: str, batch_id: int, trim: bool = False
+) -> None:
+    """Fold one micro-batch of landing rows into the table at ``main_path``.
+
+    ``arrived_path`` keeps the rows of all batches so far.  A file day that is there replaces
+    stored rows of the same file day; stored rows of other file days take part as they are.
+    The folder can be emptied whenever no file day is half arrived.
+    """
+    spark = batch.sparkSession
     rows = trim_text_columns(batch) if trim else batch
+    replace_partitions(
+        rows.withColumn(BATCH, F.lit(batch_id).cast("long")), arrived_path, [BATCH, "date"]
+    )
+    whole = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
+    arrived = read_table(spark, arrived_path, whole)
+    mine = arrived.where(F.col(BATCH) == batch_id)
     # Calendar dates and file dates: both sets are bounded by the calendar.
-    days = F.broadcast(rows.select("date").distinct().withColumnRenamed("date", "_day"))
-    files = F.broadcast(rows.select(FILE_DAY).distinct())
+    days = F.broadcast(mine.select(F.col("date").alias("_day")).distinct())
     # The span of the batch prunes the stored partitions before the exact match.
-    first, last = (rows.agg(f("date")).scalar() for f in (F.min, F.max))
-    stored = (
-        read_table(batch.sparkSession, main_path, batch.schema)
-        .where(F.col("date").isNull() | F.col("date").between(first, last))
-        .join(days, F.col("date").eqNullSafe(F.col("_day")), "left_semi")
-        .join(files, FILE_DAY, "left_anti")
+    first, last = (mine.agg(f("date")).scalar() for f in (F.min, F.max))
+
+    def of_these_days(table: DataFrame) -> DataFrame:
+        near = table.where(F.col("date").isNull() | F.col("date").between(first, last))
+        return near.join(days, F.col("date").eqNullSafe(F.col("_day")), "left_semi")
+
+    here = of_these_days(arrived).drop(BATCH)
+    files = F.broadcast(arrived.select(FILE_DAY).distinct())
+    stored = of_these_days(read_table(spark, main_path, rows.schema)).join(
+        files, FILE_DAY, "left_anti"
     )
-    replace_partitions(replay(stored.unionByName(rows)), main_path, ["date"])
+    folded = replay(stored.select(*rows.columns).unionByName(here.select(*rows.columns)))
+    replace_partitions(folded, main_path, ["date"])
 
 
 def fold_arriving_files(
@@ -46,15 +71,20 @@ def fold_arriving_files(
 ) -> StreamingQuery:
     """Fold everything that has arrived and stop; run again for what arrives later.
 
-    ``checkpoint`` is a folder every executor can reach.
+    ``checkpoint`` is a folder every executor can reach; the arrived rows are kept beside it,
+    in ``<checkpoint>-arrived``.
     """
     arriving = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files_per_batch)
         .parquet(landing_path)
     )
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        fold_batch(batch, main_path, f"{checkpoint}-arrived", batch_id, trim)
+
     return (
-        arriving.writeStream.foreachBatch(lambda batch, _: fold_batch(batch, main_path, trim))
+        arriving.writeStream.foreachBatch(fold)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -133,21 +133,44 @@ def test_merge_scan_prunes_partitions(spark, folder):
 
 
 def test_arriving_files_end_in_the_replayed_table(spark, folder):
+    """File days in many part files, one part file in a micro-batch, and a batch run twice."""
     rows, _ = random_files(11)
     landing, main, state = (f"{folder}/{n}" for n in ("landing", "main", "state"))
     schema = stock_rows(spark, rows).schema
     tables.overwrite(stock_rows(spark, []), main, ["date"])
     files = sorted({r[1] for r in rows})
-    for some in (files[:3], files[3:]):
+    for some in (files[:2], files[2:4], files[4:]):
         for f in some:
-            stock_rows(spark, [r for r in rows if r[1] == f]).coalesce(1).write.mode("append").parquet(landing)
-        query = arriving.fold_arriving_files(spark, landing, schema, main, state, max_files_per_batch=2)
-        query.awaitTermination(120)
+            parts = stock_rows(spark, [r for r in rows if r[1] == f]).repartition(3)
+            parts.write.mode("append").parquet(landing)
+        query = arriving.fold_arriving_files(spark, landing, schema, main, state, max_files_per_batch=1)
+        query.awaitTermination(300)
         assert query.exception() is None
     got = tables.read_table(spark, main, schema)
     assert content(got) == one_by_one(rows, [])
-    arriving.fold_batch(stock_rows(spark, [r for r in rows if r[1] == files[-1]]), main)
-    assert content(tables.read_table(spark, main, schema)) == one_by_one(rows, [])
+    arrived = spark.read.parquet(f"{state}-arrived")
+    for number in (0, 5):
+        again = arrived.where(arrived["_batch"] == number).select(*schema.names)
+        again = spark.createDataFrame(again.collect(), schema)
+        arriving.fold_batch(again, main, f"{state}-arrived", number)
+        assert content(tables.read_table(spark, main, schema)) == one_by_one(rows, [])
+
+
+def test_stored_merge_equals_the_merge_of_frames(spark, folder):
+    """Files one after the other, with undated rows and placeholders."""
+    for seed, placeholder in ((1, False), (2, True), (3, True)):
+        rows, _ = random_files(seed)
+        files = sorted({r[1] for r in rows})
+        path = f"{folder}/main{seed}"
+        main = stock_rows(spark, [r for r in rows if r[1] == files[0]])
+        tables.overwrite(main, path, ["date"])
+        for upto in range(2, len(files) + 1):
+            landing = stock_rows(spark, [r for r in rows if r[1] in files[:upto]])
+            ingest.merge_into_table(landing, path, placeholder=placeholder)
+            merged = ingest.daily_merge(main, landing, placeholder=placeholder)
+            main = spark.createDataFrame(merged.collect(), landing.schema)
+            key = lambda df: sorted(map(str, df.select("date", "filename", "stock").collect()))
+            assert key(tables.read_table(spark, path, landing.schema)) == key(main)
 
 
 def test_audit_schema_and_partition_day(spark):
@@ -173,7 +196,9 @@ def test_arriving_batch_reads_only_near_partitions(spark, folder):
     rows = [(D(2024, 1, d), D(2024, 1, d), d) for d in range(1, 20)]
     tables.overwrite(stock_rows(spark, rows), path, ["date"])
     before = {p.name: p.stat().st_mtime_ns for p in Path(path).glob("date=*")}
-    arriving.fold_batch(stock_rows(spark, [(D(2024, 1, 5), D(2024, 2, 1), 50)]), path)
+    arriving.fold_batch(
+        stock_rows(spark, [(D(2024, 1, 5), D(2024, 2, 1), 50)]), path, f"{folder}/arrived", 0
+    )
     after = {p.name: p.stat().st_mtime_ns for p in Path(path).glob("date=*")}
     assert {n for n in before if before[n] != after[n]} == {"date=2024-01-05"}
     assert tables.read_table(spark, path).where("date = '2024-01-05'").first().stock == 50.0
