@@ -99,34 +99,56 @@ class Cover:
             return v
 
         unit = [remainder(1 << i) for i in range(LENGTH)]
-        values = np.arange(1 << LENGTH, dtype=np.int32)
-        syndrome = np.zeros(1 << LENGTH, np.int16)
-        for i, r in enumerate(unit):
-            syndrome ^= np.where(values >> i & 1, r, 0).astype(np.int16)
-        self.syndrome = syndrome
-        code = values[syndrome == 0]
+        #: syndromes of the low 12 and the high 11 bits of a word, which add up
+        self.low, self.high = (
+            self._sums(unit[first : first + count]) for first, count in ((0, 12), (12, 11))
+        )
         #: the error of each syndrome: every word has exactly one of weight 3 or less
         self.error = np.zeros(2048, np.int32)
         for weight in range(1, RADIUS + 1):
             for places in combinations(range(LENGTH), weight):
-                e = sum(1 << p for p in places)
-                self.error[syndrome[e]] = e
-        beyond = np.bitwise_count(self.error[:, None] ^ code[None, :]).astype(np.int8) - RADIUS
-        beyond = np.maximum(beyond, 0)
-        order = np.argsort(beyond, axis=1, kind="stable")
-        most = int((beyond <= max_bits).sum(axis=1).max())
+                at = 0
+                for p in places:
+                    at ^= unit[p]
+                self.error[at] = sum(1 << p for p in places)
+        # a code word for each value of the top 12 bits: the rest is their remainder
+        top = np.arange(1 << 12, dtype=np.int32) << 11
+        code = top ^ self._syndrome(top)
+        shift, excess = [], []
+        for low in range(0, len(self.error), 64):  # in parts, to need little memory
+            far = np.bitwise_count(self.error[low : low + 64, None] ^ code[None, :])
+            beyond = np.maximum(far.astype(np.int8) - RADIUS, 0)
+            for row in beyond:
+                reach = np.flatnonzero(row <= max_bits)
+                reach = reach[np.argsort(row[reach], kind="stable")]
+                shift.append(code[reach])
+                excess.append(row[reach])
+        most = max(map(len, shift))
         #: by syndrome: shifts to the code words in reach, the home first, and their excess
-        self.shift = code[order[:, :most]]
-        self.excess = np.take_along_axis(beyond, order[:, :most], axis=1)
+        self.shift = np.zeros((len(shift), most), np.int32)
+        self.excess = np.full((len(shift), most), max_bits + 1, np.int8)
+        for i, (words, over) in enumerate(zip(shift, excess)):
+            self.shift[i, : len(words)], self.excess[i, : len(words)] = words, over
         self.max_bits = max_bits
 
+    @staticmethod
+    def _sums(units: list[int]) -> np.ndarray:
+        values = np.arange(1 << len(units))
+        out = np.zeros(len(values), np.int32)
+        for i, unit in enumerate(units):
+            out ^= np.where(values >> i & 1, unit, 0).astype(np.int32)
+        return out
+
+    def _syndrome(self, words: np.ndarray) -> np.ndarray:
+        return self.low[words & 4095] ^ self.high[words >> 12]
+
     def anchors(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(anchor, fp, home)`` arrays for unsigned ``fps``, homes included."""
         mask = np.uint64((1 << LENGTH) - 1)
         blocks = []
         for low in (0, LENGTH):
             v = (fps >> np.uint64(low) & mask).astype(np.int32)
-            s = self.syndrome[v]
+            s = self._syndrome(v)
             nearest = v ^ self.error[s]
             blocks.append(((nearest[:, None] ^ self.shift[s]) >> 11, self.excess[s]))
         (one, over_one), (two, over_two) = blocks
