@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.holidays import week_holiday_flag
+from shelfcast.operators.holidays import GIVEN, week_holiday_flag
 from shelfcast.schemas import LAG, PROMO, WEATHER
 
 #: Fixed values of the model family (Taylor & Letham, "Forecasting at Scale", 2018).
@@ -34,9 +34,14 @@ def yearly_terms(day: str = "ds") -> list[str]:
     return [f"{f}(unix_date({day}) * {rate!r}D)" for rate in rates for f in ("sin", "cos")]
 
 
-def holiday_term(day: Column, last_week: Column, match: str = "sunday") -> Column:
+def holiday_term(day: Column, last_week: Column, flag: Column) -> Column:
     """Holiday flag; the calendar ends with the last observed week."""
-    return F.when(day <= last_week, week_holiday_flag(day, match)).otherwise(0.0)
+    return F.when(day <= last_week, flag).otherwise(0.0)
+
+
+def given_or_rule(rows: DataFrame, match: str) -> Column:
+    """The flag of a holiday table where the rows carry one, else that of the rule."""
+    return F.col(GIVEN) if GIVEN in rows.columns else week_holiday_flag(F.col("ds"), match)
 
 
 def design(rows: DataFrame, by: list[str], holiday_match: str = "sunday") -> DataFrame:
@@ -83,7 +88,9 @@ def design(rows: DataFrame, by: list[str], holiday_match: str = "sunday") -> Dat
             "y_scale": F.expr("if(_top > 0, _top, 1D)"),
             "centers": F.expr(f"array({centers})"),
             "scales": F.expr(f"array({scales})"),
-            "_holiday": holiday_term(F.col("ds"), F.col("last_week"), holiday_match),
+            "_holiday": holiday_term(
+                F.col("ds"), F.col("last_week"), given_or_rule(rows, holiday_match)
+            ),
         }
     )
     yearly = [f"if(yearly, {term}, 0D)" for term in yearly_terms()]
@@ -120,6 +127,8 @@ def yearly_effect(day: str = "ds") -> Column:
 
 def regressor_effect(names: list[str]) -> Column:
     """Effect of the named regressors, which are the first ones of the model's list."""
+    if not names:
+        return F.lit(0.0)
     return F.expr(
         " + ".join(
             f"beta[{REGRESSORS_AT + i}] * ({c} - centers[{i}]) / scales[{i}]"

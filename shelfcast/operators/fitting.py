@@ -18,10 +18,15 @@ from shelfcast.schemas import PARAMETERS, SERIES
 
 TREND_SCALE = 5.0
 NOISE_SCALE = 0.5
-#: Reweighting steps: few to rank records, more for the model that is kept.
-ROUNDS_TO_RANK = 8
-ROUNDS_TO_KEEP = 20
-SMALLEST_BEND = 1e-4
+#: Laplace priors are rounded off within this distance of 0 (the target is at most 1).
+ROUNDING = 1e-3
+#: Widths passed on the way there, each a start for the next.
+WIDER = (0.1, 0.02, 0.005)
+#: Expected gain of a step (in units of the log posterior) below which a solution stands, and
+#: the steps after which a record counts as not converged.  Far beyond what records need.
+TOLERANCE = 1e-9
+STEP_LIMIT = 2000
+NOT_CONVERGED = "the fit did not converge"
 
 MODEL_SCHEMA = (
     "SKU_ID string, Channel string, Unit string, changepoint_prior_scale double, "
@@ -29,82 +34,139 @@ MODEL_SCHEMA = (
     "changepoint_range double, yearly boolean, weeks bigint, t0 date, t_span double, "
     "y_scale double, last_ds date, last_y double, last_week date, regressors array<string>, "
     "centers array<double>, scales array<double>, knots array<double>, offset double, "
-    "slope double, deltas array<double>, beta array<double>, sigma double, status string, "
+    "slope double, deltas array<double>, beta array<double>, sigma double, target_scale string, "
+    "holiday_match string, weather_grain string, status string, "
     "error_message string"
 )
 
 
-def _solve(gram, moment, noise, precision):
-    """Ridge solutions of many records at once."""
-    a = gram / noise[:, None, None]
-    index = np.arange(precision.shape[1])
-    a[:, index, index] += precision
-    b = np.broadcast_to(moment, precision.shape) / noise[:, None]
-    return np.linalg.solve(a, b[:, :, None])[:, :, 0]
+class _Posterior:
+    """Log posterior of many prior settings on the same data, with its derivatives.
 
+    ``trend`` holds the columns 1, t and one hinge per changepoint, whose weights have Laplace
+    priors of width ``bend_scale``; the effects of ``x`` have normal priors of width
+    ``effect_scale``, one row per setting.  The noise is always at its own mode.
+    """
 
-class _Grams:
-    """Weighted Gram matrices of fixed columns for many weight vectors in one product."""
-
-    def __init__(self, columns):
-        self.size = columns.shape[1]
-        self.upper = np.triu_indices(self.size)
-        self.pairs = columns[:, self.upper[0]] * columns[:, self.upper[1]]
-
-    def weighted(self, weights):
-        out = np.empty((len(weights), self.size, self.size))
-        values = weights @ self.pairs
-        out[:, self.upper[0], self.upper[1]] = values
-        out[:, self.upper[1], self.upper[0]] = values
-        return out
+    def __init__(self, y, trend, x, bend_scale, effect_scale, multiplicative):
+        self.y, self.trend, self.x, self.multiplicative = y, trend, x, multiplicative
+        self.q, self.columns = trend.shape[1], np.hstack([trend, x])
+        settings = len(effect_scale)
+        level = np.full((settings, self.q), 1.0 / TREND_SCALE**2)
+        level[:, 2:] = 0.0
+        self.ridge = np.hstack([level, 1.0 / effect_scale**2])
+        self.bend = np.asarray(bend_scale, float)[:, None]
+        width = self.columns.shape[1]
+        self.upper = np.triu_indices(width)
+        i, j = self.upper
+        self.pairs = self.columns[:, i] * self.columns[:, j]
+        #: which factor weighs a pair of columns: 0 both of the trend, 1 mixed, 2 both effects
+        self.block = (i >= self.q).astype(int) + (j >= self.q)
+
+    def only(self, rows):
+        part = object.__new__(_Posterior)
+        part.__dict__.update(self.__dict__, ridge=self.ridge[rows], bend=self.bend[rows])
+        return part
+
+    def _parts(self, w):
+        level, effect = w[:, : self.q] @ self.trend.T, w[:, self.q :] @ self.x.T
+        return level, 1.0 + effect if self.multiplicative else effect
+
+    def _noise(self, rss):
+        """Mode of the variance under its half-normal prior, and its slope in ``rss``."""
+        n, k = len(self.y), 1.0 / NOISE_SCALE**2
+        root = np.sqrt(n * n + 4.0 * k * rss)
+        return np.maximum((root - n) / (2.0 * k), 1e-10), 1.0 / root
+
+    def value(self, w, rounding):
+        level, effect = self._parts(w)
+        fitted = level * effect if self.multiplicative else level + effect
+        rss = ((self.y - fitted) ** 2).sum(axis=1)
+        v, _ = self._noise(rss)
+        bends = np.sqrt(w[:, 2 : self.q] ** 2 + rounding**2) / self.bend
+        fit = 0.5 * len(self.y) * np.log(v) + rss / (2 * v) + v / (2 * NOISE_SCALE**2)
+        return fit + 0.5 * (self.ridge * w * w).sum(axis=1) + bends.sum(axis=1)
+
+    def step(self, w, rounding):
+        """Gradient, Newton step and noise."""
+        level, effect = self._parts(w)
+        if self.multiplicative:
+            residual = self.y - level * effect
+            moment = np.hstack([(residual * effect) @ self.trend, (residual * level) @ self.x])
+            packed = np.empty((len(w), self.pairs.shape[1]))
+            for block, weight in enumerate((effect * effect, effect * level, level * level)):
+                packed[:, self.block == block] = weight @ self.pairs[:, self.block == block]
+        else:
+            residual = self.y - level - effect
+            moment = residual @ self.columns
+            packed = np.broadcast_to(self.pairs.sum(axis=0), (len(w), self.pairs.shape[1]))
+        rss = (residual**2).sum(axis=1)
+        v, slope = self._noise(rss)
+        root = np.sqrt(w[:, 2 : self.q] ** 2 + rounding**2)
+        gradient = self.ridge * w - moment / v[:, None]
+        gradient[:, 2 : self.q] += w[:, 2 : self.q] / root / self.bend
+        curve = self.ridge.copy()
+        curve[:, 2 : self.q] += rounding**2 / root**3 / self.bend
+        width = w.shape[1]
+        hessian = np.empty((len(w), width, width))
+        hessian[:, self.upper[0], self.upper[1]] = packed / v[:, None]
+        hessian[:, self.upper[1], self.upper[0]] = packed / v[:, None]
+        index = np.arange(width)
+        hessian[:, index, index] += curve + 1e-10
+        both = np.linalg.solve(hessian, np.stack([-gradient, moment], axis=2))
+        plain, along = both[:, :, 0], both[:, :, 1]
+        # the noise moves with the fit: a term of rank one, left out where it would dominate
+        c = 2.0 * slope / v**2
+        rest = 1.0 - c * (moment * along).sum(axis=1)
+        share = np.where(rest > 0.1, c * (moment * plain).sum(axis=1) / np.maximum(rest, 0.1), 0.0)
+        return gradient, plain + share[:, None] * along, v
 
 
 def map_estimates(
-    y, trend, x, bend_scale, effect_scale, multiplicative, rounds=ROUNDS_TO_KEEP
+    y, trend, x, bend_scale, effect_scale, multiplicative, step_limit=STEP_LIMIT
 ):
-    """Posterior modes for many prior settings on the same data.
+    """Posterior modes for many prior settings on the same data, and which of them stand.
 
-    ``trend`` holds the columns 1, t and one hinge per changepoint, whose weights have Laplace
-    priors of width ``bend_scale``; the effects of ``x`` have normal priors of width
-    ``effect_scale``, one row per setting.  Laplace priors are met by reweighted ridge steps;
-    the multiplicative form alternates between trend and effects.  No random numbers.
+    Damped Newton steps on all settings at once; a setting leaves when a step promises no gain.
+    The multiplicative form is a product of trend and effects, so its mode is a local one, the
+    first downhill from a flat series.  No random numbers.
     """
-    n, q = trend.shape
-    settings, p = effect_scale.shape
-    shape = np.full((settings, q), 1.0 / TREND_SCALE**2)
-    shape[:, 2:] = 1.0 / bend_scale[:, None] ** 2
-    effect_precision = 1.0 / effect_scale**2
-    noise = np.full(settings, max(float(np.var(y)), 1e-6))
-    beta = np.zeros((settings, p))
-    if multiplicative:
-        trend_grams, x_grams = _Grams(trend), _Grams(x)
-    else:
-        both = np.hstack([trend, x])
-        gram, moment = (both.T @ both)[None], both.T @ y
-    for _ in range(rounds):
-        if multiplicative:
-            lift = 1.0 + beta @ x.T
-            theta = _solve(trend_grams.weighted(lift**2), (lift * y) @ trend, noise, shape)
-            level = theta @ trend.T
-            beta = _solve(
-                x_grams.weighted(level**2),
-                (level * (y - level)) @ x,
-                noise,
-                effect_precision,
-            )
-            fitted = level * (1.0 + beta @ x.T)
-        else:
-            joint = _solve(gram, moment, noise, np.hstack([shape, effect_precision]))
-            theta, beta = joint[:, :q], joint[:, q:]
-            fitted = joint @ both.T
-        rss = ((y[None] - fitted) ** 2).sum(axis=1)
-        # Mode of the noise under its half-normal prior.
-        w = 1.0 / NOISE_SCALE**2
-        noise = np.maximum((np.sqrt(n * n + 4.0 * w * rss) - n) / (2.0 * w), 1e-8)
-        shape[:, 2:] = 1.0 / (
-            bend_scale[:, None] * np.maximum(np.abs(theta[:, 2:]), SMALLEST_BEND)
-        )
-    return theta, beta, np.sqrt(noise)
+    posterior = _Posterior(y, trend, x, bend_scale, effect_scale, multiplicative)
+    settings = len(effect_scale)
+    w = np.zeros((settings, trend.shape[1] + x.shape[1]))
+    w[:, 0] = np.mean(y)
+    sigma = np.zeros(settings)
+    stands = np.zeros(settings, bool)
+    for rounding, tolerance in [*((r, 1e-2) for r in WIDER), (ROUNDING, TOLERANCE)]:
+        active = np.arange(settings)
+        stands[:] = False
+        for _ in range(step_limit):
+            here = posterior.only(active)
+            gradient, move, v = here.step(w[active], rounding)
+            gain = -(gradient * move).sum(axis=1)
+            sigma[active] = np.sqrt(v)
+            done = gain < tolerance
+            stands[active[done]] = True
+            active, move, gain = active[~done], move[~done], gain[~done]
+            if not len(active):
+                break
+            here = posterior.only(active)
+            at, before = w[active], here.value(w[active], rounding)
+            size, open_ = np.ones(len(active)), np.ones(len(active), bool)
+            for _ in range(40):
+                after = here.value(at + size[:, None] * move, rounding)
+                open_ = ~(after <= before - 1e-4 * size * gain)
+                if not open_.any():
+                    break
+                size[open_] *= 0.5
+            w[active] = at + np.where(open_, 0.0, size)[:, None] * move
+            # no step helps any more: rounding errors are larger than the gain
+            stuck = active[open_]
+            stands[stuck] = gain[open_] < 1e-6
+            active = active[~open_]
+            if not len(active):
+                break
+    return w[:, : trend.shape[1]], w[:, trend.shape[1] :], sigma, stands
 
 
 def predicted(theta, beta, trend, x, multiplicative):
@@ -135,7 +197,7 @@ def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
     """Model row of one series; a failed fit becomes a row with its message."""
     pdf = pdf.sort_values("ds")
     last = pdf.iloc[-1]
-    keep = [*SERIES, *PARAMETERS, "yearly", "weeks", "t0", "t_span", "y_scale", "last_week"]
+    keep = [*SERIES, *PARAMETERS, *SETTINGS, "yearly", "weeks", "t0", "t_span", "y_scale", "last_week"]
     row = {c: last[c] for c in keep} | {
         "last_ds": last["ds"],
         "last_y": float(last["y"]),
@@ -147,7 +209,7 @@ def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
             raise ValueError("no valid parameters")
         y, t, x = _arrays(pdf)
         multiplicative = last["seasonality_mode"] == "multiplicative"
-        theta, beta, sigma = map_estimates(
+        theta, beta, sigma, stands = map_estimates(
             y,
             _trend(t, last["knots"]),
             x,
@@ -157,6 +219,8 @@ def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
             ),
             multiplicative,
         )
+        if not stands[0]:
+            raise ValueError(NOT_CONVERGED)
         row |= {
             "knots": [float(v) for v in last["knots"]],
             "offset": theta[0, 0],
@@ -172,11 +236,23 @@ def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([row])
 
 
-def fit_models(split: DataFrame, params: DataFrame, holiday_match: str = "sunday") -> DataFrame:
+#: What a forecast must know about the rows that a model was fitted to.
+SETTINGS = ["target_scale", "holiday_match", "weather_grain"]
+NATURAL, LOG = "natural", "log"
+
+
+def fit_models(
+    split: DataFrame,
+    params: DataFrame,
+    holiday_match: str = "sunday",
+    target_scale: str = NATURAL,
+    weather_grain: str = "day",
+) -> DataFrame:
     """One fitted model per series, from its training weeks and chosen parameters.
 
     ``params`` has one row per series; a series without one gets a failed model row.  The rows
-    are exchanged once, for the scaling window and the fit alike.
+    are exchanged once, for the scaling window and the fit alike.  The settings under which the
+    rows were made stay with the model: forecasts read them there.
     """
     names = regressor_names(split)
     train = split.where("is_train").join(params.select(*SERIES, *PARAMETERS), SERIES, "left")
@@ -184,11 +260,43 @@ def fit_models(split: DataFrame, params: DataFrame, holiday_match: str = "sunday
         *SERIES, *PARAMETERS, "yearly", "weeks", "t0", "t_span", "y_scale", "last_week",
         "ds", "y", "t", "x", "centers", "scales",
         F.array(*[F.lit(c) for c in names]).alias("regressors"),
+        *[F.lit(v).alias(c) for c, v in zip(SETTINGS, (target_scale, holiday_match, weather_grain))],
         knots(F.col("weeks"), F.col("changepoint_range")).alias("knots"),
     )
     return ready.groupBy(*SERIES).applyInPandas(fit_one, MODEL_SCHEMA)
 
 
+def optimality(models: DataFrame, split: DataFrame, holiday_match: str = "sunday") -> DataFrame:
+    """``steepest``: the largest slope of the log posterior at the stored coefficients.
+
+    Features are built again from the weekly rows, and the slope comes from the coefficients
+    alone, so this checks what is stored and not the solver's own account.
+    """
+    coefficients = ["offset", "slope", "deltas", "beta", "knots"]
+    good = models.where(F.col("status") == SUCCESS).select(*SERIES, *PARAMETERS, *coefficients)
+    rows = split.where("is_train").join(good, SERIES)
+    ready = design(spread(rows, SERIES), SERIES, holiday_match).select(
+        *SERIES, *PARAMETERS, *coefficients, "weeks", "ds", "y", "t", "x", "y_scale"
+    )
+
+    def slope_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ds")
+        one = pdf.iloc[0]
+        y, t, x = _arrays(pdf)
+        posterior = _Posterior(
+            y, _trend(t, one["knots"]), x, [one["changepoint_prior_scale"]],
+            _effect_scales([one["seasonality_prior_scale"]], [one["holidays_prior_scale"]], x.shape[1]),
+            one["seasonality_mode"] == "multiplicative",
+        )
+        w = np.concatenate([[one["offset"], one["slope"]], one["deltas"], one["beta"]])[None]
+        gradient, _, _ = posterior.step(w, ROUNDING)
+        row = {c: one[c] for c in [*SERIES, "weeks"]} | {"steepest": float(np.abs(gradient).max())}
+        return pd.DataFrame([row])
+
+    schema = "SKU_ID string, Channel string, Unit string, weeks bigint, steepest double"
+    return ready.groupBy(*SERIES).applyInPandas(slope_of, schema)
+
+
 HELD_SCHEMA = (
     "SKU_ID string, Channel string, Unit string, fold int, param_id int, ds date, y double, "
     "yhat double, error string"
@@ -211,10 +319,9 @@ def fit_and_hold_out(pdf: pd.DataFrame, records: pd.DataFrame) -> pd.DataFrame:
     scale = float(pdf["y_scale"].iloc[0])
     parts = []
     for (_, mode), same in records.groupby(["changepoint_range", "seasonality_mode"]):
-        error = None
         try:
             trend = _trend(t, same["knots"].iloc[0])
-            theta, beta, _ = map_estimates(
+            theta, beta, _, stands = map_estimates(
                 y[train],
                 trend[train],
                 x[train],
@@ -223,18 +330,18 @@ def fit_and_hold_out(pdf: pd.DataFrame, records: pd.DataFrame) -> pd.DataFrame:
                     same["seasonality_prior_scale"], same["holidays_prior_scale"], x.shape[1]
                 ),
                 mode == "multiplicative",
-                ROUNDS_TO_RANK,
             )
             yhat = scale * predicted(theta, beta, trend[~train], x[~train], mode == "multiplicative")
+            errors = np.where(stands, None, NOT_CONVERGED)
         except Exception as problem:  # noqa: BLE001 - an error is a result of the record
-            error = str(problem)
+            errors = np.full(len(same), str(problem), object)
             yhat = np.full((len(same), len(held)), np.nan)
         part = held.loc[held.index.repeat(len(same))]
         parts.append(
             part.assign(
                 param_id=np.tile(same["param_id"].to_numpy(), len(held)),
                 yhat=yhat.T.reshape(-1),
-                error=error,
+                error=np.tile(errors, len(held)),
             )
         )
     return pd.concat(parts)[HELD_COLUMNS]

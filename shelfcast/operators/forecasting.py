@@ -7,15 +7,17 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.numeric import at_least_zero
+from shelfcast.functions.numeric import at_least_zero, from_log_scale, to_log_scale
 from shelfcast.operators.design import (
     HOLIDAY_AT,
     REGRESSORS_AT,
+    given_or_rule,
     holiday_term,
     regressor_effect,
     trend_at,
     yearly_effect,
 )
+from shelfcast.operators.fitting import LOG
 from shelfcast.operators.regressors import HORIZON_WEEKS, future_regressors, scaffold
 from shelfcast.operators.weekly import SUCCESS, split_holdout
 from shelfcast.schemas import LAG, PROMO, SERIES, WEATHER
@@ -54,9 +56,11 @@ def _values(rows: DataFrame, models: DataFrame) -> DataFrame:
     )
 
 
-def _known_parts(rows: DataFrame, names: list[str], holiday_match: str) -> DataFrame:
-    """Trend and effects that do not depend on the lag."""
-    flag = holiday_term(F.col("ds"), F.col("last_week"), holiday_match)
+def _known_parts(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Trend and effects that do not depend on the lag; the holiday rule is the model's."""
+    by_week = F.col("holiday_match") == "week"
+    given = F.when(by_week, given_or_rule(rows, "week")).otherwise(given_or_rule(rows, "sunday"))
+    flag = holiday_term(F.col("ds"), F.col("last_week"), given)
     return rows.withColumns(
         {
             "_level": trend_at(F.col("t")),
@@ -68,7 +72,7 @@ def _known_parts(rows: DataFrame, names: list[str], holiday_match: str) -> DataF
 
 
 def iterative_forecast(
-    models: DataFrame, future: DataFrame, holiday_match: str = "sunday", clip: bool = True
+    models: DataFrame, future: DataFrame, clip: bool = True
 ) -> DataFrame:
     """Forecast week by week: each week's forecast, floored at 0, is the next week's lag.
 
@@ -77,7 +81,7 @@ def iterative_forecast(
     """
     names = [c for c in [*PROMO, *WEATHER] if c in future.columns]
     at_lag = REGRESSORS_AT + len(names)
-    rows = _known_parts(_values(future, models), names, holiday_match)
+    rows = _known_parts(_values(future, models), names)
     known = F.col("_yearly") + F.col("_holidays") + F.col("_regressors")
     step = F.struct(
         "ds",
@@ -128,10 +132,10 @@ def iterative_forecast(
     )
 
 
-def predict(models: DataFrame, rows: DataFrame, holiday_match: str = "sunday") -> DataFrame:
-    """Forecast and components of weeks whose lag is known, on the scale of the data."""
+def predict(models: DataFrame, rows: DataFrame) -> DataFrame:
+    """Forecast and components of weeks whose lag is known, on the scale of the rows."""
     names = [c for c in [*PROMO, *WEATHER, LAG] if c in rows.columns]
-    parts = _known_parts(_values(rows, models), names, holiday_match)
+    parts = _known_parts(_values(rows, models), names)
     effect = F.col("_yearly") + F.col("_holidays") + F.col("_regressors")
     scale = F.col("y_scale")
     additive = F.col("seasonality_mode") != "multiplicative"
@@ -157,13 +161,13 @@ def predict(models: DataFrame, rows: DataFrame, holiday_match: str = "sunday") -
 
 
 def fitted_components(
-    models: DataFrame, split: DataFrame, future: DataFrame, holiday_match: str = "sunday"
+    models: DataFrame, split: DataFrame, future: DataFrame
 ) -> DataFrame:
     """History and forecast with components: the table behind the component plots.
 
     Past weeks use their own lag; future weeks the forecast of the week before.
     """
-    ahead = iterative_forecast(models, future, holiday_match, clip=False)
+    ahead = iterative_forecast(models, future, clip=False)
     order = Window.partitionBy(*SERIES).orderBy("ds")
     first_lag = models.select(*SERIES, "last_y")
     lags = (
@@ -173,31 +177,31 @@ def fitted_components(
     )
     rows = scaffold(split, future).join(lags, [*SERIES, "ds"], "left")
     rows = rows.withColumn(LAG, F.coalesce("_lag", LAG)).drop("_lag")
-    return predict(models, rows, holiday_match)
+    return predict(models, rows)
 
 
-def recursive_lag_forecast(coefficients: DataFrame, horizon: int = HORIZON_WEEKS) -> DataFrame:
-    """Forecast ``intercept + slope * lag`` week by week from ``last_y`` and ``train_end``."""
+def natural_scale(forecast: DataFrame, columns: list[str]) -> DataFrame:
+    """Forecasts of models of log(1 + y) as quantities, floored at 0."""
+    return forecast.withColumns({c: at_least_zero(from_log_scale(F.col(c))) for c in columns})
 
-    def advance(state: Column, _: Column) -> Column:
-        yhat = F.col("intercept") + F.col("slope") * state["lag"]
-        return F.struct(
-            F.greatest(yhat, F.lit(0.0)).alias("lag"),
-            F.concat(state["out"], F.array(yhat)).alias("out"),
-        )
 
-    start = F.struct(
-        F.col("last_y").alias("lag"), F.array().cast("array<double>").alias("out")
-    )
-    weeks = F.sequence(F.lit(1), F.lit(horizon))
-    folded = coefficients.withColumn(
-        "out", F.aggregate(weeks, start, advance, lambda state: state["out"])
-    )
-    return folded.select(*SERIES, "train_end", F.posexplode("out").alias("_i", "yhat")).select(
-        *SERIES,
-        (F.col("_i") + 1).alias("step"),
-        F.expr("date_add(train_end, 7 * (_i + 1))").alias("ds"),
-        at_least_zero(F.col("yhat")).alias("yhat"),
+def natural_components(components: DataFrame) -> DataFrame:
+    """Components of models of log(1 + y) on the scale of the data.
+
+    The trend is a quantity; a component is what it alone adds to the trend of its week.  On
+    this scale they do not add up to the forecast: on the other one they are factors.
+    """
+    trend = F.col("trend")
+    additive = F.col("seasonality_mode") != "multiplicative"
+
+    def alone(name: str) -> Column:
+        part = F.when(additive, F.col(name)).otherwise(F.col(name) * trend)
+        return from_log_scale(trend + part) - from_log_scale(trend)
+
+    values = [c for c in ("y", "yhat", "yhat_lower", "yhat_upper") if c in components.columns]
+    return components.withColumns(
+        {c: alone(c) for c in ("yearly", "holidays", "extra_regressors")}
+        | {c: from_log_scale(F.col(c)) for c in ["trend", *values]}
     )
 
 
@@ -207,17 +211,31 @@ def weekly_job(
     forecast_date: str | dt.date,
     weather_forecast: DataFrame | None = None,
     horizon: int = HORIZON_WEEKS,
+    weather_grain: str = "day",
 ) -> DataFrame:
-    """Forecast table of stored models, starting from the latest actuals of each series."""
+    """Forecast table of stored models, starting from the latest actuals of each series.
+
+    A model brings its own target scale and holiday rule.  ``weather_grain`` says how the given
+    rows were made; a model fitted to rows of another grain is an error.
+    """
     split = split_holdout(weekly, validation_days=0)
     future = future_regressors(split, weather_forecast, horizon)
     latest = split.groupBy(*SERIES).agg(
-        F.max_by("y", "ds").alias("last_y"), F.max("ds").alias("last_week")
+        F.max_by("y", "ds").alias("_last_y"), F.max("ds").alias("last_week")
+    )
+    is_log = F.col("target_scale") == LOG
+    start = F.when(is_log, to_log_scale(F.col("_last_y"))).otherwise(F.col("_last_y"))
+    wrong = F.raise_error(F.lit(f"a model was fitted to rows whose weather grain is not {weather_grain}"))
+    current = (
+        models.drop("last_y", "last_week")
+        .join(latest, SERIES)
+        .withColumn("last_y", F.when(F.col("weather_grain") != weather_grain, wrong).otherwise(start))
     )
-    current = models.drop("last_y", "last_week").join(latest, SERIES)
-    return iterative_forecast(current, future).select(
+    ahead = iterative_forecast(current, future).join(models.select(*SERIES, "target_scale"), SERIES)
+    quantity = F.when(is_log, at_least_zero(from_log_scale(F.col("yhat")))).otherwise(F.col("yhat"))
+    return ahead.select(
         *SERIES,
         F.lit(str(forecast_date)).cast("date").alias("forecast_date"),
         F.col("ds").alias("target_date"),
-        F.col("yhat").alias("predicted_quantity"),
+        quantity.alias("predicted_quantity"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.dates import closing_sunday
 
 #: Russian public holidays (labour code), month and day.
 RU_HOLIDAYS = [
@@ -48,6 +49,25 @@ def week_holiday_flag(week: Column, match: str = "sunday") -> Column:
     return hit.cast("double")
 
 
+#: Column with the flag of weeks that a holiday table decides.
+GIVEN = "holiday"
+
+
+def with_holiday_table(weekly: DataFrame, days: DataFrame, match: str = "sunday") -> DataFrame:
+    """Weekly rows with ``holiday`` from a table of days off (``ds``), in place of the rule.
+
+    For calendars that a rule cannot give, such as moved days off.  The table is reduced to its
+    weeks, whose number the calendar bounds.
+    """
+    if match not in ("sunday", "week"):
+        raise ValueError("match is 'sunday' or 'week'")
+    week = closing_sunday(F.col("ds")) if match == "week" else F.col("ds")
+    flagged = days.where("ds is not null").select(week.alias("ds")).distinct()
+    flagged = flagged.withColumn(GIVEN, F.lit(1.0))
+    joined = weekly.join(F.broadcast(flagged), "ds", "left")
+    return joined.select(*weekly.columns, F.coalesce(GIVEN, F.lit(0.0)).alias(GIVEN))
+
+
 def holiday_calendar(weekly: DataFrame, by: list[str], extra: DataFrame | None = None) -> DataFrame:
     """Holidays of each series within its first and last week.
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.durable import broadcast_if_small
+from shelfcast.operators.holidays import GIVEN
 from shelfcast.schemas import LAG, PROMO, SERIES, WEATHER
 
 HORIZON_WEEKS = 4
@@ -91,7 +92,7 @@ def scaffold(split: DataFrame, future: DataFrame) -> DataFrame:
     A future value wins over a historical one for the same week; what is still missing is
     carried forward, then backward, then 0.
     """
-    names = [c for c in [*PROMO, *WEATHER] if c in split.columns]
+    names = [c for c in [*PROMO, *WEATHER, GIVEN] if c in split.columns]
     history = split.where("is_train").select(*SERIES, "ds", "y", *names, LAG)
     weeks = history.select(*SERIES, "ds", F.lit(0).alias("step")).unionByName(
         future.select(*SERIES, "ds", "step")

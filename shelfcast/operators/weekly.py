@@ -7,6 +7,8 @@ later steps work on cells, whose number per series is bounded by the calendar.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,6 +189,19 @@ def split_holdout(weekly: DataFrame, validation_days: int = VALIDATION_DAYS) ->
     )
 
 
+def prepared_training(
+    split: DataFrame, prepare: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``split`` with ``prepare`` applied to its training weeks, and the lag of every week anew.
+
+    Held-out weeks keep their actuals, and nothing is learned from them.
+    """
+    both = prepare(split.where("is_train")).unionByName(
+        split.where(~F.col("is_train")), allowMissingColumns=True
+    )
+    return both.withColumn(LAG, F.coalesce(F.lag("y").over(series_window("ds")), F.lit(0.0)))
+
+
 def split_summary(split: DataFrame) -> DataFrame:
     """One row per series: holdout start, week counts, yearly switch, training gate."""
     return (

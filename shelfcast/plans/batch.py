@@ -10,8 +10,17 @@ from pyspark.sql import functions as F
 
 from shelfcast.durable import settle
 from shelfcast.functions.dates import iso_day
-from shelfcast.functions.numeric import at_least_zero, from_log_scale, to_log_scale
-from shelfcast.operators import evaluate, fitting, forecasting, grid, regressors, tuning, weekly
+from shelfcast.functions.numeric import to_log_scale
+from shelfcast.operators import (
+    evaluate,
+    fitting,
+    forecasting,
+    grid,
+    holidays,
+    regressors,
+    tuning,
+    weekly,
+)
 from shelfcast.schemas import LAG, METRICS, PARAMETERS, SERIES
 from shelfcast.sources.sales import daily_sales
 from shelfcast.sources.weather import weekly_weather
@@ -55,6 +64,7 @@ def run_batch(
     holiday_match: str = "sunday",
     log_target: bool = False,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    holiday_table: DataFrame | None = None,
 ) -> Run:
     """Clean, aggregate, tune, fit, forecast and score every series of ``series``.
 
@@ -63,16 +73,20 @@ def run_batch(
     in the results, whatever became of it.
 
     ``log_target`` tunes and fits on log(1 + y) and reports on the scale of the data.
-    ``prepare`` is applied to the weekly rows first, for instance outlier handling.
+    ``prepare`` is applied to the training weeks, for instance outlier handling; accuracy is
+    measured on untouched actuals.  ``holiday_table`` (``ds``) replaces the holiday rule.
     """
     daily = daily_sales(sales, series, start_date, end_date)
     cells = settle(weekly.weekly_cells(daily, weather, weather_grain), "cells")
     gate = weekly.series_gate(cells, validation_days)
     passed = gate.where(F.col("status").isNull()).select(*SERIES)
     filled = weekly.fill_weeks(cells.join(passed, SERIES, "left_semi"))
+    split = weekly.split_holdout(filled, validation_days)
     if prepare is not None:
-        filled = prepare(filled)
-    split = settle(weekly.split_holdout(filled, validation_days), "weekly")
+        split = weekly.prepared_training(split, prepare)
+    if holiday_table is not None:
+        split = holidays.with_holiday_table(split, holiday_table, holiday_match)
+    split = settle(split, "weekly")
     observed = split.where(F.col("train_weeks") >= weekly.MIN_TRAIN_WEEKS)
     ready = log_scale(observed) if log_target else observed
     train = ready.where("is_train")
@@ -84,15 +98,21 @@ def run_batch(
     scored = settle(tuning.tune(train, records, grid.cv_schedule(train), holiday_match), "tuning")
     best = tuning.best_params(scored)
     chosen = best if overrides is None else tuning.with_overrides(best, overrides)
-    models = settle(fitting.fit_models(ready, chosen, holiday_match), "models")
+    target_scale = fitting.LOG if log_target else fitting.NATURAL
+    models = settle(
+        fitting.fit_models(ready, chosen, holiday_match, target_scale, weather_grain), "models"
+    )
 
     by_week = None if weather_forecast is None else weekly_weather(weather_forecast)
     future = regressors.future_regressors(ready, by_week)
-    forecast = forecasting.iterative_forecast(models, future, holiday_match)
+    if holiday_table is not None:
+        future = holidays.with_holiday_table(future, holiday_table, holiday_match)
+    forecast = forecasting.iterative_forecast(models, future)
+    components = forecasting.fitted_components(models, ready, future)
     if log_target:
-        forecast = natural_scale(forecast)
+        forecast = forecasting.natural_scale(forecast, evaluate.FORECAST_COLUMNS)
+        components = forecasting.natural_components(components)
     comparison = evaluate.forecast_vs_actual(observed.where(~F.col("is_train")), forecast)
-    components = forecasting.fitted_components(models, ready, future, holiday_match)
     results = result_table(series, gate, split, models, comparison, validation_days)
     return Run(split, scored, models, forecast, comparison, components, results)
 
@@ -101,18 +121,17 @@ def log_scale(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: to_log_scale(F.col(c)) for c in ("y", LAG)})
 
 
-def natural_scale(forecast: DataFrame) -> DataFrame:
-    return forecast.withColumns(
-        {c: at_least_zero(from_log_scale(F.col(c))) for c in evaluate.FORECAST_COLUMNS}
-    )
-
-
 def retrain(
-    split: DataFrame, subset: DataFrame, chosen: DataFrame, holiday_match: str = "sunday"
+    split: DataFrame,
+    subset: DataFrame,
+    chosen: DataFrame,
+    holiday_match: str = "sunday",
+    target_scale: str = fitting.NATURAL,
+    weather_grain: str = "day",
 ) -> DataFrame:
     """New models for a subset of the series; writing them supersedes the stored ones."""
     wanted = split.join(subset.select(*SERIES).distinct(), SERIES, "left_semi")
-    return fitting.fit_models(wanted, chosen, holiday_match)
+    return fitting.fit_models(wanted, chosen, holiday_match, target_scale, weather_grain)
 
 
 def result_table(

@@ -44,16 +44,6 @@ SEEDS = given.STOCK_SEED_FILES
 QUALIFY = {"since": "1999-01-01", "min_days": 12, "seen_by": "1999-12-31", "seen_from": "2000-01-01"}
 
 
-#: A grid of eight records, for runs that are about the rest of the pipeline.
-SMALL_GRID = {
-    "changepoint_prior_scale": [0.05, 0.5],
-    "seasonality_prior_scale": [0.1, 10.0],
-    "holidays_prior_scale": [10.0],
-    "seasonality_mode": ["additive", "multiplicative"],
-    "changepoint_range": [0.8],
-}
-
-
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -429,6 +419,15 @@ def holiday_calendar(spark, sf):
     return holidays.holiday_calendar(weekly.weekly_features(daily(spark, sf)), KEYS, extra)
 
 
+@query
+def holiday_table_weeks(spark, sf):
+    """Weeks flagged by a table of days off instead of the rule, by Sunday and by week."""
+    rows = weekly.weekly_features(daily(spark, sf)).select(*KEYS, "ds")
+    extra = given.landing_stocks(spark, sf).select(F.date_sub("date", 2).alias("ds"))
+    by_week = holidays.with_holiday_table(rows, extra, "week").withColumnRenamed("holiday", "in_week")
+    return holidays.with_holiday_table(by_week, extra, "sunday")
+
+
 @query
 def series_years(spark, sf):
     return holidays.series_years(weekly.weekly_features(daily(spark, sf)), KEYS)
@@ -506,22 +505,29 @@ def validation_plot(spark, sf):
 
 @query
 def run_summary(spark, sf):
-    done = evaluate.score(naive_comparison(spark, sf)).withColumn("Status", F.lit(weekly.SUCCESS))
-    finite = evaluate.finite_rows(done, "WAPE")
-    return evaluate.mean_metrics(finite)
+    """Means over every series that passed the gates, and over those with a finite WAPE."""
+    cells = stored(weekly.weekly_cells(daily(spark, sf)))
+    scored = evaluate.score(naive_comparison(spark, sf)).join(series_status(cells), KEYS)
+    finite = evaluate.mean_metrics(evaluate.finite_rows(scored, "WAPE"))
+    finite = finite.select(F.lit("finite WAPE").alias("which"), "*")
+    return evaluate.mean_metrics(scored).select(F.lit("all").alias("which"), "*").unionByName(finite)
 
 
 @query
 def status_counts(spark, sf):
     """Series of single customers, by what the data gate and the training gate say."""
     by_customer = given.sales(spark, sf).withColumn("unit", F.col("customer_ID"))
-    rows = sales_source.daily_sales(by_customer)
-    cells = weekly.weekly_cells(rows)
+    cells = weekly.weekly_cells(sales_source.daily_sales(by_customer))
+    return evaluate.status_counts(series_status(cells))
+
+
+def series_status(cells):
+    """What the data gate and the training gate say about each series."""
     gate = weekly.series_gate(cells).select(*KEYS, F.col("status").alias("gate"))
     summary = weekly.split_summary(weekly.split_holdout(weekly.fill_weeks(cells)))
     joined = gate.join(summary.select(*KEYS, "status"), KEYS, "left")
     status = F.coalesce("gate", "status", F.lit(weekly.SUCCESS))
-    return evaluate.status_counts(joined.select(status.alias("Status")))
+    return joined.select(*KEYS, status.alias("Status"))
 
 
 # --- tuning -------------------------------------------------------------------------------
@@ -618,14 +624,64 @@ def params_with_overrides(spark, sf):
 @query
 def recursive_ar1_forecast(spark, sf):
     """Four weeks of ``intercept + slope * lag``, each forecast being the next week's lag."""
-    train = training(spark, sf)
-    coefficients = train.groupBy(*KEYS).agg(
-        F.regr_slope("y", "y_lag1").alias("slope"),
-        F.regr_intercept("y", "y_lag1").alias("intercept"),
+    held = stored(split(spark, sf))
+    steps = regressors.future_weeks(held)
+    ahead = forecasting.iterative_forecast(lag_models(held.where("is_train")), steps)
+    return ahead.join(steps, [*KEYS, "ds"]).select(*KEYS, "step", "ds", "yhat")
+
+
+def lag_models(train, others=0):
+    """Model rows by formula: a straight line on the week before, and no other effect.
+
+    ``others`` regressors stand before the lag.
+    """
+    nothing = F.array_repeat(F.lit(0.0), design.REGRESSORS_AT + others)
+    empty = F.array().cast("array<double>")
+    line = train.groupBy(*KEYS).agg(
+        F.regr_slope("y", "y_lag1").alias("_slope"),
+        F.regr_intercept("y", "y_lag1").alias("offset"),
         F.max_by("y", "ds").alias("last_y"),
-        F.max("ds").alias("train_end"),
+        F.max("ds").alias("last_week"),
+        F.min("ds").alias("t0"),
+    )
+    return line.select(
+        *KEYS, "offset", "last_y", "last_week", "t0",
+        F.lit(7.0).alias("t_span"), F.lit(1.0).alias("y_scale"), F.lit(0.0).alias("slope"),
+        empty.alias("knots"), empty.alias("deltas"),
+        F.concat(nothing, F.array("_slope")).alias("beta"),
+        F.array_repeat(F.lit(0.0), others + 1).alias("centers"),
+        F.array_repeat(F.lit(1.0), others + 1).alias("scales"),
+        F.lit(0.5).alias("sigma"), F.lit("additive").alias("seasonality_mode"),
+        F.lit(fitting.NATURAL).alias("target_scale"), F.lit("sunday").alias("holiday_match"),
+        F.lit("day").alias("weather_grain"), F.lit(weekly.SUCCESS).alias("status"),
+    )
+
+
+@query
+def lag_model_components(spark, sf):
+    """Components of the given lag models: the line's constant, and what the lag adds to it."""
+    held = stored(split(spark, sf).select(*KEYS, "ds", "y", "y_lag1", "is_train", "train_end"))
+    steps = regressors.future_weeks(held)
+    parts = forecasting.fitted_components(lag_models(held.where("is_train")), held, steps)
+    return parts.select(*KEYS, "ds", "step", "trend", "extra_regressors", "yhat", "yhat_upper")
+
+
+@query
+def lag_model_job(spark, sf):
+    """The weekly job with given lag models, from the latest actuals."""
+    rows = stored(features(spark, sf).select(*KEYS, "ds", "y", "y_lag1", *PROMO))
+    models = lag_models(weekly.split_holdout(rows).where("is_train"), len(PROMO))
+    return forecasting.weekly_job(models, rows, AS_OF)
+
+
+@query
+def fit_optimality(spark, sf):
+    """How far the stored coefficients are from a mode: gradients computed from them alone."""
+    held = stored(split(spark, sf))
+    models = stored(fitting.fit_models(held, manual_params(held)))
+    return fitting.optimality(models, held).select(
+        *KEYS, "weeks", (F.col("steepest") < 0.05).alias("at_mode")
     )
-    return forecasting.recursive_lag_forecast(coefficients)
 
 
 def manual_params(split_rows):
@@ -710,6 +766,20 @@ def retrained_models(spark, sf):
     return latest_models(versions).select(*KEYS, "trained_at", "status", "sigma", "slope", "weeks")
 
 
+@query
+def record_scores(spark, sf):
+    """Given held-out predictions, one record with an error, through the scoring of records."""
+    held = naive_comparison(spark, sf)
+    records = grid.given_grid(held.select(*KEYS).distinct(), {
+        **{p: [v] for p, v in grid.MANUAL_RECORD.items()}, "changepoint_range": [0.8, 0.9, 0.95],
+    })
+    tried = held.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("param_id"))
+    broken = F.when((F.col("param_id") == 1) & (F.col("Unit") == "ASIA"), "failed")
+    tried = tried.withColumn("yhat", F.col("yhat") * (F.col("param_id") + 1)).withColumn("error", broken)
+    scored = tuning.score_records(tried, records)
+    return scored.select(*KEYS, "param_id", "changepoint_range", "mae", "rmse", "smape", "error")
+
+
 @query
 def tuning_results(spark, sf):
     """Cross-validation scores of the whole grid of every series."""
@@ -720,13 +790,12 @@ def tuning_results(spark, sf):
 
 @query
 def run_results(spark, sf):
-    """The whole run over the listed series with a small grid."""
+    """The whole run over the listed series: profiled grids, 16 days of weather forecast."""
     run = batch.run_batch(
         given.sales(spark, sf),
         series_list.normalise_series_list(given.series_list(spark, sf)),
         given.weather(spark, sf),
-        given.weather(spark, sf),
-        param_grid=SMALL_GRID,
+        weather.limit_forecast(given.weather(spark, sf), "2001-10-20", 16),
     )
     return run.results
 

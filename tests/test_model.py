@@ -20,7 +20,7 @@ from shelfcast.operators import (
     weekly,
 )
 from shelfcast.plans import batch
-from shelfcast.schemas import METRICS, PARAMETERS, SERIES
+from shelfcast.schemas import LAG, METRICS, PARAMETERS, PROMO, SERIES
 
 D = dt.date
 START = D(2022, 1, 2)
@@ -68,13 +68,13 @@ def test_solver_recovers_known_effects(mode):
     theta, beta = np.array([0.4, 0.3, 0.0, -0.6, 0.0]), np.array([0.10, -0.05, 0.0])
     y = fitting.predicted(theta[None], beta[None], trend, x, mode == "multiplicative")[0]
     y = y + rng.normal(size=n) * 0.005
-    got, effects, sigma = fitting.map_estimates(
+    got, effects, sigma, stands = fitting.map_estimates(
         y, trend, x, np.array([0.5]), np.full((1, 3), 10.0), mode == "multiplicative"
     )
     assert np.allclose(effects[0], beta, atol=0.01)
     assert np.allclose(got[0, :2], theta[:2], atol=0.05)
     assert abs(got[0, 3] + 0.6) < 0.1
-    assert 0.003 < sigma[0] < 0.01
+    assert 0.003 < sigma[0] < 0.01 and stands.all()
 
 
 def test_records_solved_together_as_alone():
@@ -87,7 +87,46 @@ def test_records_solved_together_as_alone():
         both = fitting.map_estimates(y, trend, x, widths, scales, multiplicative)
         for i in range(2):
             one = fitting.map_estimates(y, trend, x, widths[i : i + 1], scales[i : i + 1], multiplicative)
-            assert np.allclose(both[0][i], one[0][0]) and np.allclose(both[1][i], one[1][0])
+            for together, alone in zip(both[:2], one[:2]):
+                assert np.allclose(together[i], alone[0], atol=1e-5)
+
+
+@pytest.mark.parametrize("multiplicative", [False, True])
+def test_solutions_are_modes_whatever_the_step_limit(multiplicative):
+    """The whole grid on one series: slopes near 0, and more steps change nothing."""
+    rng = np.random.default_rng(8)
+    n = 110
+    t = np.linspace(0, 1, n)
+    trend = fitting._trend(t, np.linspace(0.03, 0.8, 25))
+    x = np.column_stack([np.sin(2 * np.pi * t * k) for k in range(1, 21)] + [rng.normal(size=(n, 6))])
+    y = np.maximum(0, 0.4 + 0.3 * t + 0.1 * x[:, 3] + 0.08 * x[:, 21] + 0.1 * rng.normal(size=n))
+    y = y / y.max()
+    widths = np.repeat(grid.DEFAULT_GRID["changepoint_prior_scale"], 30)
+    scales = np.tile(np.repeat(grid.DEFAULT_GRID["seasonality_prior_scale"], 5), 5)
+    effects = fitting._effect_scales(scales, np.tile(grid.DEFAULT_GRID["holidays_prior_scale"], 30), x.shape[1])
+    got = fitting.map_estimates(y, trend, x, widths, effects, multiplicative)
+    more = fitting.map_estimates(y, trend, x, widths, effects, multiplicative, 10 * fitting.STEP_LIMIT)
+    assert got[3].all()
+    posterior = fitting._Posterior(y, trend, x, widths, effects, multiplicative)
+    w = np.hstack(got[:2])
+    gradient, _, _ = posterior.step(w, fitting.ROUNDING)
+    assert np.abs(gradient).max() < 0.05
+    numeric = [
+        (posterior.value(w + h, fitting.ROUNDING) - posterior.value(w - h, fitting.ROUNDING)) / 2e-6
+        for h in 1e-6 * np.eye(w.shape[1])[[0, 1, 5, 27, 40, 50]]
+    ]
+    assert np.allclose(np.array(numeric).T, gradient[:, [0, 1, 5, 27, 40, 50]], atol=1e-2)
+    first, second = (fitting.predicted(*e[:2], trend, x, multiplicative) for e in (got, more))
+    assert np.allclose(first, second, atol=1e-9)
+
+
+def test_a_record_that_does_not_converge_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(fitting, "STEP_LIMIT", 1)
+    t = np.linspace(0, 1, 30)
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(30, 2)), rng.normal(size=30) ** 2
+    stands = fitting.map_estimates(y, fitting._trend(t, [0.5]), x, [0.05], np.ones((1, 2)), True, 1)[3]
+    assert not stands.any()
 
 
 def test_forecast_of_generated_data(spark):
@@ -294,3 +333,51 @@ def test_log_scale_and_prepared_weeks(spark, daily_frame):
     assert run.weekly.where("is_outlier").count() == 1
     assert run.results.first().Status == weekly.SUCCESS
     assert run.comparison.where("yhat between 20 and 40").count() == 2
+    # components on the scale of the data, too
+    parts = run.components.orderBy("ds").collect()
+    assert all(20 < r.yhat < 40 and 20 < r.trend < 40 for r in parts[2:])
+    ahead = {r.ds: r.yhat for r in run.forecast.collect()}
+    assert all(abs(ahead[r.ds] - r.yhat) < 1e-6 for r in parts if r.step > 0)
+    # the outlier is gone from the lag of the week after it, and held-out actuals are as sold
+    assert run.weekly.agg(F.max("y_lag1")).first()[0] < 60
+    held = run.weekly.where("not is_train").orderBy("ds")
+    assert [r.y for r in held.collect()] == [r.y for r in run.comparison.orderBy("ds").collect()]
+    # stored models carry their scale: the weekly job publishes quantities
+    job = forecasting.weekly_job(run.models, run.weekly.select(*SERIES, "ds", "y", *PROMO, LAG), "2024-08-01")
+    assert job.where("predicted_quantity between 20 and 40").count() == 4
+    with pytest.raises(Exception, match="weather grain"):
+        forecasting.weekly_job(run.models, run.weekly, "2024-08-01", weather_grain="row").collect()
+
+
+def test_holdout_outliers_are_not_prepared(spark):
+    """A jump in the holdout stays, and does not change the training weeks."""
+    calm = weekly_rows(spark, ["a"], weeks=40)
+    last = START + dt.timedelta(days=7 * 39)
+    jump = calm.withColumn("y", F.when(F.col("ds") == F.lit(last), 9000.0).otherwise(F.col("y")))
+
+    def prepared(rows):
+        return weekly.prepared_training(weekly.split_holdout(rows), quality.outliers)
+
+    got = prepared(jump)
+    assert got.count() == 40 and got.where("y = 9000 and not is_train").count() == 1
+    columns = [*SERIES, "ds", "y", "is_outlier", LAG]
+    train = [df.where("is_train").select(*columns).orderBy("ds").collect() for df in (got, prepared(calm))]
+    assert train[0] == train[1]
+
+
+def test_given_holidays_reach_fit_and_forecast(spark):
+    """A day off that no rule knows has its effect in the model; the holiday rule is the model's."""
+    days = [START + dt.timedelta(days=7 * i - 2) for i in range(3, 130, 9)]
+    table = spark.createDataFrame([(d,) for d in days], "ds date")
+    rows = holidays.with_holiday_table(weekly_rows(spark, ["a"]), table, "week")
+    rows = rows.withColumn("y", F.col("y") + 30 * F.col("holiday"))
+    split = weekly.split_holdout(rows).cache()
+    models = fitting.fit_models(split, params_for(rows), "week").cache()
+    assert models.first().holiday_match == "week"
+    parts = forecasting.predict(models, split.where("is_train"))
+    off = parts.join(rows.where("holiday = 1").select(*SERIES, "ds"), [*SERIES, "ds"])
+    assert off.where("holidays between 20 and 40").count() == off.count() > 10
+    ruled = fitting.fit_models(weekly.split_holdout(rows.drop("holiday")), params_for(rows), "week")
+    assert abs(ruled.first().beta[design.HOLIDAY_AT] * ruled.first().y_scale) < 15
+    future = holidays.with_holiday_table(regressors.future_regressors(split), table, "week")
+    assert forecasting.iterative_forecast(models, future).count() == 4
