@@ -1,17 +1,13 @@
-"""Lineage cuts that survive executor loss, checked broadcasts, spreading of costly rows."""
+"""Lineage cuts that survive executor loss, spreading of costly and of repeated rows."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest dimension, in rows, that is sent whole to every executor.
-BROADCAST_ROWS = 200_000
-
-
 #: Scratch folder of a local session that names none, by application.
 _local_folders: dict[str, str] = {}
 
@@ -33,33 +29,24 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where several later jobs read the same costly result.  Unlike a cache the
-    files outlive any executor, and readers still prune columns and row groups.
+    files outlive any executor, and readers still prune columns and row groups.  Packed tightly,
+    because the folder is shared.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when it is counted to fit.
-
-    The count stops at ``max_rows + 1``.  A larger frame is returned unmarked: the join
-    is then a shuffle join, where adaptive execution splits hot keys.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Several partitions per core, by ``keys``.
+    """Several partitions per core at least, by ``keys``; as many as shuffles have if that is more.
 
-    For rows that cost time rather than bytes (a fit, a row to be repeated many times): their
-    size says nothing, so the number is given and not left to adaptive coalescing.
+    For rows that cost time rather than bytes (a fit): their size says nothing, so the number is
+    given and not left to adaptive coalescing.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(4 * cores, *keys)
+    spark = df.sparkSession
+    least = 4 * spark.sparkContext.defaultParallelism
+    return df.repartition(max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
 #: Rows made from one row at once when rows are repeated.
@@ -69,15 +56,23 @@ REPEAT_CHUNK = 1024
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Every row as often as its ``times`` column says, without that column.
 
-    Rows become chunks, the chunks are spread over the cluster, and each is unrolled where it
-    lands: a row repeated a billion times neither sits in one task nor in one array.
+    A row is unrolled where it is, up to one chunk of copies.  Further copies become chunks of
+    their own, which are dealt out evenly over the cluster: a row repeated a billion times
+    neither sits in one task nor in one array, and the others are not shuffled for it.
     """
     names = [c for c in df.columns if c != times]
-    whole = F.floor((F.col(times) - 1) / REPEAT_CHUNK).cast("bigint")
-    chunks = df.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), whole)).alias("_chunk"))
-    left = F.col(times) - F.col("_chunk") * REPEAT_CHUNK
-    size = F.least(left, F.lit(REPEAT_CHUNK)).cast("int")
-    unrolled = spread(chunks, [*names, "_chunk"]).select(
-        *names, F.explode(F.sequence(F.lit(1), size)).alias("_copy")
+
+    def unrolled(rows: DataFrame, count: Column) -> DataFrame:
+        copies = F.sequence(F.lit(1), count.cast("int"))
+        return rows.select(*names, F.explode(copies).alias("_copy")).drop("_copy")
+
+    here = unrolled(df.where(F.col(times) > 0), F.least(F.col(times), F.lit(REPEAT_CHUNK)))
+    left = F.col(times) - F.lit(REPEAT_CHUNK).cast("bigint")
+    last = F.floor((left - 1) / REPEAT_CHUNK).cast("bigint")
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_chunk")
+    chunks = spread(
+        df.where(left > 0).select(*names, left.alias("_left"), numbers), [*names, "_chunk"]
     )
-    return unrolled.drop("_copy")
+    rest = F.col("_left") - F.col("_chunk") * REPEAT_CHUNK
+    there = unrolled(chunks, F.least(rest, F.lit(REPEAT_CHUNK)))
+    return here.unionByName(there)

@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.durable import broadcast_if_small
 from shelfcast.functions.dates import as_of_day, iso_day, latest_sunday
 from shelfcast.operators.ingest import LOADED
 from shelfcast.schemas import FROZEN_SALES, FROZEN_STOCKS
@@ -49,8 +48,8 @@ def frozen_sales(
     )
     contracts = catalog.select("SKU_ID", F.col("parent_1_document").alias("contract"))
     return (
-        lines.join(broadcast_if_small(channels), "customer_ID", "left")
-        .join(broadcast_if_small(contracts), "SKU_ID", "left")
+        lines.join(channels, "customer_ID", "left")
+        .join(contracts, "SKU_ID", "left")
         .select(*FROZEN_SALES.names)
     )
 

@@ -44,13 +44,24 @@ def latest_file_day(table: DataFrame) -> Column:
     return table.agg(F.max(FILE_DAY)).scalar()
 
 
-def newest_file(main: DataFrame, landing: DataFrame) -> DataFrame:
+def loaded_upto(audit: DataFrame, destination: str) -> Column:
+    """The newest file day that the load audit has for a table."""
+    mine = audit.where((F.col("destination_table") == destination) & (F.col("status") == LOADED))
+    return mine.agg(F.max("date_from_file_name").cast("date")).scalar()
+
+
+def newest_file(
+    main: DataFrame, landing: DataFrame, upto: Column | None = None
+) -> DataFrame:
     """Rows of the newest landing file, or none unless it is newer than all of ``main``.
 
-    With an empty ``main`` the comparison is unknown and nothing is loaded.
+    ``upto`` is the newest file day of ``main`` where something knows it (see
+    :func:`loaded_upto`); otherwise a column of ``main`` is read for it.  With an empty ``main``
+    the comparison is unknown and nothing is loaded.
     """
     latest = latest_file_day(landing)
-    return landing.where((F.col(FILE_DAY) == latest) & (latest > latest_file_day(main)))
+    known = latest_file_day(main) if upto is None else upto
+    return landing.where((F.col(FILE_DAY) == latest) & (latest > known))
 
 
 def restated_days(rows: DataFrame) -> DataFrame:
@@ -89,13 +100,17 @@ def replace_days(main: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def daily_merge(
-    main: DataFrame, landing: DataFrame, trim: bool = False, placeholder: bool = False
+    main: DataFrame,
+    landing: DataFrame,
+    trim: bool = False,
+    placeholder: bool = False,
+    upto: Column | None = None,
 ) -> DataFrame:
     """``main`` after the newest landing file has been folded in.
 
     The sales table uses ``trim`` and ``placeholder``, the stock table neither.
     """
-    newest = newest_file(main, landing)
+    newest = newest_file(main, landing, upto)
     loaded = trim_text_columns(newest) if trim else newest
     merged = replace_days(main, loaded)
     return merged.unionByName(placeholder_row(newest)) if placeholder else merged
@@ -173,7 +188,11 @@ def replay_audit(
 
 
 def merge_into_table(
-    landing: DataFrame, main_path: str, trim: bool = False, placeholder: bool = False
+    landing: DataFrame,
+    main_path: str,
+    trim: bool = False,
+    placeholder: bool = False,
+    upto: Column | None = None,
 ) -> None:
     """Fold the newest landing file into a stored table, touching only its own dates.
 
@@ -183,7 +202,7 @@ def merge_into_table(
     readers must wait for it: the partitions are read and replaced in place.
     """
     main = read_table(landing.sparkSession, main_path, landing.schema)
-    newest = newest_file(main, landing)
+    newest = newest_file(main, landing, upto)
     changed = trim_text_columns(newest) if trim else newest
     undated = changed.where(F.col("date").isNull()).agg(F.count(F.lit(1))).scalar()
     beside = main.where(F.col("date").isNull() & (undated > 0))

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.durable import broadcast_if_small, repeat_rows
+from shelfcast.durable import repeat_rows
 from shelfcast.functions.dates import as_of_day
 
 #: Days looked back, days the totals are divided by, forecast kind used.
@@ -33,6 +33,18 @@ def recent_sales(sales: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
 
 
+def window_by_day(recent: DataFrame) -> DataFrame:
+    """Lines and totals of each SKU, unit, customer and day.
+
+    Lines, last day and averages of the report all come from this one exchange.
+    """
+    return recent.groupBy("SKU_ID", "SKU", "unit", "customer_ID", "date").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("amount").alias("amount"),
+    )
+
+
 def sales_averages(recent: DataFrame) -> DataFrame:
     """Daily averages per SKU and unit: window totals over 14."""
     return recent.groupBy("SKU_ID", "unit").agg(
@@ -54,7 +66,7 @@ def latest_stock(
     per_warehouse = (
         snapshot.groupBy("SKU_ID", "warehouse")
         .agg(F.sum("stock").alias("stock"))
-        .join(broadcast_if_small(units), "warehouse", "left")
+        .join(units, "warehouse", "left")
     )
     if not stock_by_unit:
         return per_warehouse.select("SKU_ID", "warehouse", "mapped_unit", "stock")
@@ -81,15 +93,15 @@ def report_by_combination(
     stock_by_unit: bool = False,
 ) -> DataFrame:
     """The report with equal lines folded into one row and counted in ``lines``."""
-    recent = recent_sales(sales, as_of)
+    recent = window_by_day(recent_sales(sales, as_of))
     channels = customers.select(
         F.col("child_code").alias("customer_ID"), F.col("parent_3_name").alias("channel")
     )
     sold = (
         recent.where(F.col("date") == recent.agg(F.max("date")).scalar())
         .groupBy("SKU_ID", "SKU", "unit", "customer_ID")
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .join(broadcast_if_small(channels), "customer_ID", "left")
+        .agg(F.sum("lines").alias("lines"))
+        .join(channels, "customer_ID", "left")
         .groupBy("SKU_ID", "SKU", "unit", "channel")
         .agg(F.sum("lines").alias("lines"))
     )

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.durable import broadcast_if_small
 from shelfcast.operators.holidays import GIVEN
 from shelfcast.schemas import LAG, PROMO, SERIES, WEATHER
 
@@ -77,7 +76,7 @@ def future_regressors(
         renamed = weather_forecast.select(
             "ds", *[F.col(c).alias(f"_fc_{c}") for c in forecast_names]
         )
-        out = out.join(broadcast_if_small(renamed), "ds", "left")
+        out = out.join(renamed, "ds", "left")
 
     def filled(name: str) -> Column:
         options = [F.col(f"_fc_{name}")] if name in forecast_names else []

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.durable import broadcast_if_small
 from shelfcast.functions.dates import closing_sunday, span_days, week_series
 from shelfcast.schemas import LAG, PROMO, SERIES, TEMPERATURES, WEATHER
 from shelfcast.sources.weather import weekly_weather
@@ -40,7 +39,7 @@ def series_window(*order_by: str):
 def join_daily_weather(daily: DataFrame, weather: DataFrame) -> DataFrame:
     """Daily weather beside every sales row; a day without weather counts as 0."""
     present = [c for c in WEATHER if c in weather.columns]
-    days = broadcast_if_small(weather.select("ds", *present))
+    days = weather.select("ds", *present)
     return daily.join(days, "ds", "left").fillna(0.0, subset=present)
 
 

@@ -76,8 +76,11 @@ def run_batch(
     ``prepare`` is applied to the training weeks, for instance outlier handling; accuracy is
     measured on untouched actuals.  ``holiday_table`` (``ds``) replaces the holiday rule.
     """
-    daily = daily_sales(sales, series, start_date, end_date)
-    cells = settle(weekly.weekly_cells(daily, weather, weather_grain), "cells")
+    daily = daily_sales(sales, None, start_date, end_date)
+    cells = weekly.weekly_cells(daily, weather, weather_grain)
+    # The list meets cells, not lines.  Where it is small enough to be broadcast, the optimiser
+    # moves this join below the aggregate, to the scan.
+    cells = settle(cells.join(series.select(*SERIES).distinct(), SERIES, "left_semi"), "cells")
     gate = weekly.series_gate(cells, validation_days)
     passed = gate.where(F.col("status").isNull()).select(*SERIES)
     filled = weekly.fill_weeks(cells.join(passed, SERIES, "left_semi"))

@@ -54,8 +54,8 @@ def query(fn: Query) -> Query:
 
 
 def stored(df):
-    """Weekly rows that several model steps read are written once, as in the batch run."""
-    return settle(df, "weekly")
+    """Rows that several steps read are written once: stand-ins for stored tables, weekly rows."""
+    return settle(df, "given")
 
 
 def daily(spark, sf):
@@ -212,8 +212,11 @@ def daily_sales_seed(spark, sf):
 
 @query
 def daily_sales_merge(spark, sf):
-    landing = given.landing_sales(spark, sf)
-    return ingest.daily_merge(given.seeded_sales(landing), landing, trim=True, placeholder=True)
+    landing = stored(given.landing_sales(spark, sf))
+    main = stored(given.seeded_sales(landing))
+    audit = ingest.load_audit(main, "main_sales", AS_OF)
+    upto = ingest.loaded_upto(audit, "main_sales")
+    return ingest.daily_merge(main, landing, trim=True, placeholder=True, upto=upto)
 
 
 @query
@@ -310,10 +313,10 @@ def frozen_stocks(spark, sf):
 
 
 def combinations(spark, sf, sales=None, **kw):
-    sales = given.sku_sales(spark, sf) if sales is None else sales
+    sales = stored(given.sku_sales(spark, sf)) if sales is None else sales
     return inventory.report_by_combination(
         sales,
-        ingest.replay(given.landing_stocks(spark, sf)),
+        stored(ingest.replay(given.landing_stocks(spark, sf))),
         given.customers(spark, sf),
         given.goods(spark, sf),
         given.catalog(spark, sf),
@@ -346,7 +349,7 @@ def report_with_forecast(spark, sf):
 
 @query
 def report_sku_overlap(spark, sf):
-    sales = given.sku_sales(spark, sf)
+    sales = stored(given.sku_sales(spark, sf))
     return inventory.skus_with_any_forecast(
         combinations(spark, sf, sales), given.forecasts(spark, sf, sales)
     )
@@ -354,7 +357,7 @@ def report_sku_overlap(spark, sf):
 
 @query
 def forecast_vs_report(spark, sf):
-    sales = given.sku_sales(spark, sf)
+    sales = stored(given.sku_sales(spark, sf))
     return inventory.forecast_beside_report(
         given.forecasts(spark, sf, sales), combinations(spark, sf, sales)
     )

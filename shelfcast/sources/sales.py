@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.durable import broadcast_if_small
 from shelfcast.functions.dates import parse_day
 from shelfcast.functions.text import number_or_zero
 from shelfcast.schemas import SERIES
@@ -39,7 +38,7 @@ def daily_sales(
     )
     if series is not None:
         wanted = series.select(*SERIES).distinct()
-        out = out.join(broadcast_if_small(wanted), SERIES, "left_semi")
+        out = out.join(wanted, SERIES, "left_semi")
     return out
 
 

@@ -27,15 +27,10 @@ def test_scan_reads_needed_columns_only(spark, sf):
     assert "l_extendedprice" not in plan and "l_discount" not in plan
 
 
-def test_large_dimensions_join_by_shuffle(spark, sf, monkeypatch):
-    """Beyond the broadcast limit the joins shuffle, with the same rows."""
+def test_large_dimensions_join_by_shuffle(spark, sf):
+    """Without broadcasts the joins shuffle, with the same rows."""
     from check_oracles import compare, connect
 
-    from shelfcast.operators import frozen, inventory
-    from shelfcast.sources import sales
-
-    for module in (frozen, inventory, sales):
-        monkeypatch.setattr(module, "broadcast_if_small", lambda df: df)
     con, sql = connect(sf), entry.oracle_sql()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
@@ -48,3 +43,39 @@ def test_large_dimensions_join_by_shuffle(spark, sf, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def cells_of_listed(spark, sf):
+    """The cells of listed series, as the batch run takes them."""
+    from shelfcast.operators import weekly
+    from shelfcast.plans import standins
+    from shelfcast.schemas import SERIES
+    from shelfcast.sources import series_list
+    from shelfcast.sources.sales import daily_sales
+
+    listed = series_list.normalise_series_list(standins.series_list(spark, sf))
+    cells = weekly.weekly_cells(daily_sales(standins.sales(spark, sf)))
+    return cells.join(listed.select(*SERIES).distinct(), SERIES, "left_semi")
+
+
+def test_long_series_lists_meet_cells_and_not_lines(spark, sf):
+    """No exchange on the way to the filter carries raw lines, however long the list is."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(cells_of_listed(spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    lines = plan.splitlines()
+    on_series = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(SKU_ID" in line]
+    assert on_series
+    for i in on_series:  # what is dealt out by series has been aggregated below
+        assert any("HashAggregate" in line for line in lines[i + 1 : i + 4]), lines[i : i + 4]
+
+
+def test_inputs_of_merge_and_report_are_read_once(spark, sf):
+    """Stand-ins are stored first: what is left of them in the plan are plain scans."""
+    for name in ("daily_sales_merge", "stock_cover_report"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_shipdate" not in plan and "o_custkey" not in plan, name

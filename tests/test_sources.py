@@ -122,13 +122,8 @@ def test_newest_model_counts(spark, folder):
     assert tables.read_table(spark, f"{folder}/r").first().run_id == "run1"
 
 
-def test_settle_and_checked_broadcast(spark):
-    df = spark.range(10)
-    assert durable.settle(df).count() == 10
-    small = durable.broadcast_if_small(df, max_rows=10)
-    large = durable.broadcast_if_small(df, max_rows=9)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+def test_settle(spark):
+    assert durable.settle(spark.range(10)).count() == 10
 
 
 def test_text_and_numbers(spark):
