@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.durable import spread
-from shelfcast.operators.design import HOLIDAY_AT, design, knots, regressor_names
+from shelfcast.operators.design import CHANGEPOINTS, HOLIDAY_AT, design, knots, regressor_names
 from shelfcast.operators.weekly import FAILED, SUCCESS
 from shelfcast.schemas import PARAMETERS, SERIES
 
@@ -303,15 +303,65 @@ HELD_SCHEMA = (
 )
 HELD_COLUMNS = [*SERIES, "fold", "param_id", "ds", "y", "yhat", "error"]
 
-
-def fit_and_hold_out(pdf: pd.DataFrame, records: pd.DataFrame) -> pd.DataFrame:
+#: Sums over the held-out weeks of one fold, from which the metrics of a record are made.
+SUMS_SCHEMA = (
+    "SKU_ID string, Channel string, Unit string, fold int, param_id int, "
+    "changepoint_prior_scale double, seasonality_prior_scale double, "
+    "holidays_prior_scale double, seasonality_mode string, changepoint_range double, "
+    "weeks bigint, absolute double, squared double, relative double, error string"
+)
+SUMS_COLUMNS = [
+    *SERIES, "fold", "param_id", *PARAMETERS, "weeks", "absolute", "squared", "relative", "error",
+]
+
+
+def _unpacked(packed: pd.DataFrame) -> pd.DataFrame:
+    """The records of one group, which arrive as one row with an array."""
+    records = pd.DataFrame(list(packed["records"].iloc[0]))
+    weeks = int(packed["weeks_before"].iloc[0])
+    knots_of = {r: _knots(weeks, r) for r in records["changepoint_range"].unique()}
+    return records.assign(knots=records["changepoint_range"].map(knots_of))
+
+
+def _knots(weeks: int, changepoint_range: float) -> list[float]:
+    """The changepoints of :func:`design.knots`."""
+    reach = int(np.floor(weeks * changepoint_range))
+    count = min(CHANGEPOINTS, reach - 1)
+    if count <= 0:
+        return []
+    return [float(np.rint(j * (reach - 1) / count) / (weeks - 1)) for j in range(1, count + 1)]
+
+
+def hold_out_sums(pdf: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
+    """Error sums of every record over the held-out weeks of one series and fold."""
+    if pdf.empty or packed.empty:
+        return pd.DataFrame(columns=SUMS_COLUMNS)
+    records = _unpacked(packed)
+    held = fit_and_hold_out(pdf, packed)
+    miss = (held["y"] - held["yhat"]).abs()
+    size = held["y"].abs() + held["yhat"].abs()
+    held = held.assign(
+        weeks=1, absolute=miss, squared=miss * miss,
+        relative=np.where(size != 0, 2 * miss / size.where(size != 0, 1.0), 0.0),
+    )
+    sums = held.groupby("param_id", sort=False)[["weeks", "absolute", "squared", "relative"]].sum(min_count=1)
+    sums["error"] = held.groupby("param_id", sort=False)["error"].first()
+    out = records.join(sums, on="param_id")
+    for key in [*SERIES, "fold"]:
+        out[key] = pdf[key].iloc[0]
+    out["weeks"] = out["weeks"].fillna(0).astype("int64")
+    return out[SUMS_COLUMNS]
+
+
+def fit_and_hold_out(pdf: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
     """Predictions of the held-out weeks of one series and fold for every record.
 
     Records with the same changepoint range and mode share their matrices and are solved
     together.
     """
-    if pdf.empty or records.empty:
+    if pdf.empty or packed.empty:
         return pd.DataFrame(columns=HELD_COLUMNS)
+    records = _unpacked(packed)
     pdf = pdf.sort_values("ds")
     train = pdf["is_train"].to_numpy(bool)
     held = pdf.loc[~train, [*SERIES, "fold", "ds", "y"]]
@@ -347,13 +397,14 @@ def fit_and_hold_out(pdf: pd.DataFrame, records: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(parts)[HELD_COLUMNS]
 
 
-def held_out_predictions(
-    train: DataFrame, records: DataFrame, folds: DataFrame, holiday_match: str = "sunday"
-) -> DataFrame:
-    """Cross-validation predictions of every record on every fold.
+def _cross_validation(
+    train: DataFrame, records: DataFrame, folds: DataFrame, holiday_match: str
+):
+    """Weekly rows beside the records, grouped by series and fold.
 
-    One group is one series and fold: its weekly rows, bounded by the calendar, and its
-    records, bounded by the grid.
+    A group has weekly rows, bounded by the calendar, and one row with all its records, bounded
+    by the grid.  The records of a series are made in one task and packed there, so what is
+    shuffled of them is one row for each series.
     """
     by_fold = [*SERIES, "fold"]
     rows = (
@@ -364,17 +415,26 @@ def held_out_predictions(
     ready = design(spread(rows, by_fold), by_fold, holiday_match).select(
         *by_fold, "ds", "y", "is_train", "y_scale", "t", "x"
     )
-    tried = folds.select(*by_fold, "weeks_before").join(records, SERIES)
-    tried = spread(
-        tried.select(
-            # New column identities, because both sides stem from the same frame.
-            *[F.col(c).alias(c) for c in [*by_fold, "param_id", *PARAMETERS]],
-            knots(F.col("weeks_before"), F.col("changepoint_range")).alias("knots"),
-        ),
-        by_fold,
-    )
-    return (
-        ready.groupBy(*by_fold)
-        .cogroup(tried.groupBy(*by_fold))
-        .applyInPandas(fit_and_hold_out, HELD_SCHEMA)
+    packed = records.groupBy(*SERIES).agg(
+        F.array_sort(F.collect_list(F.struct("param_id", *PARAMETERS))).alias("records")
     )
+    tried = folds.select(*by_fold, "weeks_before").join(packed, SERIES)
+    # New column identities, because both sides stem from the same frame.
+    tried = spread(tried.select(*[F.col(c).alias(c) for c in tried.columns]), by_fold)
+    return ready.groupBy(*by_fold).cogroup(tried.groupBy(*by_fold))
+
+
+def held_out_predictions(
+    train: DataFrame, records: DataFrame, folds: DataFrame, holiday_match: str = "sunday"
+) -> DataFrame:
+    """Cross-validation predictions of every record on every fold and week."""
+    groups = _cross_validation(train, records, folds, holiday_match)
+    return groups.applyInPandas(fit_and_hold_out, HELD_SCHEMA)
+
+
+def held_out_sums(
+    train: DataFrame, records: DataFrame, folds: DataFrame, holiday_match: str = "sunday"
+) -> DataFrame:
+    """Error sums of every record on every fold: one row each, with the record's parameters."""
+    groups = _cross_validation(train, records, folds, holiday_match)
+    return groups.applyInPandas(hold_out_sums, SUMS_SCHEMA)

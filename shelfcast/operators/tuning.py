@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import mae, rmse, smape
 from shelfcast.functions.numeric import INFINITY, is_finite
-from shelfcast.operators.fitting import held_out_predictions
+from shelfcast.operators.fitting import held_out_sums
 from shelfcast.schemas import PARAMETERS, SERIES
 
 NUMERIC_PARAMETERS = [p for p in PARAMETERS if p != "seasonality_mode"]
@@ -42,8 +42,32 @@ def score_records(held_out: DataFrame, records: DataFrame) -> DataFrame:
 def tune(
     train: DataFrame, records: DataFrame, folds: DataFrame, holiday_match: str = "sunday"
 ) -> DataFrame:
-    """Cross-validation results: one row per series and record."""
-    return score_records(held_out_predictions(train, records, folds, holiday_match), records)
+    """Cross-validation results: one row per series and record.
+
+    The sums of the folds are added up, and nothing is joined: every row brings its record.
+    Series without a fold get infinite metrics, as records with an error do.
+    """
+    sums = held_out_sums(train, records, folds, holiday_match).groupBy(*SERIES, "param_id", *PARAMETERS).agg(
+        *[F.sum(c).alias(c) for c in ("weeks", "absolute", "squared", "relative")],
+        F.max("error").alias("error"),
+    )
+    never = records.join(folds.select(*SERIES).distinct(), SERIES, "left_anti").select(
+        *SERIES, "param_id", *PARAMETERS, F.lit(0).cast("bigint").alias("weeks"),
+        *[F.lit(None).cast("double").alias(c) for c in ("absolute", "squared", "relative")],
+        F.lit(None).cast("string").alias("error"),
+    )
+    both = sums.unionByName(never)
+    failed = F.col("error").isNotNull() | (F.col("weeks") == 0)
+
+    def mean(name: str) -> Column:
+        return F.try_divide(F.col(name), F.col("weeks"))
+
+    metrics = {"mae": mean("absolute"), "rmse": F.sqrt(mean("squared")), "smape": mean("relative")}
+    return both.select(
+        *SERIES, "param_id", *PARAMETERS,
+        *[F.when(failed, F.lit(INFINITY)).otherwise(m).alias(n) for n, m in metrics.items()],
+        "error",
+    )
 
 
 def params_text() -> Column:

@@ -166,7 +166,7 @@ def weekly_resample(spark, sf):
 
 @query
 def weekly_gap_filled(spark, sf):
-    """Single customers' series, which have many empty weeks."""
+    """Series of towns, which have many empty weeks."""
     by_town = given.sales(spark, sf).withColumn("unit", F.col("town"))
     return weekly.weekly_features(sales_source.daily_sales(by_town))
 

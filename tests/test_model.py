@@ -224,6 +224,16 @@ def test_schedule_and_tuning(spark):
     assert scored.count() == 5 and scored.where("smape < 2").count() == 5
     best = tuning.best_params(scored).first()
     assert best.smape == scored.agg(F.min("smape")).first()[0]
+    # The sums of folds give the metrics that scoring the held-out weeks gives.
+    by_week = tuning.score_records(fitting.held_out_predictions(split, records, grid.cv_schedule(rows)), records)
+    columns = ["param_id", *PARAMETERS, "mae", "rmse", "smape", "error"]
+    for a, b in zip(*(df.select(*columns).orderBy("param_id").collect() for df in (scored, by_week))):
+        assert a[:6] == b[:6] and np.allclose(a[6:9], b[6:9]) and a.error == b.error is None
+    assert tuning.tune(split, records, grid.cv_schedule(rows).limit(0)).where("smape = double('inf')").count() == 5
+    for weeks in (3, 10, 58, 300):
+        for reach in (0.8, 0.9, 0.95):
+            placed = spark.range(1).select(design.knots(F.lit(weeks), F.lit(reach)).alias("k")).first().k
+            assert np.allclose(placed, fitting._knots(weeks, reach), atol=1e-15)
     # The held-out forecast of a record is that of a model fitted to the fold.
     held = fitting.held_out_predictions(split, records, grid.cv_schedule(rows))
     record = held.where("param_id = 0").orderBy("ds").collect()
