@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.durable import repeat_rows, settle
+from shelfcast.durable import fresh_path, repeat_rows, settle
 from shelfcast.functions import numeric, text
 from shelfcast.operators import (
     design,
@@ -30,7 +31,7 @@ from shelfcast.plans import batch
 from shelfcast.plans import standins as given
 from shelfcast.plans.present import present
 from shelfcast.schemas import PARAMETERS, PROMO, WEATHER
-from shelfcast.sources import dimensions, series_list, weather
+from shelfcast.sources import dimensions, series_list, tables, weather
 from shelfcast.sources import sales as sales_source
 from shelfcast.sources.tables import latest_models, with_partition_day
 
@@ -151,6 +152,60 @@ def weather_forecast_window(spark, sf):
     return weather.limit_forecast(weather.complete_variables(days), "2001-10-20", 35)
 
 
+# --- files and stored tables --------------------------------------------------------------
+
+
+@query
+def series_list_file(spark, sf):
+    """The list written as CSV and read again."""
+    path = fresh_path(spark, "series-list")
+    tables.write_csv(given.series_list(spark, sf), path)
+    return series_list.read_series_list(spark, path)
+
+
+@query
+def weather_files(spark, sf):
+    """Weather payloads, each in a JSON file of its own."""
+    path = fresh_path(spark, "weather")
+    payloads = given.weather_payload(spark, sf).select("payload")
+    payloads.write.option("maxRecordsPerFile", 1).text(path)
+    return weather.read_weather_history(spark, path)
+
+
+@query
+def weekly_rows_stored(spark, sf):
+    """Weekly rows laid out by unit and channel, two units restated, and read again."""
+    path = fresh_path(spark, "weekly")
+    rows = weekly_lag.__wrapped__(spark, sf)
+    tables.overwrite(rows.withColumn("y", -F.col("y")), path, ["Unit", "Channel"])
+    for unit in ("ASIA", "EUROPE"):
+        tables.replace_partitions(rows.where(F.col("Unit") == unit), path, ["Unit", "Channel"])
+    return tables.read_table(spark, path, rows.schema).select(*rows.columns)
+
+
+@query
+def run_metrics_stored(spark, sf):
+    """Result rows of two runs, appended and read again."""
+    path = fresh_path(spark, "results")
+    scored = stored(evaluate.rounded_metrics(evaluate.score(naive_comparison(spark, sf))))
+    for run in ("2001-10-28", "2001-11-04"):
+        tables.write_results(scored, path, run)
+    both = tables.read_table(spark, path)
+    return both.select(*KEYS, F.col("run_id").cast("string").alias("run_id"), "MAE", "WAPE")
+
+
+@query
+def latest_models_stored(spark, sf):
+    """Model rows appended twice: the newest of each series counts."""
+    path = fresh_path(spark, "models")
+    models = stored(lag_models(training(spark, sf)))
+    tables.write_models(models, path, dt.datetime(2001, 10, 28))
+    newer = models.where(F.col("Unit") != "ASIA").withColumn("offset", F.col("offset") + 1)
+    tables.write_models(newer, path, dt.datetime(2001, 11, 4))
+    latest = tables.latest_models(tables.read_table(spark, path))
+    return latest.select(*KEYS, "trained_at", "offset", "last_y", F.element_at("beta", -1).alias("slope"))
+
+
 # --- weekly series ------------------------------------------------------------------------
 
 

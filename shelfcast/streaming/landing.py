@@ -32,7 +32,9 @@ def fold_batch(
 
     ``arrived_path`` keeps the rows of all batches so far.  A file day that is there replaces
     stored rows of the same file day; stored rows of other file days take part as they are.
-    The folder can be emptied whenever no file day is half arrived.
+    The folder can be emptied whenever no file day is half arrived.  Partitions of the table are
+    read and replaced in place: the storage must commit a dynamic partition overwrite at once, or
+    readers must wait for it.
     """
     spark = batch.sparkSession
     rows = trim_text_columns(batch) if trim else batch
