@@ -540,7 +540,7 @@ def fill_forward_backward(spark, sf):
 
 
 def naive_comparison(spark, sf):
-    held = split(spark, sf)
+    held = stored(split(spark, sf))
     return evaluate.forecast_vs_actual(
         held.where(~F.col("is_train")), evaluate.naive_forecast(held)
     )
@@ -892,7 +892,7 @@ def regressor_information(spark, sf):
 
 @query
 def regressor_selection(spark, sf):
-    return quality.regressor_selection(features(spark, sf)).select(*KEYS, "regressor", "keep")
+    return quality.regressor_selection(stored(features(spark, sf))).select(*KEYS, "regressor", "keep")
 
 
 @query
