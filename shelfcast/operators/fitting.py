@@ -18,6 +18,8 @@ from shelfcast.schemas import PARAMETERS, SERIES
 
 TREND_SCALE = 5.0
 NOISE_SCALE = 0.5
+#: Least noise, as a share of the largest value: a perfect fit would have no mode without it.
+LEAST_NOISE = 1e-3
 #: Laplace priors are rounded off within this distance of 0 (the target is at most 1).
 ROUNDING = 1e-3
 #: Widths passed on the way there, each a start for the next.
@@ -73,10 +75,14 @@ class _Posterior:
         return level, 1.0 + effect if self.multiplicative else effect
 
     def _noise(self, rss):
-        """Mode of the variance under its half-normal prior, and its slope in ``rss``."""
+        """Mode of the variance under its half-normal prior, and its slope in ``rss``.
+
+        At least ``LEAST_NOISE`` squared, where it stays when ``rss`` falls further.
+        """
         n, k = len(self.y), 1.0 / NOISE_SCALE**2
         root = np.sqrt(n * n + 4.0 * k * rss)
-        return np.maximum((root - n) / (2.0 * k), 1e-10), 1.0 / root
+        v = (root - n) / (2.0 * k)
+        return np.maximum(v, LEAST_NOISE**2), np.where(v > LEAST_NOISE**2, 1.0 / root, 0.0)
 
     def value(self, w, rounding):
         level, effect = self._parts(w)
@@ -119,7 +125,11 @@ class _Posterior:
         c = 2.0 * slope / v**2
         rest = 1.0 - c * (moment * along).sum(axis=1)
         share = np.where(rest > 0.1, c * (moment * plain).sum(axis=1) / np.maximum(rest, 0.1), 0.0)
-        return gradient, plain + share[:, None] * along, v
+        move = plain + share[:, None] * along
+        # rounding errors can turn a step uphill; the scaled gradient never is
+        uphill = (gradient * move).sum(axis=1) >= 0
+        move[uphill] = -gradient[uphill] / hessian[uphill][:, index, index]
+        return gradient, move, v
 
 
 def map_estimates(
@@ -267,10 +277,12 @@ def fit_models(
 
 
 def optimality(models: DataFrame, split: DataFrame, holiday_match: str = "sunday") -> DataFrame:
-    """``steepest``: the largest slope of the log posterior at the stored coefficients.
+    """``slope``: the gradient of the log posterior at the stored coefficients.
 
-    Features are built again from the weekly rows, and the slope comes from the coefficients
-    alone, so this checks what is stored and not the solver's own account.
+    Its length is taken in the posterior's own curvature (the gain that one more Newton step
+    promises), so that it means the same for every series and prior.  Features are built again
+    from the weekly rows, and the slope comes from the coefficients alone: this checks what is
+    stored and not the solver's own account.
     """
     coefficients = ["offset", "slope", "deltas", "beta", "knots"]
     good = models.where(F.col("status") == SUCCESS).select(*SERIES, *PARAMETERS, *coefficients)
@@ -289,11 +301,11 @@ def optimality(models: DataFrame, split: DataFrame, holiday_match: str = "sunday
             one["seasonality_mode"] == "multiplicative",
         )
         w = np.concatenate([[one["offset"], one["slope"]], one["deltas"], one["beta"]])[None]
-        gradient, _, _ = posterior.step(w, ROUNDING)
-        row = {c: one[c] for c in [*SERIES, "weeks"]} | {"steepest": float(np.abs(gradient).max())}
+        gradient, move, _ = posterior.step(w, ROUNDING)
+        row = {c: one[c] for c in [*SERIES, "weeks"]} | {"slope": float(-(gradient * move).sum())}
         return pd.DataFrame([row])
 
-    schema = "SKU_ID string, Channel string, Unit string, weeks bigint, steepest double"
+    schema = "SKU_ID string, Channel string, Unit string, weeks bigint, slope double"
     return ready.groupBy(*SERIES).applyInPandas(slope_of, schema)
 
 

@@ -738,7 +738,7 @@ def fit_optimality(spark, sf):
     held = stored(split(spark, sf))
     models = stored(fitting.fit_models(held, manual_params(held)))
     return fitting.optimality(models, held).select(
-        *KEYS, "weeks", (F.col("steepest") < 0.05).alias("at_mode")
+        *KEYS, "weeks", (F.col("slope").between(-1e-5, 1e-5)).alias("at_mode")
     )
 
 
