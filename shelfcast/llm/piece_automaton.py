@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from math import inf
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from pyspark.sql.types import (
 )
 
 from shelfcast.llm.arrow import map_lists
+from shelfcast.llm.memo import Memo
 
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -41,8 +44,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 
-#: Words, and pairs of pieces, remembered by one Python worker before it starts afresh.
-REMEMBERED_WORDS, REMEMBERED_PAIRS = 500_000, 300_000
+#: Words, and pairs of pieces, remembered by one Python worker.
+REMEMBERED_WORDS, REMEMBERED_PAIRS = 600_000, 600_000
 
 
 class PieceModel:
@@ -84,15 +87,44 @@ class PieceModel:
             self.bytes_of.append(raw)
         self.automaton.make_automaton()
         self.least = min(self.score.values()) - UNKNOWN_PENALTY
-        self.stays: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.characters = frozenset(p for p in self.id if len(p) == 1)
+        #: pairs of characters side by side in some piece: no piece spans any other pair
+        self.adjacent = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
+        self.stays = Memo(self._stay, REMEMBERED_PAIRS)
+        self.known = Memo(self._solve, REMEMBERED_WORDS)
+        if self.kind == BPE:
+            self._trace_merges()
 
     # paths through one word
 
-    def _merged(self, text: str) -> list[str]:
+    def _trace_merges(self) -> None:
+        """How each piece comes about: the pair that its last merge joins, and when.
+
+        A piece is born by its score, characters first of all.  Pieces that merging does not
+        give back, or whose parts are born after them, are ``odd``.
+        """
+        self.made_of: dict[str, tuple[str, str]] = {}
+        self.born = dict.fromkeys(self.characters, inf)
+        self.odd = set()
+        for piece, score in self.score.items():
+            if len(piece) == 1:
+                continue
+            parts = self._merged(piece, until=2)
+            if len(parts) == 2 and piece in self.score:
+                self.made_of[piece] = (parts[0], parts[1])
+                self.born[piece] = score
+            else:
+                self.odd.add(piece)
+        for piece, parts in self.made_of.items():
+            if any(len(p) > 1 and not self.born.get(p, -inf) > self.born[piece] for p in parts):
+                self.odd.add(piece)
+
+    def _merged(self, text: str, until: int = 1) -> list[str]:
         """The merges, run over a short text: best score first, then leftmost."""
         parts = list(text)
         while True:
+            if len(parts) <= until:
+                return parts
             best, at = None, -1
             for i, pair in enumerate(zip(parts, parts[1:])):
                 score = self.score.get(pair[0] + pair[1])
@@ -102,16 +134,34 @@ class PieceModel:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _stay(self, left: str, right: str) -> bool:
-        """Whether merging the two pieces' text gives just these two (``left`` may be empty)."""
-        key = (left, right)
-        known = self.stays.get(key)
-        if known is None:
-            if len(self.stays) >= REMEMBERED_PAIRS:
-                self.stays.clear()
-            want = [left, right] if left else [right]
-            known = self.stays[key] = self._merged(left + right) == want
-        return known
+    def _stay(self, pair: tuple[str, str]) -> bool:
+        """Whether merging the two pieces' text gives just these two (the left may be empty)."""
+        left, right = pair
+        if self.odd.isdisjoint(pair):
+            return self._stay_apart(left, right)
+        return self._merged(left + right) == ([left, right] if left else [right])
+
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """The same for pieces that are not odd, by taking their merges back, latest first.
+
+        Before each merge the two pieces' ends meet; had these merged at an earlier rank, or at
+        the same rank and further left, the pair would not have come about.
+        """
+        if not left:
+            return True
+        score, born, made_of = self.score, self.born, self.made_of
+        limit, tie = -inf, False
+        while True:
+            across = score.get(left + right)
+            if across is not None and (across > limit or (tie and across == limit)):
+                return False
+            born_left, born_right = born.get(left, inf), born.get(right, inf)
+            if born_left < born_right:
+                limit, tie, left = born_left, False, made_of[left][1]
+            elif born_right < inf:
+                limit, tie, right = born_right, True, made_of[right][0]
+            else:
+                return True
 
     def _endings(self, word: str) -> list[list[str]]:
         """By end position: the pieces that end there, longest first."""
@@ -126,10 +176,19 @@ class PieceModel:
 
     def _path_bpe(self, word: str) -> list[str]:
         last: list[str | None] = [""] + [None] * len(word)
+        if self.characters.issuperset(word):
+            stays = self.stays
+            for at, piece in self.automaton.iter(word):  # by end, longest first
+                end = at + 1
+                if last[end] is None:
+                    before = last[end - len(piece)]
+                    if before is not None and stays[before, piece]:
+                        last[end] = piece
+            return self._back(word, last)
         for end, pieces in enumerate(self._endings(word)):
             for piece in pieces:
                 before = last[end - len(piece)]
-                if before is not None and self._stay(before, piece):
+                if before is not None and self.stays[before, piece]:
                     last[end] = piece
                     break
         return self._back(word, last)
@@ -152,6 +211,8 @@ class PieceModel:
         return out[::-1]
 
     def _solve(self, word: str) -> bytes:
+        if len(word) > 1 and word[-2:] not in self.adjacent:  # often a comma or full stop
+            return self.known[word[:-1]] + self.known[word[-1]]
         ids: list[int] = []
         for piece in self._path_bpe(word) if self.kind == BPE else self._path_unigram(word):
             number = self.id.get(piece)
@@ -161,11 +222,7 @@ class PieceModel:
                 ids += [self.byte_id[b] for b in piece.encode("utf-8", "surrogatepass")]
             else:
                 ids.append(self.unknown)
-        value = np.array(ids, "<i4").tobytes()
-        if len(self.known) >= REMEMBERED_WORDS:
-            self.known.clear()
-        self.known[word] = value
-        return value
+        return np.array(ids, "<i4").tobytes()
 
     # texts
 
@@ -173,9 +230,8 @@ class PieceModel:
         """Ids as little-endian 32-bit integers."""
         if not text:
             return b""
-        get, solve = self.known.get, self._solve
         marked = self.prefix + text.replace(" ", SPACE)
-        ids = b"".join([get(w) or solve(w) for w in WORD.findall(marked)])
+        ids = b"".join(map(self.known.__getitem__, WORD.findall(marked)))
         if self.byte_id or self.unknown not in np.frombuffer(ids, "<i4"):
             return ids
         values = np.frombuffer(ids, "<i4")  # a run of unknown characters is one unknown piece
@@ -200,13 +256,18 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-IDS = StructType([StructField("ids", ArrayType(IntegerType()))])
+IDS = StructType(
+    [StructField("ids", ArrayType(IntegerType())), StructField("ids_crc32", LongType())]
+)
 
 
 def encode(
     docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, text, ids`` for every row."""
+    """``doc_id, text, ids, ids_crc32`` for every row.
+
+    The sum is that of the ids as little-endian 32-bit integers.
+    """
 
     def start():
         pieces = piece_model(model)
@@ -218,7 +279,8 @@ def encode(
             values = np.frombuffer(b"".join(f or b"" for f in found), "<i4")
             none = pa.array([f is None for f in found], pa.bool_())
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=none)
-            return {"ids": ids}
+            sums = [None if f is None else crc32(f) for f in found]
+            return {"ids": ids, "ids_crc32": sums}
 
         return work
 
@@ -244,20 +306,3 @@ def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids") -> DataFrame:
         read, start, StructType([StructField("decoded", StringType())]), carry=len(names)
     )
 
-
-def ids_crc32(encoded: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """All columns and ``ids_crc32``: of the ids as little-endian 32-bit integers."""
-    from zlib import crc32
-
-    def start():
-        def work(ids: list) -> dict[str, list]:
-            sums = [None if i is None else crc32(i.astype("<i4").tobytes()) for i in ids]
-            return {"ids_crc32": sums}
-
-        return work
-
-    names = encoded.columns
-    read = encoded.select(*names, F.col(ids_col).alias("read"))
-    return map_lists(
-        read, start, StructType([StructField("ids_crc32", LongType())]), carry=len(names)
-    )

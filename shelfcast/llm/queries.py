@@ -60,8 +60,7 @@ def op4_piece_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text again."""
     model = piece_automaton.read_model(vocabulary(PIECES))
     encoded = piece_automaton.encode(table(spark, sf_dir, "documents"), model)
-    summed = piece_automaton.ids_crc32(encoded)
-    decoded = piece_automaton.decode(summed, model)
+    decoded = piece_automaton.decode(encoded, model)
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32",
         F.octet_length("text").cast("long").alias("n_bytes"),
