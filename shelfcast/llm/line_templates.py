@@ -78,23 +78,26 @@ def dropped_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = M
         ),
         "lines",
     )
-    # a template cannot recur in a leaf of one document
-    shared = (
+    # A template cannot recur in a leaf of one document.  Written, as the templates are below, so
+    # that the join is dealt out by itself and a hot leaf or template can be split.
+    shared = settle(
         hashed.groupBy("leaf")
         .agg(F.min("uid").alias("least"), F.max("uid").alias("most"))
         .where("least < most")
-        .select("leaf")
+        .select("leaf"),
+        "shared-leaves",
     )
     open_lines = settle(hashed.join(shared, "leaf", "left_semi"), "open-lines")
     held = open_lines.select("uid", "doc_id", "at", "leaf", F.explode("templates").alias("template"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", "at")
-    recurring = (
+    recurring = settle(
         held.groupBy("leaf", "template", "uid")
         .agg(F.min(place).alias("place"))
         .groupBy("leaf", "template")
         .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") >= min_docs)
-        .select("leaf", "template", F.col("first.uid").alias("uid_1"), F.col("first.at").alias("at_1"))
+        .select("leaf", "template", F.col("first.uid").alias("uid_1"), F.col("first.at").alias("at_1")),
+        "recurring",
     )
     later = held.join(recurring, ["leaf", "template"]).where("uid <> uid_1 or at <> at_1")
     return later.select("uid", "at").distinct()
