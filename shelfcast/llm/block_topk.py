@@ -87,8 +87,14 @@ class Shard:
         have, want = queries.shape[1], self.rows.shape[1]
         return queries[:, :want] if have >= want else np.pad(queries, ((0, 0), (0, want - have)))
 
-    def search(self, query: np.ndarray, own: int, floor: int | None, top: int) -> list[tuple]:
-        """The ``top`` best ``(score, id, uid)`` that reach ``floor``, all ties broken by id."""
+    def search(
+        self, query: np.ndarray, own: int, floor: int | None, last_id: int | None, top: int
+    ) -> list[tuple]:
+        """The ``top`` best ``(score, id, uid)``, all ties broken by id.
+
+        Scores below ``floor`` are left out, and equal ones with an id after ``last_id``: as
+        many better ones are known elsewhere.
+        """
         floor = None if floor == LONG.min else floor
         exact = float(np.abs(query).max(initial=0)) * self.size * max(1, len(query)) < 2**53
         rows, most, least = self.rows, self.most, self.least
@@ -108,14 +114,14 @@ class Shard:
             ids, uids = (a[low : low + self.block_rows] for a in (self.ids, self.uids))
             pick = uids != own
             if floor is not None:
-                pick &= (scores >= floor).astype(bool)
+                pick &= ((scores > floor) | ((scores == floor) & (ids <= last_id))).astype(bool)
             fresh = np.flatnonzero(pick)
             if not len(fresh):
                 continue
             best += [(-_long(scores[i]), int(ids[i]), int(uids[i])) for i in fresh]
             best = sorted(best)[:top]
-            if len(best) == top:
-                floor = -best[-1][0] if floor is None else max(floor, -best[-1][0])
+            if len(best) == top:  # all of them reach the floor, so the last one is the new floor
+                floor, last_id = -best[-1][0], best[-1][1]
         return [(-s, i, u) for s, i, u in best]
 
 
@@ -172,7 +178,7 @@ def _own_shard(shards: DataFrame, block_rows: int, top: int) -> DataFrame:
             found = []
             for i in asks.tolist():
                 own, name = int(shard.uids[i]), int(shard.ids[i])
-                hits = shard.search(shard.rows[i], own, None, top)
+                hits = shard.search(shard.rows[i], own, None, None, top)
                 found += [(own, name, u, v, s) for s, v, u in hits]
             return _hits(found)
 
@@ -220,9 +226,9 @@ def _other_shards(
                     shard = _load(rows, block_rows)
                 found = []
                 queries = shard.fitted(_matrix(part.column("vec")))
-                names = [part.column(c).to_pylist() for c in ("uid", "vec_id", "floor")]
-                for query, own, name, floor in zip(queries, *names):
-                    hits = shard.search(query, own, floor, top)
+                names = [part.column(c).to_pylist() for c in ("uid", "vec_id", "floor", "last_id")]
+                for query, own, name, floor, last_id in zip(queries, *names):
+                    hits = shard.search(query, own, floor, last_id, top)
                     found += [(own, name, u, v, s) for s, v, u in hits]
                 yield _hits(found)
 
@@ -237,12 +243,12 @@ def _other_shards(
 
     held = shards.select(
         "shard", upto(groups - 1).alias("grp"), F.lit(0).alias("kind"), "place", "uid", "vec_id",
-        "vec", F.lit(None).cast("long").alias("floor"),
+        "vec", *[F.lit(None).cast("long").alias(c) for c in ("floor", "last_id")],
     )
     asked = queries.select(
         F.col("shard").alias("lies_in"), upto(last).alias("shard"),
         F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("long").alias("grp"), F.lit(1).alias("kind"),
-        "place", "uid", "vec_id", "vec", "floor",
+        "place", "uid", "vec_id", "vec", "floor", "last_id",
     ).where("lies_in <> shard")
     cells = held.unionByName(asked.drop("lies_in")).repartition("shard", "grp")
     return cells.sortWithinPartitions("shard", "grp", "kind", "place").mapInArrow(run, HITS)
@@ -256,8 +262,11 @@ def top_products(
     """``query_id, rank, vec_id, score``: the best ``top`` of each row whose id divides evenly."""
     shards = build_shards(vectors, id_col, vec_col, query_every, scale, shard_rows)
     near = settle(_own_shard(shards, block_rows, top), "own-hits")
-    floors = near.groupBy(F.col("query_uid").alias("uid")).agg(
-        F.when(F.count(F.lit(1)) == top, F.min("score")).alias("floor")
+    worst = F.max_by(F.struct("score", "vec_id"), F.struct(F.bitwise_not("score"), "vec_id"))
+    floors = (
+        near.groupBy(F.col("query_uid").alias("uid"))
+        .agg(F.when(F.count(F.lit(1)) == top, worst).alias("last"))
+        .select("uid", F.col("last.score").alias("floor"), F.col("last.vec_id").alias("last_id"))
     )
     far = _other_shards(shards, floors, block_rows, cell_queries, top)
     order = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id", "vec_uid")
