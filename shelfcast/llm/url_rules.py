@@ -170,7 +170,8 @@ def judge_pages(
     )
     rules = mine_rules(baskets, min_support, min_confidence, min_lift)
     sets = judged.where(F.col("listed").isNull()).select("items").distinct()
-    decided = match_rules(sets, settle(rules, "kept-rules"))
+    # written, so that the join to the pages is dealt out by itself and a hot set can be split
+    decided = settle(match_rules(sets, settle(rules, "kept-rules")), "decided")
     return judged.join(decided, "items", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("listed", "mined", F.lit(default)).alias("verdict"),
