@@ -46,6 +46,8 @@ UNKNOWN_PENALTY = 10.0
 
 #: Words, and pairs of pieces, remembered by one Python worker.
 REMEMBERED_WORDS, REMEMBERED_PAIRS = 600_000, 600_000
+#: Characters of the longest word remembered: text without spaces is one word.
+LONGEST_REMEMBERED = 64
 
 
 class PieceModel:
@@ -211,8 +213,11 @@ class PieceModel:
         return out[::-1]
 
     def _solve(self, word: str) -> bytes:
-        if len(word) > 1 and word[-2:] not in self.adjacent:  # often a comma or full stop
-            return self.known[word[:-1]] + self.known[word[-1]]
+        adjacent = self.adjacent
+        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in adjacent]
+        if cuts:  # often before a comma or full stop; everywhere in text of rare characters
+            ends = [*cuts, len(word)]
+            return self._joined([word[i:j] for i, j in zip([0, *cuts], ends)])
         ids: list[int] = []
         for piece in self._path_bpe(word) if self.kind == BPE else self._path_unigram(word):
             number = self.id.get(piece)
@@ -224,6 +229,13 @@ class PieceModel:
                 ids.append(self.unknown)
         return np.array(ids, "<i4").tobytes()
 
+    def _joined(self, words: list[str]) -> bytes:
+        if len(max(words, key=len)) <= LONGEST_REMEMBERED:
+            return b"".join(map(self.known.__getitem__, words))
+        return b"".join(
+            self.known[w] if len(w) <= LONGEST_REMEMBERED else self._solve(w) for w in words
+        )
+
     # texts
 
     def encode(self, text: str) -> bytes:
@@ -231,7 +243,7 @@ class PieceModel:
         if not text:
             return b""
         marked = self.prefix + text.replace(" ", SPACE)
-        ids = b"".join(map(self.known.__getitem__, WORD.findall(marked)))
+        ids = self._joined(WORD.findall(marked))
         if self.byte_id or self.unknown not in np.frombuffer(ids, "<i4"):
             return ids
         values = np.frombuffer(ids, "<i4")  # a run of unknown characters is one unknown piece

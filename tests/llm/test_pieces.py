@@ -60,6 +60,20 @@ def test_ids_are_those_of_the_library(kind, byte_fallback):
             assert model.decode(got) == text
 
 
+@pytest.mark.parametrize("kind", [pieces.BPE, pieces.UNIGRAM])
+def test_long_texts_without_spaces(kind):
+    content = variant(kind)
+    library = sentencepiece.SentencePieceProcessor(model_proto=content)
+    model = pieces.PieceModel(content)
+    rng = random.Random(5)
+    runs = [[chr(rng.randrange(low, high)) for _ in range(10_000)] for low, high in ((0x4E00, 0x9FFF), (0x1F300, 0x1F5FF))]
+    for text in ["".join(r) for r in runs] + ["".join(rng.choice(c) for c in zip(*runs, "word" * 2500))]:
+        got = np.frombuffer(model.encode(text), "<i4").tolist()
+        assert kind == pieces.UNIGRAM or got == library.encode(text)
+        assert model.decode(got) == text
+        assert all(len(w) <= pieces.LONGEST_REMEMBERED for w in [*model.known, *model.known.old])
+
+
 def test_odd_rows(spark, docs_frame):
     content = pieces.read_model(PATH)
     pairs = [*enumerate(TEXTS), (None, None), (5, TEXTS[5])]
