@@ -3,7 +3,9 @@
 A line becomes tokens; tokens with digits are variable fields at once.  The tree has two fixed
 levels, token count and ``LEADING`` leading tokens, whose leaves hold templates: the whole line,
 and for longer lines the line with one of ``SEGMENTS`` equal parts of its tail generalised to a
-variable field.  A template recurs if lines of ``min_docs`` documents have it.  Of a recurring
+variable field.  A template with variable fields needs words: ``MIN_WORDS`` and one token in
+``WORD_SHARE`` (of the line) are constant tokens with letters.  Lines with digits and fewer words,
+such as rows of figures, recur only as they are.  A template recurs if lines of ``min_docs`` documents have it.  Of a recurring
 template the first line stays (smallest document id, then row and place), and every other line
 that has it goes.  So what is left of a group of copies is one copy.
 
@@ -26,6 +28,8 @@ from shelfcast.durable import settle
 #: Leading tokens in the tree, parts of the tail, fewest tokens of a line with parts and at all.
 LEADING, SEGMENTS, PARTED_TOKENS, MIN_TOKENS = 3, 4, 11, 3
 MIN_DOCS = 2
+#: Constant tokens with letters in a generalised template: at least so many, and one in so many.
+MIN_WORDS, WORD_SHARE = 2, 3
 
 SPACE = r"\x20\x09-\x0D"
 #: A token with a digit; tried at the start of tokens only.
@@ -39,17 +43,25 @@ def tokens_of(line: Column) -> Column:
     return F.array_remove(F.split(masked, f"[{SPACE}]+"), "")
 
 
-def template_hashes(tokens: Column, n: Column) -> Column:
-    """The templates of one line: the whole, then one for each generalised part."""
+def template_hashes(tokens: Column, n: Column, words: Column, line: Column) -> Column:
+    """The templates of one line: the whole, then one for each generalised part.
+
+    ``words`` tells which tokens are constant and have letters.
+    """
     tail = n - LEADING
+    number = lambda flags: F.size(F.filter(flags, lambda w: w))
+    enough = lambda count: (count >= MIN_WORDS) & (count * WORD_SHARE >= n)
     parts = []
     for j in range(SEGMENTS):
         low = LEADING + F.floor(tail * j / SEGMENTS).cast("int")
         high = LEADING + F.floor(tail * (j + 1) / SEGMENTS).cast("int")
         before, after = F.slice(tokens, F.lit(1), low), F.slice(tokens, high + 1, n)
-        parts.append(F.xxhash64(F.lit(j + 1), n, before, after))
-    whole = F.xxhash64(F.lit(0), n, tokens)
-    return F.when(n >= PARTED_TOKENS, F.array(whole, *parts)).otherwise(F.array(whole))
+        kept = number(words) - number(F.slice(words, low + 1, high - low))
+        parts.append(F.when(enough(kept), F.xxhash64(F.lit(j + 1), n, before, after)))
+    raw = F.xxhash64(F.lit(-1), n, F.array_remove(F.split(line, f"[{SPACE}]+"), ""))
+    bare = line.rlike("[0-9]") & ~enough(number(words))
+    whole = F.when(bare, raw).otherwise(F.xxhash64(F.lit(0), n, tokens))
+    return F.when(n >= PARTED_TOKENS, F.array_compact(F.array(whole, *parts))).otherwise(F.array(whole))
 
 
 def numbered_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -66,15 +78,16 @@ def dropped_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = M
     """``uid, at``: rows and places of the lines that go, from ``uid, doc_id, text``."""
     lines = rows.select("uid", "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     parsed = (
-        lines.select("uid", "doc_id", "at", tokens_of(F.col("line")).alias("tokens"))
+        lines.select("uid", "doc_id", "at", "line", tokens_of(F.col("line")).alias("tokens"))
         .withColumn("n", F.size("tokens"))
         .where(F.col("n") >= min_tokens)
+        .withColumn("words", F.transform("tokens", lambda t: t.rlike(r"\p{L}")))
     )
     leaf = F.xxhash64("n", F.slice("tokens", 1, LEADING))
     hashed = settle(
         parsed.select(
             "uid", "doc_id", "at", leaf.alias("leaf"),
-            template_hashes(F.col("tokens"), F.col("n")).alias("templates"),
+            template_hashes(*map(F.col, ("tokens", "n", "words", "line"))).alias("templates"),
         ),
         "lines",
     )
