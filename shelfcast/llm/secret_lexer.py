@@ -4,8 +4,9 @@
 a match that is too short is dropped after it has taken its characters.
 
 *Lexing.*  Texts that name something sensitive are read as source or configuration: names
-(plain, dotted or quoted), ``=``, ``:``, ``:=`` or ``=>``, and a value of string literals, bare
-words and names joined by ``+``.  Literals are stored under their names, names in a value stand
+(plain, dotted, quoted or in a subscript, with or without a type), ``=``, ``:``, ``:=`` or ``=>``,
+and a value of string literals, bare words and names joined by ``+``.  Strings may have a prefix
+or triple quotes; in parentheses, strings side by side are one value.  Literals are stored under their names, names in a value stand
 for what was stored, and a value that reaches a sensitive name is scored by the name and by its
 own length, mixture and entropy.  Its literals, wherever they stand, become spans of kind
 ``literal`` unless a pattern has them already.
@@ -52,10 +53,26 @@ HINTS = ("passw", "pwd", "passphrase", "secret", "token", "key", "credential", "
 PLACEHOLDER = re.compile(r"example|changeme|placeholder|your[_-]|dummy|^x+$|^\*+$|^<.*>$|\$\{|\{\{", re.I)
 
 NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z0-9_]+)*"
-STRING = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'"""
-TERM = re.compile(rf"""[ \t]*(?:({STRING})|([A-Za-z0-9+/_.=-]+))""")
-#: A name with its operator; the name may be quoted.
-TARGET = re.compile(rf"""["']?({NAME})["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))""")
+#: Triple-quoted or plain.
+STRING = (
+    r'''"""(?:[^\\]|\\[\s\S])*?"""|\'{3}(?:[^\\]|\\[\s\S])*?\'{3}'''
+    r'''|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*\''''
+)
+PREFIX = r"(?:[bBfFrRuU]{1,2}(?=[\"']))?"
+TERM = re.compile(rf"""[ \t]*(?:{PREFIX}({STRING})|([A-Za-z0-9+/_.=-]+))""")
+#: Parentheses before a string or a name; the terms inside, and what joins them.
+OPEN = re.compile(r"""[ \t]*\((?:\s|\()*(?=[A-Za-z_"'])""")
+INNER = re.compile(rf"""\s*(?:{PREFIX}({STRING})|({NAME}))""")
+JOINED = re.compile(rf"""\s*\+(?=\s*["'A-Za-z_])|\s*(?={PREFIX}["'])""")
+#: A type behind a name, where a value follows.
+TYPE = r"[&*]{0,2}(?:'[a-z]+[ \t]+)?(?:\[\])?[A-Za-z_][\w.]*(?:[\[<][^\]>=\n]{0,80}[\]>]{1,4})?"
+TYPED = rf"{TYPE}(?:[ \t]*\|[ \t]*{TYPE}){{0,4}}\??(?=[ \t]*=(?![=>]))"
+#: A name with its operator; the name may be quoted, the last subscript, or declared with a type.
+TARGET = re.compile(
+    rf"""\b(?:var|const)[ \t]+({NAME})[ \t]+{TYPED}[ \t]*="""
+    rf"""|["']?({NAME})["']?(?:[ \t]*\]|[ \t]*\[[0-9]*\])?"""
+    rf"""(?:[ \t]*\??:[ \t]*({TYPED})[ \t]*=|[ \t]*(?::=|=>|=(?!=)|:(?![:/])))"""
+)
 PLUS = re.compile(r"[ \t]*\+(?=[ \t]*[\"'A-Za-z_])")
 
 #: Least score of a reported literal, and the fewest characters it has.
@@ -101,26 +118,41 @@ def strength(value: str) -> float:
 
 
 def assignments(text: str):
-    """``(name, terms)`` in text order; a term is ``("literal" | "name", value, start, end)``."""
+    """``(name, terms)`` in text order; a term is ``("literal" | "name" | "known", value, start, end)``.
+
+    A ``known`` name counts only if something is stored under it.
+    """
     at = 0
     while target := TARGET.search(text, at):
         at, terms = target.end(), []
-        while term := TERM.match(text, at):
+        inner = OPEN.match(text, at)
+        at = inner.end() if inner else at
+        while term := (INNER if inner else TERM).match(text, at):
             kind = 1 if term[1] is not None else 2
             start, end = term.span(kind)
             if kind == 1:
-                terms.append(("literal", text[start + 1 : end - 1], start + 1, end - 1))
+                quotes = 3 if term[1][:3] in ('"""', "'''") and len(term[1]) >= 6 else 1
+                start, end = start + quotes, end - quotes
+                if quotes == 3:  # without the line ends about the content
+                    content = text[start:end]
+                    start += len(content) - len(content.lstrip())
+                    end = max(start, end - len(content) + len(content.rstrip()))
+                terms.append(("literal", text[start:end], start, end))
+            elif inner:
+                terms.append(("known", term[2], start, end))
             else:
                 is_name = re.fullmatch(NAME, term[2]) is not None
                 terms.append(("name" if is_name else "literal", term[2], start, end))
             at = term.end()
-            plus = PLUS.match(text, at)
+            plus = (JOINED if inner else PLUS).match(text, at)
             if not plus:
                 break
             at = plus.end()
         if terms:
-            yield target[1], terms
-        if len(terms) == 1 and terms[0][0] == "name":
+            yield target[1] or target[2], terms
+            if target[3] and name_weight(target[3]):  # "a: password = value" is no type
+                yield target[3], terms
+        if len(terms) == 1 and terms[0][0] in ("name", "known"):
             at = terms[0][2]  # "a = b = value": the name may be a target itself
 
 
@@ -134,9 +166,9 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
     for name, terms in assignments(text):
         value, places = "", ()
         for kind, content, start, end in terms:
-            if kind == "name" and content in stored:
+            if kind != "literal" and content in stored:
                 value, places = value + stored[content][0], places + stored[content][1]
-            elif kind == "literal" or any(c.isdigit() for c in content):
+            elif kind == "literal" or (kind == "name" and any(c.isdigit() for c in content)):
                 # with a digit, an unknown bare word is a literal of a configuration file
                 value, places = value + content, places + ((start, end),)
         stored[name] = (value, places)

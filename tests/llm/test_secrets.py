@@ -55,6 +55,23 @@ def test_literals_reach_sensitive_names():
     assert texts_of("a = pwd = 'hunter2-Zebra'") == ["hunter2-Zebra"]
 
 
+def test_forms_of_assignment():
+    value = "Xk9$vB!2mQz7#Lp"
+    for source in (
+        f'config["password"] = "{value}"', f"cfg['db']['pwd'] = '{value}'", f'h["token"] => "{value}"',
+        f'password: str = "{value}"', f'pwd: Optional[str] = "{value}"', f'token: str | None = "{value}"',
+        f'var token string = "{value}"', f'const secret: string = "{value}"', f'let token: &\'static str = "{value}"',
+        f'char password[] = "{value}"', f'password = b"{value}"', f"token = f'{value}'", f'secret = r"{value}"',
+        f'password = ("{value}")', f'password = (\n    "{value}"\n)', f'password = """{value}"""',
+        f"token = \'\'\'\n{value}\n\'\'\'", f'token: bytes = (rb"""{value}""")', f'x: password = "{value}"',
+    ):
+        assert texts_of(source) == [value], source
+    assert texts_of('pwd = ("Qx81-"\n  b"Lm0pZZ")') == ["Qx81-", "Lm0pZZ"]
+    assert texts_of("part = 'Qx81'\nauth_key = (part + 'Lm0pZZ')\n") == ["Qx81", "Lm0pZZ"]
+    for source in ("token: (see page4567890 there)", 'password: str = ""', 'pwd = """', "password: str = None"):
+        assert texts_of(source) == [], source
+
+
 def test_harmless_texts_have_no_spans():
     for text in (
         "The token of the day: a kind word.", "password: see the manual", "pwd = os.environ",
