@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import (
     anchor_simhash,
     block_topk,
+    box_tree,
     license_join,
     line_templates,
     piece_automaton,
@@ -118,6 +119,11 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_pages(table(spark, sf_dir, "pages"), labels)
 
 
+def op11_box_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return box_tree.mine_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op2_block_topk": op2_block_topk,
@@ -129,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_anchor_simhash": op8_anchor_simhash,
     "op9_license_join": op9_license_join,
     "op10_url_rules": op10_url_rules,
+    "op11_box_tree": op11_box_tree,
 }
 
 ORACLES: dict[str, str] = {
@@ -224,5 +231,28 @@ with lines as (
 select d.doc_id, coalesce(t.n_lines, 0) as n_lines, coalesce(t.n_dropped, 0) as n_dropped,
        sha256(t.kept) as kept_sha256
 from documents d left join texts t on d.doc_id = t.doc_id
+""",
+    "op11_box_tree": """
+with whole as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+           cast(list_inner_product(a.v, c.v) as bigint) as score
+    from whole a join whole c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id
+                               order by n.score desc, n.vec_id) as integer) as rank,
+       n.vec_id as negative_id, p.positive_score, n.score as negative_score
+from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
+ and 30 * p.positive_score <= 100 * n.score and 100 * n.score <= 90 * p.positive_score
+qualify rank <= 10
 """,
 }
