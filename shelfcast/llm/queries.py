@@ -15,6 +15,7 @@ from shelfcast.llm import (
     line_templates,
     piece_automaton,
     quality_ledger,
+    resident_lloyd,
     secret_lexer,
     swap_packing,
     token_counts,
@@ -124,6 +125,65 @@ def op11_box_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return box_tree.mine_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
 
 
+def op12_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = resident_lloyd.compress(table(spark, sf_dir, "embeddings"))
+    return resident_lloyd.label_errors(coded).select(
+        "vec_id", resident_lloyd.code_text(F.col("entries")).alias("code"), "error", "label_error",
+        F.lit(resident_lloyd.digest(codebooks)).alias("codebooks_sha256"),
+    )
+
+
+def lloyd_sql() -> str:
+    """Four rounds over all parts and entries, one after the other."""
+    rounds = ""
+    for r in range(resident_lloyd.ROUNDS + 1):
+        rounds += f"""
+), found{r} as materialized (
+    select p.uid, p.pos,
+           min(struct_pack(d := list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, c.v)
+                                + list_inner_product(c.v, c.v), e := c.entry)) as near
+    from parts p join books{r} c on p.pos = c.pos group by p.uid, p.pos"""
+        if r < resident_lloyd.ROUNDS:
+            rounds += f"""
+), sums{r} as (
+    select pos, entry, i, floor(sum(x) / count(*)) as x
+    from (select p.pos, f.near.e as entry, unnest(p.v) as x, generate_subscripts(p.v, 1) as i
+          from parts p join found{r} f on p.uid = f.uid and p.pos = f.pos)
+    group by pos, entry, i
+), means{r} as (
+    select pos, entry, list(x order by i) as v from sums{r} group by pos, entry
+), books{r + 1} as materialized (
+    select b.pos, b.entry, coalesce(m.v, b.v) as v
+    from books{r} b left join means{r} m on b.pos = m.pos and b.entry = m.entry"""
+    last = resident_lloyd.ROUNDS
+    return f"""
+with kept as (
+    select vec_id, label, row_number() over (order by vec_id) - 1 as uid,
+           list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v
+    from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+    select uid, pos, v[pos * (len(v) // 4) + 1 : (pos + 1) * (len(v) // 4)] as v
+    from kept, (values (0), (1), (2), (3)) as p(pos)
+), books0 as materialized (
+    select pos, uid as entry, v from parts where uid < 256{rounds}
+), hashed as (
+    select sha256(string_agg(array_to_string(list_transform(v, lambda x: cast(x as bigint)), ','), ','
+                             order by pos, entry)) as h
+    from books{last}
+), coded as (
+    select uid, string_agg(lpad(lower(to_hex(near.e)), 2, '0'), '' order by pos) as code,
+           cast(sum(near.d) as bigint) as error
+    from found{last} group by uid
+)
+select k.vec_id, c.code, c.error,
+       cast(sum(c.error) over (partition by k.label) as bigint) as label_error,
+       h as codebooks_sha256
+from kept k join coded c on k.uid = c.uid cross join hashed
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op2_block_topk": op2_block_topk,
@@ -136,6 +196,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_join": op9_license_join,
     "op10_url_rules": op10_url_rules,
     "op11_box_tree": op11_box_tree,
+    "op12_resident_lloyd": op12_resident_lloyd,
 }
 
 ORACLES: dict[str, str] = {
@@ -255,4 +316,5 @@ from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
  and 30 * p.positive_score <= 100 * n.score and 100 * n.score <= 90 * p.positive_score
 qualify rank <= 10
 """,
+    "op12_resident_lloyd": lloyd_sql(),
 }
