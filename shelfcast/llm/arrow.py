@@ -50,3 +50,16 @@ def map_lists(
                 yield pa.RecordBatch.from_arrays(part.columns[:carry] + made, names=whole.names)
 
     return df.mapInArrow(run, whole)
+
+
+def batch_of(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    """Rows as one batch; ``schema`` lists ``name type`` with commas between."""
+    kinds = {
+        "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
+        "string": pa.string(), "binary": pa.binary(),
+    }
+    kinds |= {f"array<{name}>": pa.list_(kind) for name, kind in list(kinds.items())}
+    fields = [(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrays = [pa.array(list(c), t) for c, (_, t) in zip(columns, fields)]
+    return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])

@@ -11,6 +11,7 @@ from shelfcast.llm import (
     anchor_simhash,
     block_topk,
     box_tree,
+    hashed_maxent,
     license_join,
     line_templates,
     piece_automaton,
@@ -184,6 +185,15 @@ from kept k join coded c on k.uid = c.uid cross join hashed
 """
 
 
+def op13_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learns = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
+    scored = hashed_maxent.score_documents(table(spark, sf_dir, "documents"), learns)
+    return scored.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op2_block_topk": op2_block_topk,
@@ -197,6 +207,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_rules": op10_url_rules,
     "op11_box_tree": op11_box_tree,
     "op12_resident_lloyd": op12_resident_lloyd,
+    "op13_hashed_maxent": op13_hashed_maxent,
 }
 
 ORACLES: dict[str, str] = {
