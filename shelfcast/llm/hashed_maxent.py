@@ -55,29 +55,40 @@ MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1], np.
 
 CHUNKS = (
     "chunk long, ids array<long>, uids array<long>, learns array<boolean>, lengths array<int>, "
-    "carry array<long>, tokens binary, hashes binary, sides array<long>, learned long"
+    "carry array<long>, tokens binary, upper binary, lower binary, sides array<long>, learned long"
 )
 WORDS = "hash long, chunk long, place int, n int, side long"
 READY = (
     "chunk long, ids array<long>, uids array<long>, learns array<boolean>, lengths array<int>, carry array<long>, "
-    "tokens binary, features binary, counts binary, classes binary, distinct long, once long, twice long, mass array<long>"
+    "tokens binary, upper binary, counts binary, classes binary, distinct long, once long, twice long, mass array<long>"
 )
 CHANGES = "member long, block int, total binary, touched binary"
 SCORES = "uid long, doc_id long, learns boolean, n_tokens long, n_known long, base double, score double"
 
 
 def pack(tokens: np.ndarray) -> bytes:
-    """Token numbers byte plane by byte plane, which compresses better."""
-    return tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T[:3].tobytes()
+    """Token numbers, compressed byte plane by byte plane."""
+    planes = tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T[:3]
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(3, -1)
+def unpack(data: bytes, number: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 3 * number, "zstd"), np.uint8).reshape(3, -1)
     out = np.zeros((planes.shape[1], 4), np.uint8)
     out[:, :3] = planes.T
     return out.view("<u4").ravel().astype(np.int64)
 
 
+def halves(hashes: np.ndarray) -> tuple[bytes, bytes]:
+    """Upper and lower 32 bits; features need the upper ones only."""
+    return (hashes >> np.uint64(32)).astype("<u4").tobytes(), hashes.astype("<u4").tobytes()
+
+
+def joined(row: dict) -> np.ndarray:
+    upper, lower = (np.frombuffer(row[c], "<u4").astype(np.uint64) for c in ("upper", "lower"))
+    return upper << np.uint64(32) | lower
+
+
 class _Numbers(dict):
     def __missing__(self, key):
         self[key] = number = len(self)
@@ -175,7 +186,7 @@ class Chunker:
         sides = [int(s[learn].sum(dtype=np.int64)) for s in signs]
         row = (
             self.partition << 33 | self.made, self.ids, self.uids, self.learns, self.lengths,
-            self.first_carry, pack(tokens), hashes.astype("<u8").tobytes(), sides, int(learn.sum()),
+            self.first_carry, pack(tokens), *halves(hashes), sides, int(learn.sum()),
         )
         self.made += 1
         self.clear()
@@ -215,8 +226,8 @@ def distinct_words(chunks: DataFrame, average: list[float]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                hashes, tokens = np.frombuffer(row["hashes"], "<u8"), unpack(row["tokens"])
-                lengths = np.array(row["lengths"])
+                hashes, lengths = joined(row), np.array(row["lengths"])
+                tokens = unpack(row["tokens"], int(lengths.sum()))
                 learn = np.repeat(np.array(row["learns"]), lengths)
                 mine, number = tokens[learn], len(hashes)
                 counts = np.bincount(mine, minlength=number)
@@ -231,13 +242,14 @@ def distinct_words(chunks: DataFrame, average: list[float]) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in WORDS.split(", ")])
 
-    return chunks.select("chunk", "lengths", "learns", "tokens", "hashes").mapInArrow(run, WORDS)
+    return chunks.select("chunk", "lengths", "learns", "tokens", "upper", "lower").mapInArrow(run, WORDS)
 
 
 def classified(words: DataFrame) -> DataFrame:
-    """``chunk, place, n, count, class, first``: counts over all chunks; ``first`` once a word.
+    """``chunk, place, found``: counts over all chunks, from bit 7 on, class and, lowest, a flag.
 
-    A word has one row a chunk, so no word holds a large share of the rows.
+    The flag is 1 in one row of each word.  A word has one row a chunk, so no word holds a large
+    share of the rows.
     """
     whole = Window.partitionBy("hash")
     count = F.sum("n").over(whole)
@@ -245,11 +257,9 @@ def classified(words: DataFrame) -> DataFrame:
     for bit in range(CLASS_BITS):
         gap = F.shiftright("side", 12 * bit).bitwiseAND(F.lit(4095)) - 2048
         side = side + F.when(F.sum(gap).over(whole) > 0, 1 << bit).otherwise(0)
-    first = F.min("chunk").over(whole) == F.col("chunk")
-    return words.select(
-        "chunk", "place", "n", count.alias("count"),
-        F.when(count > 1, side).otherwise(RARE).cast("byte").alias("class"), first.alias("first"),
-    )
+    kind = F.when(count > 1, side).otherwise(RARE)
+    first = (F.min("chunk").over(whole) == F.col("chunk")).cast("long")
+    return words.select("chunk", "place", (count * 128 + kind * 2 + first).alias("found"))
 
 
 def ready_chunks(chunks: DataFrame, average: list[float]) -> DataFrame:
@@ -258,17 +268,16 @@ def ready_chunks(chunks: DataFrame, average: list[float]) -> DataFrame:
     def meet(key: tuple, chunk: pa.Table, words: pa.Table) -> pa.Table:
         row = chunk.to_pylist()[0]
         order = np.argsort(words.column("place").to_numpy())
-        n, count, kind, first = (words.column(c).to_numpy()[order] for c in ("n", "count", "class", "first"))
-        new = first.astype(bool)
-        mass = np.bincount(kind, weights=n, minlength=CLASSES).astype(np.int64).tolist()
-        features = (np.frombuffer(row["hashes"], "<u8") >> np.uint64(32)).astype("<u4").tobytes()
-        out = [row[c] for c in ("chunk", "ids", "uids", "learns", "lengths", "carry", "tokens")]
-        out += [features, count.astype("<i8").tobytes(), kind.astype(np.int8).tobytes()]
+        found = words.column("found").to_numpy()[order]
+        count, kind, new = found >> 7, found >> 1 & 63, (found & 1).astype(bool)
+        mass = [int(count[new & (kind == k)].sum()) for k in range(CLASSES)]
+        out = [row[c] for c in ("chunk", "ids", "uids", "learns", "lengths", "carry", "tokens", "upper")]
+        out += [count.astype("<i8").tobytes(), kind.astype(np.int8).tobytes()]
         out += [int((new & test).sum()) for test in (count > 0, count == 1, count == 2)]
         return pa.Table.from_batches([batch_of(READY, [(*out, mass)])])
 
     words = classified(distinct_words(chunks, average))
-    held = chunks.drop("sides", "learned")
+    held = chunks.drop("lower", "sides", "learned")
     met = held.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(meet, READY)
     return settle(met, "maxent-ready")
 
@@ -277,9 +286,9 @@ class Batch:
     """A chunk's tokens as classes and rows of weights."""
 
     def __init__(self, row: dict):
-        self.row, self.tokens = row, unpack(row["tokens"])
-        self.lengths = np.array(row["lengths"])
-        words = np.frombuffer(row["features"], "<u4")[self.tokens]
+        self.row, self.lengths = row, np.array(row["lengths"])
+        self.tokens = unpack(row["tokens"], int(self.lengths.sum()))
+        words = np.frombuffer(row["upper"], "<u4")[self.tokens]
         self.classes = np.frombuffer(row["classes"], np.int8)[self.tokens].astype(np.int64)
         starts = (np.cumsum(self.lengths) - self.lengths)[self.lengths > 0]
         past = []
@@ -351,7 +360,8 @@ class Trainer:
 def averaged(changes: DataFrame, members: int) -> np.ndarray:
     """The average change of each row of weights over the members that touched it.
 
-    Groups of ``FAN_IN`` messages are added up, level by level; one row a block reaches the driver.
+    Groups of some ``FAN_IN`` messages are added up, level by level; one row a block reaches the
+    driver.  ``members`` is an upper bound.
     """
 
     def add(kind: type):
@@ -368,7 +378,8 @@ def averaged(changes: DataFrame, members: int) -> np.ndarray:
     kind = np.float16
     while True:
         members = -(-members // FAN_IN)
-        grouped = changes.withColumn("group", F.floor(F.col("member") / FAN_IN).cast("long"))
+        group = F.pmod(F.xxhash64("member"), F.lit(members)).cast("long")
+        grouped = changes.withColumn("group", group)
         changes = grouped.groupBy("group", "block").applyInArrow(add(kind), CHANGES)
         kind = np.float32
         if members <= 1:
@@ -381,8 +392,11 @@ def averaged(changes: DataFrame, members: int) -> np.ndarray:
     return out
 
 
-def train(ready: DataFrame, mass: np.ndarray) -> np.ndarray:
-    """Weights with the bias as last row; ``mass`` is the training tokens of each class."""
+def train(ready: DataFrame, mass: np.ndarray, chunks: int) -> np.ndarray:
+    """Weights with the bias as last row; ``mass`` is the training tokens of each class.
+
+    ``chunks`` is the number of rows of ``ready``.
+    """
     spark = ready.sparkSession
     weights = np.zeros((BUCKETS + 1, CLASSES), np.float32)
     present = mass > 0
@@ -403,10 +417,9 @@ def train(ready: DataFrame, mass: np.ndarray) -> np.ndarray:
                 yield from trainer.changes(TaskContext.get().partitionId())
 
         turn = ready.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == number)
-        turn = turn.select("lengths", "learns", "carry", "tokens", "features", "classes")
-        changes = settle(turn.mapInArrow(run, CHANGES), "maxent-changes")
-        members = (changes.agg(F.max("member")).first()[0] or 0) + 1
-        weights = weights + averaged(changes, members)
+        turn = turn.select("lengths", "learns", "carry", "tokens", "upper", "classes")
+        # a task that learns has a chunk at least
+        weights = weights + averaged(turn.mapInArrow(run, CHANGES), chunks)
         given.unpersist()
     return weights
 
@@ -420,10 +433,10 @@ def score_documents(docs: DataFrame, learns: Column, id_col: str = "doc_id", tex
     ready = ready_chunks(chunks, average)
     totals = [F.sum(c) for c in ("distinct", "once", "twice")]
     masses = [F.sum(F.get("mass", F.lit(k))) for k in range(CLASSES)]
-    numbers = [x or 0 for x in ready.agg(*totals, *masses).first()]
-    (distinct, once, twice), mass = numbers[:3], np.array(numbers[3:], float)
+    numbers = [x or 0 for x in ready.agg(F.count(F.lit(1)), *totals, *masses).first()]
+    (held, distinct, once, twice), mass = numbers[:4], np.array(numbers[4:], float)
     tokens = int(mass.sum())
-    given = docs.sparkSession.sparkContext.broadcast(train(ready, mass))
+    given = docs.sparkSession.sparkContext.broadcast(train(ready, mass, held))
     # of the class of rare words, the unknown one's share and that of each word met once
     unknown = (once + 1) / (once + 2 * twice + 2) if once else 1.0
     single = (1 - unknown) / max(1, once)
