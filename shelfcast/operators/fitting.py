@@ -28,6 +28,8 @@ WIDER = (0.1, 0.02, 0.005)
 #: the steps after which a record counts as not converged.  Far beyond what records need.
 TOLERANCE = 1e-9
 STEP_LIMIT = 2000
+#: Gain of the last step below which the whole curvature is used.
+NEAR = 0.1
 NOT_CONVERGED = "the fit did not converge"
 
 MODEL_SCHEMA = (
@@ -62,6 +64,8 @@ class _Posterior:
         self.upper = np.triu_indices(width)
         i, j = self.upper
         self.pairs = self.columns[:, i] * self.columns[:, j]
+        #: sums of products, which in the additive form do not depend on the coefficients
+        self.gram = None if multiplicative else self.pairs.sum(axis=0)
         #: which factor weighs a pair of columns: 0 both of the trend, 1 mixed, 2 both effects
         self.block = (i >= self.q).astype(int) + (j >= self.q)
 
@@ -93,19 +97,27 @@ class _Posterior:
         fit = 0.5 * len(self.y) * np.log(v) + rss / (2 * v) + v / (2 * NOISE_SCALE**2)
         return fit + 0.5 * (self.ridge * w * w).sum(axis=1) + bends.sum(axis=1)
 
-    def step(self, w, rounding):
-        """Gradient, Newton step and noise."""
+    def step(self, w, rounding, near=None):
+        """Gradient, Newton step and noise.
+
+        Products of trend and effects bend with the residual; that part of the curvature counts
+        for the settings flagged ``near``, whose gain has become small.  Far from a mode it may
+        point to a saddle, and without it a mode with large residuals is crept up to.
+        """
         level, effect = self._parts(w)
         if self.multiplicative:
             residual = self.y - level * effect
             moment = np.hstack([(residual * effect) @ self.trend, (residual * level) @ self.x])
             packed = np.empty((len(w), self.pairs.shape[1]))
-            for block, weight in enumerate((effect * effect, effect * level, level * level)):
+            mixed = effect * level
+            if near is not None:
+                mixed = mixed - np.where(near[:, None], residual, 0.0)
+            for block, weight in enumerate((effect * effect, mixed, level * level)):
                 packed[:, self.block == block] = weight @ self.pairs[:, self.block == block]
         else:
             residual = self.y - level - effect
             moment = residual @ self.columns
-            packed = np.broadcast_to(self.pairs.sum(axis=0), (len(w), self.pairs.shape[1]))
+            packed = np.broadcast_to(self.gram, (len(w), self.pairs.shape[1]))
         rss = (residual**2).sum(axis=1)
         v, slope = self._noise(rss)
         root = np.sqrt(w[:, 2 : self.q] ** 2 + rounding**2)
@@ -126,20 +138,25 @@ class _Posterior:
         rest = 1.0 - c * (moment * along).sum(axis=1)
         share = np.where(rest > 0.1, c * (moment * plain).sum(axis=1) / np.maximum(rest, 0.1), 0.0)
         move = plain + share[:, None] * along
-        # rounding errors can turn a step uphill; the scaled gradient never is
         uphill = (gradient * move).sum(axis=1) >= 0
+        if near is not None and (uphill & near).any():  # the whole curvature is that of a saddle
+            back = np.flatnonzero(uphill & near)
+            move[back] = self.only(back).step(w[back], rounding)[1]
+            uphill[back] = False
+        # rounding errors can turn a step uphill; the scaled gradient never is
         move[uphill] = -gradient[uphill] / hessian[uphill][:, index, index]
         return gradient, move, v
 
 
 def map_estimates(
-    y, trend, x, bend_scale, effect_scale, multiplicative, step_limit=STEP_LIMIT
+    y, trend, x, bend_scale, effect_scale, multiplicative, step_limit=STEP_LIMIT, start=None
 ):
     """Posterior modes for many prior settings on the same data, and which of them stand.
 
     Damped Newton steps on all settings at once; a setting leaves when a step promises no gain.
     The multiplicative form is a product of trend and effects, so its mode is a local one, the
-    first downhill from a flat series.  No random numbers.
+    first downhill from a flat series, or from the coefficients in ``start`` (one row a setting,
+    such as the solution for almost the same data).  No random numbers.
     """
     posterior = _Posterior(y, trend, x, bend_scale, effect_scale, multiplicative)
     settings = len(effect_scale)
@@ -147,38 +164,52 @@ def map_estimates(
     w[:, 0] = np.mean(y)
     sigma = np.zeros(settings)
     stands = np.zeros(settings, bool)
-    for rounding, tolerance in [*((r, 1e-2) for r in WIDER), (ROUNDING, TOLERANCE)]:
-        active = np.arange(settings)
-        stands[:] = False
-        for _ in range(step_limit):
-            here = posterior.only(active)
-            gradient, move, v = here.step(w[active], rounding)
-            gain = -(gradient * move).sum(axis=1)
-            sigma[active] = np.sqrt(v)
-            done = gain < tolerance
-            stands[active[done]] = True
-            active, move, gain = active[~done], move[~done], gain[~done]
-            if not len(active):
-                break
-            here = posterior.only(active)
-            at, before = w[active], here.value(w[active], rounding)
-            size, open_ = np.ones(len(active)), np.ones(len(active), bool)
-            for _ in range(40):
-                after = here.value(at + size[:, None] * move, rounding)
-                open_ = ~(after <= before - 1e-4 * size * gain)
-                if not open_.any():
-                    break
-                size[open_] *= 0.5
-            w[active] = at + np.where(open_, 0.0, size)[:, None] * move
-            # no step helps any more: rounding errors are larger than the gain
-            stuck = active[open_]
-            stands[stuck] = gain[open_] < 1e-6
-            active = active[~open_]
-            if not len(active):
-                break
+    everyone, wider = np.arange(settings), WIDER
+    if start is not None:
+        w[:], wider = start, WIDER[-1:]
+    for rounding, tolerance in [*((r, 1e-2) for r in wider), (ROUNDING, TOLERANCE)]:
+        _descend(posterior, w, sigma, stands, everyone, rounding, tolerance, step_limit)
     return w[:, : trend.shape[1]], w[:, trend.shape[1] :], sigma, stands
 
 
+def _descend(posterior, w, sigma, stands, rows, rounding, tolerance, step_limit):
+    """Damped Newton steps on ``rows`` of ``w``, in place, until none promises a gain."""
+    active = rows
+    stands[rows] = False
+    gains = np.full(len(w), np.inf)
+    for _ in range(step_limit if len(rows) else 0):
+        here = posterior.only(active)
+        gradient, move, v = here.step(w[active], rounding, gains[active] < NEAR)
+        gain = -(gradient * move).sum(axis=1)
+        gains[active] = gain
+        sigma[active] = np.sqrt(v)
+        done = gain < tolerance
+        stands[active[done]] = True
+        active, move, gain = active[~done], move[~done], gain[~done]
+        if not len(active):
+            break
+        here = posterior.only(active)
+        at, before = w[active], here.value(w[active], rounding)
+        size, open_ = np.ones(len(active)), np.ones(len(active), bool)
+        for _ in range(40):
+            # only settings still searching are evaluated again
+            trial = here.only(np.flatnonzero(open_)).value(
+                at[open_] + size[open_, None] * move[open_], rounding
+            )
+            fails = ~(trial <= before[open_] - 1e-4 * size[open_] * gain[open_])
+            open_[open_] = fails
+            if not open_.any():
+                break
+            size[open_] *= 0.5
+        w[active] = at + np.where(open_, 0.0, size)[:, None] * move
+        # no step helps any more: rounding errors are larger than the gain
+        stuck = active[open_]
+        stands[stuck] = gain[open_] < 1e-6
+        active = active[~open_]
+        if not len(active):
+            break
+
+
 def predicted(theta, beta, trend, x, multiplicative):
     level, effect = theta @ trend.T, beta @ x.T
     return level * (1.0 + effect) if multiplicative else level + effect
