@@ -24,6 +24,7 @@ from shelfcast.operators import (
     monitoring,
     quality,
     regressors,
+    rolling,
     tuning,
     weekly,
 )
@@ -846,6 +847,96 @@ def tuning_results(spark, sf):
     return tuning.tune(train, records, grid.cv_schedule(train))
 
 
+def small_grid(series):
+    """Eight records a series, for queries that compare two ways to their scores."""
+    lists = {
+        "changepoint_prior_scale": [0.05, 0.5], "seasonality_prior_scale": [0.1, 10.0],
+        "holidays_prior_scale": [0.1], "seasonality_mode": ["additive", "multiplicative"],
+        "changepoint_range": [0.8],
+    }
+    return grid.given_grid(series, lists)
+
+
+@query
+def tuning_check(spark, sf):
+    """Scores that tuning reports beside those recomputed in SQL from stored predictions."""
+    train = stored(training(spark, sf))
+    records = stored(small_grid(train.select(*KEYS).distinct()))
+    folds = grid.cv_schedule(train)
+    predictions = stored(fitting.held_out_predictions(train, records, folds))
+    again = spark.sql(
+        """
+        SELECT SKU_ID, Channel, Unit, param_id, count(*) AS weeks, max(error) AS failure,
+               avg(abs(y - yhat)) AS mae2, sqrt(avg(power(y - yhat, 2))) AS rmse2,
+               avg(if(abs(y) + abs(yhat) > 0, 2 * abs(y - yhat) / (abs(y) + abs(yhat)), 0)) AS smape2
+        FROM {held} GROUP BY ALL
+        """,
+        held=predictions,
+    )
+
+    def same(a, b):
+        near = F.abs(F.col(a) - F.col(b)) <= 1e-6 * (1 + F.abs(b))
+        return F.when(F.col("failure").isNotNull(), F.col(a) == float("inf")).otherwise(near)
+
+    both = tuning.tune(train, records, folds).join(again, [*KEYS, "param_id"])
+    agrees = same("mae", "mae2") & same("rmse", "rmse2") & same("smape", "smape2")
+    return both.select(*KEYS, "param_id", "weeks", agrees.alias("agrees"))
+
+
+@query
+def rolling_origin_fits(spark, sf):
+    """Fitted models rolled over all origins; their scores again in SQL from stored predictions."""
+    train = stored(training(spark, sf))
+    folds = grid.cv_schedule(train, grid.initial_weeks(F.col("train_weeks"), automatic=True))
+    held = stored(rolling.rolling_predictions(train, manual_params(train), folds))
+    again = spark.sql(
+        """
+        SELECT SKU_ID, Channel, Unit, count(*) AS folds2, sum(weeks) AS weeks, avg(mae) AS mae2,
+               stddev_samp(mae) AS spread2, count_if(failed) AS failed
+        FROM (SELECT SKU_ID, Channel, Unit, fold, count(*) AS weeks, avg(abs(y - yhat)) AS mae,
+                     bool_or(error IS NOT NULL) AS failed
+              FROM {held} GROUP BY ALL)
+        GROUP BY ALL
+        """,
+        held=held,
+    )
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 1e-6 * (1 + F.abs(b))
+    both = monitoring.rolling_origin(held).join(again, KEYS)
+    agrees = near("mean_MAE", "mae2") & near("std_MAE", "spread2") & (F.col("folds") == F.col("folds2"))
+    return both.select(*KEYS, "folds", "weeks", "failed", agrees.alias("agrees"))
+
+
+@query
+def ensemble_of_records(spark, sf):
+    """Holdout forecasts of the three best records by cross-validation, weighted by its errors."""
+    held = stored(split(spark, sf))
+    train = held.where("is_train")
+    records = small_grid(train.select(*KEYS).distinct())
+    best = stored(rolling.top_records(tuning.tune(train, records, grid.cv_schedule(train))))
+    future_rows = regressors.future_regressors(held, weekly_outlook(spark, sf))
+    forecasts = stored(rolling.member_forecasts(held, best, future_rows))
+    again = spark.sql(
+        """
+        SELECT SKU_ID, Channel, Unit, ds, sum(weight * yhat) AS yhat2, sum(weight) AS weight_sum,
+               min(yhat) AS low, max(yhat) AS high
+        FROM {forecasts} JOIN {best} USING (SKU_ID, Channel, Unit, member) GROUP BY ALL
+        """,
+        forecasts=forecasts,
+        best=best,
+    )
+    both = monitoring.ensemble(forecasts, best).join(again, [*KEYS, "ds"])
+    tiny = 1e-6 * (1 + F.abs("yhat"))
+    agrees = (F.abs(F.col("yhat") - F.col("yhat2")) <= tiny) & F.col("yhat").between(
+        F.col("low") - tiny, F.col("high") + tiny
+    )
+    return both.select(*KEYS, "ds", "members", "weight_sum", agrees.alias("agrees"))
+
+
+@query
+def regressor_neighbours(spark, sf):
+    return quality.regressor_neighbours(features(spark, sf))
+
+
 @query
 def run_results(spark, sf):
     """The whole run over the listed series: profiled grids, 16 days of weather forecast."""
