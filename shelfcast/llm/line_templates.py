@@ -34,34 +34,49 @@ MIN_WORDS, WORD_SHARE = 2, 3
 SPACE = r"\x20\x09-\x0D"
 #: A token with a digit; tried at the start of tokens only.
 VARIABLE = rf"(?<![^{SPACE}])[^{SPACE}0-9]*+[0-9][^{SPACE}]*+"
+#: A token with a letter, up to that letter.
+LETTERED = rf"(?<![^{SPACE}])[^{SPACE}\p{{L}}]*+\p{{L}}"
 FIELD = "<*>"
 
 
-def tokens_of(line: Column) -> Column:
-    """The tokens of a line, variable ones as ``<*>``."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, FIELD)).otherwise(line)
+def masked_line(line: Column) -> Column:
+    """The line with its variable tokens as ``<*>``."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, FIELD)).otherwise(line)
+
+
+def tokens_of(masked: Column) -> Column:
     return F.array_remove(F.split(masked, f"[{SPACE}]+"), "")
 
 
-def template_hashes(tokens: Column, n: Column, words: Column, line: Column) -> Column:
+def _pieces(tokens: Column, n: Column) -> list[Column]:
+    """Leading tokens, then the parts of the tail."""
+    tail = F.greatest(n - LEADING, F.lit(0))
+    edges = [0] + [LEADING + F.floor(tail * j / SEGMENTS).cast("int") for j in range(SEGMENTS + 1)]
+    return [F.slice(tokens, F.lit(low) + 1, high - low) for low, high in zip(edges, edges[1:])]
+
+
+def template_hashes(tokens: Column, n: Column, line: Column, words: Column, hashes: Column) -> Column:
     """The templates of one line: the whole, then one for each generalised part.
 
-    ``words`` tells which tokens are constant and have letters.
+    ``words`` counts the constant tokens with letters, ``hashes`` has one of the leading tokens
+    and one of each part, so that templates hash numbers and no token again.
     """
-    tail = n - LEADING
-    number = lambda flags: F.size(F.filter(flags, lambda w: w))
+    head, *parts = [F.get(hashes, F.lit(j)) for j in range(SEGMENTS + 1)]
     enough = lambda count: (count >= MIN_WORDS) & (count * WORD_SHARE >= n)
-    parts = []
-    for j in range(SEGMENTS):
-        low = LEADING + F.floor(tail * j / SEGMENTS).cast("int")
-        high = LEADING + F.floor(tail * (j + 1) / SEGMENTS).cast("int")
-        before, after = F.slice(tokens, F.lit(1), low), F.slice(tokens, high + 1, n)
-        kept = number(words) - number(F.slice(words, low + 1, high - low))
-        parts.append(F.when(enough(kept), F.xxhash64(F.lit(j + 1), n, before, after)))
+    lettered = lambda ts: F.size(F.filter(ts, lambda t: t.rlike(r"\p{L}")))
+    # a part has this many tokens at most; prose has enough words whichever part is left out
+    surely = enough(words - F.floor((n - LEADING) / SEGMENTS) - 1)
+    general = [
+        F.when(
+            F.when(surely, True).otherwise(enough(words - lettered(piece))),
+            F.xxhash64(F.lit(j + 1), n, head, *parts[:j], *parts[j + 1 :]),
+        )
+        for j, piece in enumerate(_pieces(tokens, n)[1:])
+    ]
     raw = F.xxhash64(F.lit(-1), n, F.array_remove(F.split(line, f"[{SPACE}]+"), ""))
-    bare = line.rlike("[0-9]") & ~enough(number(words))
-    whole = F.when(bare, raw).otherwise(F.xxhash64(F.lit(0), n, tokens))
-    return F.when(n >= PARTED_TOKENS, F.array_compact(F.array(whole, *parts))).otherwise(F.array(whole))
+    bare = line.rlike("[0-9]") & ~enough(words)
+    whole = F.when(bare, raw).otherwise(F.xxhash64(F.lit(0), n, hashes))
+    return F.when(n >= PARTED_TOKENS, F.array_compact(F.array(whole, *general))).otherwise(F.array(whole))
 
 
 def numbered_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -74,23 +89,25 @@ def numbered_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return settle(rows, "rows")
 
 
-def dropped_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """``uid, at``: rows and places of the lines that go, from ``uid, doc_id, text``."""
+def hashed_lines(rows: DataFrame, min_tokens: int) -> DataFrame:
+    """``uid, doc_id, at, leaf, templates`` of every line with ``min_tokens`` tokens."""
     lines = rows.select("uid", "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     parsed = (
-        lines.select("uid", "doc_id", "at", "line", tokens_of(F.col("line")).alias("tokens"))
+        lines.withColumn("masked", masked_line(F.col("line")))
+        .withColumn("tokens", tokens_of(F.col("masked")))
         .withColumn("n", F.size("tokens"))
         .where(F.col("n") >= min_tokens)
-        .withColumn("words", F.transform("tokens", lambda t: t.rlike(r"\p{L}")))
+        .withColumn("words", F.regexp_count("masked", F.lit(LETTERED)))
+        .withColumn("hashes", F.array(*[F.xxhash64(p) for p in _pieces(F.col("tokens"), F.col("n"))]))
     )
-    leaf = F.xxhash64("n", F.slice("tokens", 1, LEADING))
-    hashed = settle(
-        parsed.select(
-            "uid", "doc_id", "at", leaf.alias("leaf"),
-            template_hashes(*map(F.col, ("tokens", "n", "words", "line"))).alias("templates"),
-        ),
-        "lines",
-    )
+    leaf = F.xxhash64("n", F.get("hashes", F.lit(0)))
+    templates = template_hashes(*map(F.col, ("tokens", "n", "line", "words", "hashes")))
+    return parsed.select("uid", "doc_id", "at", leaf.alias("leaf"), templates.alias("templates"))
+
+
+def dropped_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
+    """``uid, at``: rows and places of the lines that go, from ``uid, doc_id, text``."""
+    hashed = settle(hashed_lines(rows, min_tokens), "lines")
     # A template cannot recur in a leaf of one document.  Written, as the templates are below, so
     # that the join is dealt out by itself and a hot leaf or template can be split.
     shared = settle(
