@@ -5,8 +5,8 @@ a rest.  Pieces are dealt into groups of about ``GROUP_PIECES``, whose number fo
 of pieces, and each group is packed in one task: best-fit decreasing first, then a local search.
 The search takes the emptiest bins as givers.  It moves a document to another underfull bin,
 exchanges one for one, two for one or one for two, whenever the sum of squared fills grows, and
-a bin that runs empty is gone.  It ends when a group has as few bins as its tokens need, or
-when ``PATIENCE`` givers in a row allow nothing.  A group wastes less than one bin by itself.
+a bin that runs empty is gone.  It ends when a group has as few bins as its tokens need, or when
+no underfull bin allows another change.  A group wastes less than one bin by itself.
 
 Defined results: a null or empty text is the separator alone; repeated rows are packed each;
 null ids stay; other columns are not read; an empty table gives no pieces.
@@ -27,8 +27,8 @@ from shelfcast.durable import settle
 from shelfcast.llm.arrow import map_lists
 from shelfcast.llm.word_ids import word_ids
 
-#: Tokens in a sequence, pieces in a group, givers without success before the search ends.
-CAPACITY, GROUP_PIECES, PATIENCE = 2048, 10_000, 64
+#: Tokens in a sequence, pieces in a group.
+CAPACITY, GROUP_PIECES = 2048, 10_000
 
 PIECE_FIELDS = [
     StructField("piece", IntegerType()),
@@ -69,34 +69,50 @@ class _Bins:
                 open_bins[gap].append(b)
                 gaps |= 1 << gap
 
+    def _options(self, items: list[int]) -> list[tuple[int, tuple]]:
+        """One piece or two of a bin, for each length that they can have together.
+
+        Equal lengths serve alike, so a bin of many short pieces has few options.
+        """
+        by_length: dict[int, list[int]] = {}
+        for i in items:
+            by_length.setdefault(self.lengths[i], []).append(i)
+        found = {length: (same[0],) for length, same in by_length.items()}
+        pairs: dict[int, tuple] = {}
+        for n, (length, same) in enumerate(by_length.items()):
+            if len(same) > 1:
+                pairs.setdefault(2 * length, tuple(same[:2]))
+            for other in list(by_length)[n + 1 :]:
+                pairs.setdefault(length + other, (same[0], by_length[other][0]))
+        return [*found.items(), *pairs.items()]
+
+    def _offer(self, b: int) -> None:
+        """What bin ``b`` may give back, if it is underfull: nothing, one piece or two."""
+        self.offers.pop(b, None)
+        if self.items[b] and self.gap[b]:
+            options = [(0, ()), *self._options(self.items[b])]
+            size = np.array([length for length, _ in options])
+            self.offers[b] = size, size + self.gap[b], [pieces for _, pieces in options]
+
     def _table(self):
-        """What underfull bins may give back: nothing, one piece or two.
+        """The offers of all underfull bins side by side.
 
         Pieces of ``size`` in bin ``owner`` can be replaced by anything longer, up to ``top``.
         """
-        size, top, owner, back = [], [], [], []
-        for b, items in enumerate(self.items):
-            if not items or not self.gap[b]:
-                continue
-            options = [(0, ())] + [(self.lengths[i], (i,)) for i in items]
-            for n, i in enumerate(items):
-                options += [(self.lengths[i] + self.lengths[j], (i, j)) for j in items[n + 1 :]]
-            for length, pieces in options:
-                size.append(length)
-                top.append(length + self.gap[b])
-                owner.append(b)
-                back.append(pieces)
-        few = np.array([len(pieces) < 2 for pieces in back], bool)
-        return np.array(size), np.array(top), np.array(owner), few, back
+        bins = sorted(self.offers)
+        if not bins:
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool), []
+        back = [pieces for b in bins for pieces in self.offers[b][2]]
+        size, top = (np.concatenate([self.offers[b][k] for b in bins]) for k in (0, 1))
+        owner = np.repeat(bins, [len(self.offers[b][2]) for b in bins])
+        return size, top, owner, np.array([len(pieces) < 2 for pieces in back], bool), back
 
     def _improve(self, giver: int, table) -> bool:
         """One exchange out of ``giver`` that makes the squared fills grow, if there is one."""
         size, top, owner, few, back = table
         fill = self.capacity - self.gap
         items = self.items[giver]
-        gives = [(self.lengths[i], (i,)) for i in items]
-        for n, i in enumerate(items):
-            gives += [(self.lengths[i] + self.lengths[j], (i, j)) for j in items[n + 1 :]]
+        gives = self._options(items)
         for length, pieces in sorted(gives, reverse=True):
             fits = (size < length) & (top >= length) & (owner != giver)
             if len(pieces) == 2:  # two for two is not among the moves
@@ -116,43 +132,36 @@ class _Bins:
             moved = length - int(size[best])
             self.gap[giver] += moved
             self.gap[taker] -= moved
+            self._offer(giver)
+            self._offer(taker)
             return True
         return False
 
-    def search(self, patience: int) -> None:
+    def search(self) -> None:
+        """Exchanges until no underfull bin has one that makes the squared fills grow."""
         least = -(-sum(self.lengths) // self.capacity)
         self.gap = np.array(self.gap, dtype=np.int64)
-        used = len(self.items)
-        while used > least:  # each change makes the squared fills grow, so this ends
-            table, tried, changed = self._table(), 0, False
+        self.offers: dict[int, tuple] = {}
+        for b in range(len(self.items)):
+            self._offer(b)
+        used, changed = len(self.items), True
+        while used > least and changed:  # each change makes the squared fills grow, so this ends
+            table, changed = self._table(), False
             for giver in np.argsort(-self.gap, kind="stable").tolist():
-                if not self.items[giver]:
-                    continue
-                if not self.gap[giver] or tried >= patience:
+                if not self.gap[giver] or used <= least:
                     break
-                while self._improve(giver, table):
-                    changed, tried = True, 0
-                    if not self.items[giver]:
-                        used -= 1
-                        break
-                    table = self._table()
-                else:
-                    tried += 1
-                    continue
-                break
-            if not changed:
-                return
-
-
-def pack(
-    lengths: Sequence[int], capacity: int = CAPACITY, patience: int = PATIENCE
-) -> list[list[int]]:
+                while self.items[giver] and self._improve(giver, table):
+                    table, changed = self._table(), True
+                    used -= not self.items[giver]
+
+
+def pack(lengths: Sequence[int], capacity: int = CAPACITY) -> list[list[int]]:
     """Bins as lists of positions in ``lengths``; each is at most ``capacity``."""
     full = [[i] for i, n in enumerate(lengths) if n == capacity]
     rest = [i for i, n in enumerate(lengths) if n < capacity]
     bins = _Bins([lengths[i] for i in rest], capacity)
     bins.best_fit()
-    bins.search(patience)
+    bins.search()
     return full + [[rest[i] for i in items] for items in bins.items if items]
 
 
@@ -188,7 +197,6 @@ def cut_pieces(
 def pack_documents(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
     capacity: int = CAPACITY, separator: int = 0, group_pieces: int = GROUP_PIECES,
-    patience: int = PATIENCE,
 ) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; the offsets of a sequence have no gaps."""
     pieces = cut_pieces(docs, path, id_col, text_col, capacity, separator)
@@ -201,7 +209,7 @@ def pack_documents(
         lengths = group["length"].tolist()
         sequence, offset = [0] * len(group), [0] * len(group)
         first = int(group["grp"].iloc[0]) << 32
-        for number, items in enumerate(pack(lengths, capacity, patience)):
+        for number, items in enumerate(pack(lengths, capacity)):
             at = 0
             for i in sorted(items):
                 sequence[i], offset[i] = first + number, at

@@ -121,3 +121,22 @@ def test_search_beats_best_fit():
         first.best_fit()
         assert len(bins) <= len(first.items)
     assert swap_packing.pack([], 10) == []
+
+
+def test_packing_ends_only_without_an_exchange():
+    import random
+
+    rng = random.Random(1)
+    lengths = [rng.randint(300, 1500) for _ in range(1000)] + [1] * 2000 + [2048] * 3
+    bins = swap_packing.pack(lengths)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    fills = [sum(lengths[i] for i in b) for b in bins]
+    assert max(fills) <= 2048 and len(bins) <= -(-sum(lengths) // 2048) + 3
+
+
+def test_packing_many_one_token_pieces_is_quick():
+    import time
+
+    began = time.perf_counter()
+    bins = swap_packing.pack([1] * 10_000 + [900] * 100)
+    assert len(bins) == -(-(10_000 + 90_000) // 2048) and time.perf_counter() - began < 5
