@@ -50,9 +50,14 @@ SENSITIVE = {
     "private_key": 1.0, "credential": 0.9, "authkey": 0.9, "auth_key": 0.9, "signature": 0.6,
 }
 HINTS = ("passw", "pwd", "passphrase", "secret", "token", "key", "credential", "signature")
-PLACEHOLDER = re.compile(r"example|changeme|placeholder|your[_-]|dummy|^x+$|^\*+$|^<.*>$|\$\{|\{\{", re.I)
-
-NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z0-9_]+)*"
+#: Parts of values that are no secrets; the longest has ``EDGE`` + 1 characters.
+PLACEHOLDER = re.compile(r"example|changeme|placeholder|your[_-]|dummy|\$\{|\{\{", re.I)
+EDGE = 10
+
+# Names and types are taken whole and tried at their beginning only: a long run of letters is
+# read once, however many names could begin in it.
+NAME = r"[A-Za-z_][A-Za-z0-9_]*+(?:[.-][A-Za-z0-9_]++)*+"
+BEGIN = r"(?<![A-Za-z0-9_])(?<![A-Za-z0-9_][.-])"
 #: Triple-quoted or plain.
 STRING = (
     r'''"""(?:[^\\]|\\[\s\S])*?"""|\'{3}(?:[^\\]|\\[\s\S])*?\'{3}'''
@@ -65,13 +70,13 @@ OPEN = re.compile(r"""[ \t]*\((?:\s|\()*(?=[A-Za-z_"'])""")
 INNER = re.compile(rf"""\s*(?:{PREFIX}({STRING})|({NAME}))""")
 JOINED = re.compile(rf"""\s*\+(?=\s*["'A-Za-z_])|\s*(?={PREFIX}["'])""")
 #: A type behind a name, where a value follows.
-TYPE = r"[&*]{0,2}(?:'[a-z]+[ \t]+)?(?:\[\])?[A-Za-z_][\w.]*(?:[\[<][^\]>=\n]{0,80}[\]>]{1,4})?"
+TYPE = r"[&*]{0,2}(?:'[a-z]++[ \t]++)?(?:\[\])?[A-Za-z_][\w.]*+(?:[\[<][^\]>=\n]{0,80}[\]>]{1,4})?"
 TYPED = rf"{TYPE}(?:[ \t]*\|[ \t]*{TYPE}){{0,4}}\??(?=[ \t]*=(?![=>]))"
 #: A name with its operator; the name may be quoted, the last subscript, or declared with a type.
 TARGET = re.compile(
-    rf"""\b(?:var|const)[ \t]+({NAME})[ \t]+{TYPED}[ \t]*="""
-    rf"""|["']?({NAME})["']?(?:[ \t]*\]|[ \t]*\[[0-9]*\])?"""
-    rf"""(?:[ \t]*\??:[ \t]*({TYPED})[ \t]*=|[ \t]*(?::=|=>|=(?!=)|:(?![:/])))"""
+    rf"""\b(?:var|const)[ \t]++({NAME})[ \t]++{TYPED}[ \t]*+="""
+    rf"""|{BEGIN}({NAME})["']?(?:[ \t]*+\]|[ \t]*+\[[0-9]*+\])?"""
+    rf"""(?:[ \t]*+\??:[ \t]*+({TYPED})[ \t]*+=|[ \t]*+(?::=|=>|=(?!=)|:(?![:/])))"""
 )
 PLUS = re.compile(r"[ \t]*\+(?=[ \t]*[\"'A-Za-z_])")
 
@@ -105,15 +110,60 @@ def name_weight(name: str) -> float:
     return max((w for part, w in SENSITIVE.items() if part in low), default=0.0)
 
 
-def strength(value: str) -> float:
+class Value:
+    """What a name stands for: its characters counted, its ends, and where its literals are.
+
+    A value made of others points to them, so that doubling it again and again costs a step each.
+    """
+
+    __slots__ = ("counts", "size", "head", "tail", "refused", "parts", "taken")
+
+    def __init__(self):
+        self.counts: Counter = Counter()
+        self.size, self.head, self.tail = 0, "", ""
+        self.refused, self.parts, self.taken = False, [], False
+
+    def append(self, counts, size: int, head: str, tail: str, refused: bool, part) -> None:
+        self.refused |= refused or PLACEHOLDER.search(self.tail + head) is not None
+        for character, number in counts.items():
+            self.counts[character] += number
+        if self.size < EDGE:
+            self.head = (self.head + head)[:EDGE]
+        self.tail = (self.tail + tail)[-EDGE:] if size < EDGE else tail
+        self.size += size
+        self.parts.append(part)
+
+    def literal(self, content: str, start: int, end: int) -> None:
+        refused = PLACEHOLDER.search(content) is not None
+        ends = content[:EDGE], content[-EDGE:]
+        self.append(Counter(content), len(content), *ends, refused, (start, end))
+
+    def value(self, other: Value) -> None:
+        self.append(other.counts, other.size, other.head, other.tail, other.refused, other)
+
+    def places(self) -> list[tuple[int, int]]:
+        """Places of all literals in it that have not been taken yet."""
+        out, open_ = [], [self]
+        while open_:
+            value = open_.pop()
+            if not value.taken:
+                value.taken = True
+                out += [p for p in value.parts if isinstance(p, tuple) and p[1] > p[0]]
+                open_ += [p for p in value.parts if isinstance(p, Value)]
+        return out
+
+
+def strength(value: Value) -> float:
     """From 0 to 1: how much a literal looks like a generated or chosen secret."""
-    if len(value) < LEAST_LENGTH or PLACEHOLDER.search(value) or any(c.isspace() for c in value):
+    counts = value.counts
+    if value.size < LEAST_LENGTH or value.refused or any(c.isspace() for c in counts):
+        return 0.0
+    if set(counts) <= set("xX") or (value.head[0] == "<" and value.tail[-1] == ">"):
         return 0.0
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if kinds < 2:
+    kinds = {"a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "." for c in counts}
+    if len(kinds) < 2:
         return 0.0
-    counts = Counter(value).values()
-    entropy = -sum(n / len(value) * log2(n / len(value)) for n in counts)
+    entropy = -sum(n / value.size * log2(n / value.size) for n in counts.values())
     return min(1.0, entropy / 3.0)
 
 
@@ -161,19 +211,19 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
     low = text.lower()
     if not any(h in low for h in HINTS):
         return []
-    stored: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
+    stored: dict[str, Value] = {}
     found: set[tuple[int, int]] = set()
     for name, terms in assignments(text):
-        value, places = "", ()
+        value = Value()
         for kind, content, start, end in terms:
             if kind != "literal" and content in stored:
-                value, places = value + stored[content][0], places + stored[content][1]
+                value.value(stored[content])
             elif kind == "literal" or (kind == "name" and any(c.isdigit() for c in content)):
                 # with a digit, an unknown bare word is a literal of a configuration file
-                value, places = value + content, places + ((start, end),)
-        stored[name] = (value, places)
+                value.literal(content, start, end)
+        stored[name] = value
         if name_weight(name) * strength(value) >= LEAST_SCORE:
-            found.update(p for p in places if p[1] > p[0])
+            found.update(value.places())
     return [("literal", *p) for p in sorted(found)]
 
 

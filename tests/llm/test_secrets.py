@@ -108,3 +108,26 @@ def test_redaction_keeps_rows_and_columns(spark, docs_frame):
     assert {r.text for r in rows if r.doc_id == 2} == {"nothing here"}
     assert lexer.redact(docs_frame([])).count() == 0
     assert lexer.find_secrets(docs_frame([])).count() == 0
+
+
+def test_long_runs_and_doubling_constants_take_a_step_each():
+    import time
+
+    doubled = "".join(f"k{i + 1} = k{i} + k{i}\n" for i in range(200))
+    texts = {
+        "letters": "key " + "a" * 1_000_000, "hex": "key " + "0a1b" * 250_000, "dots": "key " + "a." * 500_000,
+        "spaces": "key" + " " * 1_000_000, "constants": 'k0 = "aB3dE5fG7hJ9"\n' + doubled + "password = k200\n",
+    }
+    for name, text in texts.items():
+        began = time.perf_counter()
+        spans = secret_lexer.scan(text)
+        assert time.perf_counter() - began < 3, name
+        if name == "constants":
+            assert spans == [("literal", 6, 18)]
+
+
+def test_joined_values_keep_the_marks_of_placeholders():
+    assert secret_lexer.scan('a = "exam"\npwd = a + "ple1X9"') == []
+    assert secret_lexer.scan('a = "xxxx"\npwd = a + "XXXXXXX"') == []
+    assert len(secret_lexer.scan('a = "Qz7#"\npwd = a + "Lp2!mW9"')) == 2
+    assert len(secret_lexer.scan('a = "Qz7#Lp2!mW9"\npwd = a\nsecret = a')) == 1

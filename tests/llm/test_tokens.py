@@ -1,6 +1,7 @@
 """Token counts and packing against the tokenizers library."""
 
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -124,8 +125,6 @@ def test_search_beats_best_fit():
 
 
 def test_packing_ends_only_without_an_exchange():
-    import random
-
     rng = random.Random(1)
     lengths = [rng.randint(300, 1500) for _ in range(1000)] + [1] * 2000 + [2048] * 3
     bins = swap_packing.pack(lengths)
@@ -135,8 +134,6 @@ def test_packing_ends_only_without_an_exchange():
 
 
 def test_packing_many_one_token_pieces_is_quick():
-    import time
-
     began = time.perf_counter()
-    bins = swap_packing.pack([1] * 10_000 + [900] * 100)
-    assert len(bins) == -(-(10_000 + 90_000) // 2048) and time.perf_counter() - began < 5
+    assert len(swap_packing.pack([1] * 10_000 + [900] * 100)) == 50  # two long ones a bin
+    assert time.perf_counter() - began < 5
