@@ -8,6 +8,10 @@ first.  A template of *t* words that must share *o* has one of its first t - o +
 block (*prefix*), the block has o template words at all (*length*), and from the first shared
 word on both sides still have o words (*position*).  What passes is counted exactly.
 
+Templates of different labels may differ in a word or two.  Where another template would join a
+template's own block, the template gives its label only if the block has all words that the other
+lacks, and not if the other has all of its words and the block has the rest of them too.
+
 Templates are a parameter of bounded size, so their words, prefixes and frequencies are small
 whatever the documents are; blocks without any prefix word never leave the task that reads them.
 
@@ -53,11 +57,17 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("cc-by", "Licensed under CC BY 4.0"),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 "
      "International License"),
-    ("reserved", "All rights reserved"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 "
+     "International License"),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
 )
 
+#: Notices too short for a set of words: they count where they stand word for word.
+NOTICES = {"all rights reserved": "reserved"}
+
 #: A-Z to a-z; 0-9, a-z and every byte of other characters as they are; the rest to spaces.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -122,7 +132,8 @@ BLOCK = StructType(
 )
 SCANNED = StructType(
     [StructField("n_words", LongType()), StructField("starts", ArrayType(LongType())),
-     StructField("base", ArrayType(StringType())), StructField("blocks", ArrayType(BLOCK))]
+     StructField("base", ArrayType(StringType())), StructField("noticed", ArrayType(StringType())),
+     StructField("blocks", ArrayType(BLOCK))]
 )
 
 
@@ -139,11 +150,25 @@ class Index:
         for number, (label, text) in enumerate(templates):
             ranks = sorted({self.rank[w] for w in words_of(text)})
             size, need = block_words(text), required(text, threshold)
-            self.rows.append((number, label, size, need, ranks))
+            must, bars = self.rivals(number, templates, threshold)
+            self.rows.append((number, label, size, need, ranks, must, bars))
             self.least[size] = min(need, self.least.get(size, need))
             for r in ranks[: len(ranks) - need + 1]:
                 self.prefix.setdefault(order[r], set()).add(size)
 
+    def rivals(self, number: int, templates, threshold: float) -> tuple[list[int], list[list[int]]]:
+        """Ranks that a block must have for a template, and sets of which it must not have all."""
+        label, text = templates[number]
+        mine, must, bars = set(words_of(text)), set(), []
+        for other, wording in templates:
+            theirs = set(words_of(wording))
+            if other == label or len(mine & theirs) < required(text, threshold):
+                continue
+            must |= mine - theirs
+            if mine < theirs:
+                bars.append(sorted(self.rank[w] for w in theirs - mine))
+        return sorted(self.rank[w] for w in must), bars
+
     def blocks(self, words: list[bytes]) -> list[dict]:
         """The blocks that hold a prefix word and enough template words."""
         prefix = self.prefix
@@ -165,8 +190,10 @@ class Index:
         return out
 
 
-def scan_documents(docs: DataFrame, index: Index, phrases: dict[str, str]) -> DataFrame:
-    """``doc_id, n_words, starts, base, blocks`` for ``doc_id, text`` rows."""
+def scan_documents(
+    docs: DataFrame, index: Index, phrases: dict[str, str], notices: dict[str, str]
+) -> DataFrame:
+    """``doc_id, n_words, starts, base, noticed, blocks`` for ``doc_id, text`` rows."""
 
     def start():
         def work(texts: list) -> dict[str, list]:
@@ -177,6 +204,7 @@ def scan_documents(docs: DataFrame, index: Index, phrases: dict[str, str]) -> Da
                 out["n_words"].append(len(words))
                 out["starts"].append([at for at, _ in places])
                 out["base"].append(sorted({label for _, label in places}))
+                out["noticed"].append(sorted({label for _, label in phrase_places(words, notices)}))
                 out["blocks"].append(index.blocks(words))
             return out
 
@@ -188,12 +216,14 @@ def scan_documents(docs: DataFrame, index: Index, phrases: dict[str, str]) -> Da
 def join_blocks(blocks: DataFrame, index: Index, spark: SparkSession) -> DataFrame:
     """``uid, label, score``: blocks that hold enough of a template, best score of each label."""
     rows = [
-        (number, label, size, need, ranks, place, rank)
-        for number, label, size, need, ranks in index.rows
+        (number, label, size, need, ranks, must, bars, place, rank)
+        for number, label, size, need, ranks, must, bars in index.rows
         for place, rank in enumerate(ranks[: len(ranks) - need + 1])
     ]
     prefixes = spark.createDataFrame(
-        rows, "template int, label string, size int, need int, words array<int>, at int, rank int"
+        rows,
+        "template int, label string, size int, need int, words array<int>, must array<int>, "
+        "bars array<array<int>>, at int, rank int",
     )
     left = blocks.select(
         "uid", "size", "block", "ranks", F.posexplode("ranks").alias("place", "rank")
@@ -205,6 +235,8 @@ def join_blocks(blocks: DataFrame, index: Index, spark: SparkSession) -> DataFra
     )
     shared = F.size(F.array_intersect("ranks", "words"))
     exact = near.withColumn("shared", shared).where("shared >= need")
+    within = lambda ranks: F.size(F.array_except(ranks, "ranks")) == 0
+    exact = exact.where(within(F.col("must"))).where(~F.exists("bars", within))
     score = F.col("shared") / F.size("words")
     return exact.groupBy("uid", "label").agg(F.max(score).alias("score"))
 
@@ -212,15 +244,16 @@ def join_blocks(blocks: DataFrame, index: Index, spark: SparkSession) -> DataFra
 def scan_licenses(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     templates=TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES,
+    notices: dict[str, str] = NOTICES,
 ) -> DataFrame:
     """``doc_id, n_words, starts`` (of phrases) ``, base, labels, score`` for every row.
 
-    ``score`` is 1 where a phrase stands, else the largest share of a template that a joined
+    ``score`` is 1 where a phrase or notice stands, else the largest share of a template that a joined
     block holds, else 0.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     index = Index(templates, threshold, word_counts(source, templates))
-    scanned = scan_documents(source, index, phrases)
+    scanned = scan_documents(source, index, phrases, notices)
     scanned = settle(scanned.withColumn("uid", F.monotonically_increasing_id()), "scanned")
     blocks = scanned.where(F.size("blocks") > 0).select("uid", F.inline("blocks"))
     found = (
@@ -234,6 +267,6 @@ def scan_licenses(
         "n_words",
         "starts",
         "base",
-        F.array_sort(F.array_union("base", F.coalesce("more", none))).alias("labels"),
-        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
+        F.array_sort(F.array_union(F.array_union("base", "noticed"), F.coalesce("more", none))).alias("labels"),
+        F.when(F.size("base") + F.size("noticed") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
     )

@@ -12,6 +12,16 @@ def plain_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
 
 
+def rivalled(label, want, block, templates, threshold):
+    """Whether another label's wording explains the block instead."""
+    for other, wording in templates:
+        theirs = set(plain_words(wording))
+        if other != label and len(want & theirs) / len(want) >= threshold - 1e-9:
+            if not want - theirs <= block or (want < theirs and theirs - want <= block):
+                return True
+    return False
+
+
 def plain_scan(text, templates=lic.TEMPLATES, threshold=lic.THRESHOLD):
     """Every block of every size against every template."""
     words = plain_words(text)
@@ -29,10 +39,15 @@ def plain_scan(text, templates=lic.TEMPLATES, threshold=lic.THRESHOLD):
             size *= 2
         want = set(parts)
         for start in range(0, len(words), size // 2):
-            share = len(want & set(words[start : start + size])) / len(want)
-            if share >= threshold - 1e-9:
+            block = set(words[start : start + size])
+            share = len(want & block) / len(want)
+            if share >= threshold - 1e-9 and not rivalled(label, want, block, templates, threshold):
                 labels.add(label)
                 best = max(best, share)
+    text_words = " ".join(words)
+    noticed = {lb for n, lb in lic.NOTICES.items() if f" {n} " in f" {text_words} "}
+    labels |= noticed
+    best = 1.0 if noticed else best
     base = {label for _, label in places}
     starts = [i for i, _ in places]
     return (
@@ -71,3 +86,15 @@ def test_odd_and_partial_notices(spark, docs_frame):
     want = [(i, *plain_scan(t)) for i, t in pairs]
     assert sorted(got, key=key) == sorted(want, key=key)
     assert rows_of(lic.scan_licenses(docs_frame([]))) == []
+
+
+def test_creative_commons_labels_are_told_apart(spark, docs_frame):
+    long = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    texts = {
+        1: ("Licensed under CC BY-NC 4.0", "cc-by-nc"), 2: ("Licensed under CC BY-SA 4.0", "cc-by-sa"),
+        3: ("Licensed under CC BY 4.0", "cc-by"), 4: (long.format(""), "cc-by"),
+        5: (long.format("-NonCommercial"), "cc-by-nc"), 6: (long.format("-ShareAlike"), "cc-by-sa"),
+        7: ("all the rights I reserved", ""), 8: ("All rights reserved.", "reserved"),
+    }
+    got = lic.scan_licenses(docs_frame([(i, t) for i, (t, _) in texts.items()]))
+    assert {r.doc_id: ",".join(r.labels) for r in got.collect()} == {i: w for i, (_, w) in texts.items()}

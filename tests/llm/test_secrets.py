@@ -120,14 +120,14 @@ def test_long_runs_and_doubling_constants_take_a_step_each():
     }
     for name, text in texts.items():
         began = time.perf_counter()
-        spans = secret_lexer.scan(text)
+        spans = lexer.scan(text)
         assert time.perf_counter() - began < 3, name
         if name == "constants":
             assert spans == [("literal", 6, 18)]
 
 
 def test_joined_values_keep_the_marks_of_placeholders():
-    assert secret_lexer.scan('a = "exam"\npwd = a + "ple1X9"') == []
-    assert secret_lexer.scan('a = "xxxx"\npwd = a + "XXXXXXX"') == []
-    assert len(secret_lexer.scan('a = "Qz7#"\npwd = a + "Lp2!mW9"')) == 2
-    assert len(secret_lexer.scan('a = "Qz7#Lp2!mW9"\npwd = a\nsecret = a')) == 1
+    assert lexer.scan('a = "exam"\npwd = a + "ple1X9"') == []
+    assert lexer.scan('a = "xxxx"\npwd = a + "XXXXXXX"') == []
+    assert len(lexer.scan('a = "Qz7#"\npwd = a + "Lp2!mW9"')) == 2
+    assert len(lexer.scan('a = "Qz7#Lp2!mW9"\npwd = a\nsecret = a')) == 1
