@@ -273,20 +273,26 @@ with lines as (
     from documents
 ), tokens as (
     select doc_id, line, place,
-           list_transform(
-               list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda t: t <> ''),
-               lambda t: case when regexp_matches(t, '[0-9]') then '<*>' else t end) as ts
+           list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda t: t <> '') as raw
     from lines
+), masked as (
+    select *, len(raw) as n,
+           list_transform(raw, lambda t: case when regexp_matches(t, '[0-9]') then '<*>' else t end) as ts,
+           list_transform(raw, lambda t: cast(not regexp_matches(t, '[0-9]') and regexp_matches(t, '\p{L}') as int)) as ws
+    from tokens where len(raw) >= 3
 ), numbered as (
-    select doc_id, place, ts, len(ts) as n, j
-    from tokens, (values (-1), (0), (1), (2), (3)) as parts(j)
-    where len(ts) >= 3 and (j = -1 or len(ts) >= 11)
+    select *, 3 + (n - 3) * j // 4 as low, 3 + (n - 3) * (j + 1) // 4 as high, coalesce(list_sum(ws), 0) as words
+    from masked, (values (-1), (0), (1), (2), (3)) as parts(j)
+    where j = -1 or n >= 11
 ), templates as (
     select doc_id, place,
-           case when j = -1 then ts else
-               ts[: 3 + (n - 3) * j // 4] || ['<part>']
-               || ts[4 + (n - 3) * (j + 1) // 4 :] end as template, n, j
-    from numbered
+           case when j >= 0 then ts[:low] || ['<part>'] || ts[high + 1:]
+                when regexp_matches(line, '[0-9]') and not (words >= 2 and words * 3 >= n) then raw
+                else ts end as template,
+           n, case when j = -1 and regexp_matches(line, '[0-9]') and not (words >= 2 and words * 3 >= n)
+                   then -2 else j end as j
+    from (select *, words - coalesce(list_sum(ws[low + 1 : high]), 0) as kept from numbered)
+    where j = -1 or (kept >= 2 and kept * 3 >= n)
 ), recurring as (
     select template, n, j, min(struct_pack(d := doc_id, a := place)) as first
     from templates group by template, n, j having count(distinct doc_id) >= 2
