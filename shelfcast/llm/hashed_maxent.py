@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.durable import settle
 from shelfcast.llm.arrow import batch_of
+from shelfcast.llm.scratch import discard
 
 #: Tokens of a chunk; bytes of a text that are cut into words at once.
 CHUNK_TOKENS, SLICE_BYTES = 1 << 21, 1 << 24
@@ -431,6 +432,7 @@ def score_documents(docs: DataFrame, learns: Column, id_col: str = "doc_id", tex
     *sides, learned = chunks.agg(*sums, F.sum("learned")).first()
     average = [(s or 0) / max(1, learned or 0) for s in sides]
     ready = ready_chunks(chunks, average)
+    discard(chunks)  # all that follows reads the chunks with their words
     totals = [F.sum(c) for c in ("distinct", "once", "twice")]
     masses = [F.sum(F.get("mass", F.lit(k))) for k in range(CLASSES)]
     numbers = [x or 0 for x in ready.agg(F.count(F.lit(1)), *totals, *masses).first()]

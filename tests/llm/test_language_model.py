@@ -99,3 +99,18 @@ def test_probabilities_of_all_words_add_up(spark):
     rows = rng.integers(0, hashed_maxent.BUCKETS, size=(4, 20))
     logs = hashed_maxent.log_probabilities(weights, weights[-1], rows)
     assert np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-5)
+
+
+def test_discarded_tables_are_gone_and_others_stay(spark, tmp_path):
+    from shelfcast.durable import settle
+    from shelfcast.llm.scratch import discard
+
+    mine, other = settle(spark.range(5), "gone"), settle(spark.range(7), "stays")
+    spark.range(3).write.parquet(f"{tmp_path}/given")
+    given = spark.read.parquet(f"{tmp_path}/given")
+    discard(mine)
+    discard(given)  # not below the shared folder
+    assert other.count() == 7 and given.count() == 3
+    assert not spark.read.format("binaryFile").option("pathGlobFilter", "*").load(
+        other.inputFiles()[0].rsplit("/", 2)[0]
+    ).where("path like '%gone-%'").count()
