@@ -17,6 +17,7 @@ from shelfcast.operators import (
     forecasting,
     grid,
     holidays,
+    intervals,
     regressors,
     tuning,
     weekly,
@@ -48,6 +49,8 @@ class Run:
     comparison: DataFrame
     components: DataFrame
     results: DataFrame
+    gate: DataFrame
+    validation_days: int
 
 
 def run_batch(
@@ -65,6 +68,7 @@ def run_batch(
     log_target: bool = False,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     holiday_table: DataFrame | None = None,
+    interval_paths: int = intervals.PATHS,
 ) -> Run:
     """Clean, aggregate, tune, fit, forecast and score every series of ``series``.
 
@@ -75,12 +79,58 @@ def run_batch(
     ``log_target`` tunes and fits on log(1 + y) and reports on the scale of the data.
     ``prepare`` is applied to the training weeks, for instance outlier handling; accuracy is
     measured on untouched actuals.  ``holiday_table`` (``ds``) replaces the holiday rule.
+    Forecast intervals come from ``interval_paths`` simulated paths; 0 takes the closed form.
+    """
+    cells = requested_cells(sales, series, weather, start_date, end_date, weather_grain)
+    return run_cells(
+        settle(cells, "cells"),
+        series,
+        weather_forecast=weather_forecast,
+        validation_days=validation_days,
+        param_grid=param_grid,
+        overrides=overrides,
+        weather_grain=weather_grain,
+        holiday_match=holiday_match,
+        log_target=log_target,
+        prepare=prepare,
+        holiday_table=holiday_table,
+        interval_paths=interval_paths,
+    )
+
+
+def requested_cells(
+    sales: DataFrame,
+    series: DataFrame,
+    weather: DataFrame | None = None,
+    start_date: str | None = None,
+    end_date: str | None = None,
+    weather_grain: str = "day",
+) -> DataFrame:
+    """Weekly cells of the series in the list.
+
+    The list meets cells, not lines.  Where it is small enough to be broadcast, the optimiser
+    moves this join below the aggregate, to the scan.
     """
     daily = daily_sales(sales, None, start_date, end_date)
     cells = weekly.weekly_cells(daily, weather, weather_grain)
-    # The list meets cells, not lines.  Where it is small enough to be broadcast, the optimiser
-    # moves this join below the aggregate, to the scan.
-    cells = settle(cells.join(series.select(*SERIES).distinct(), SERIES, "left_semi"), "cells")
+    return cells.join(series.select(*SERIES).distinct(), SERIES, "left_semi")
+
+
+def run_cells(
+    cells: DataFrame,
+    series: DataFrame,
+    weather_forecast: DataFrame | None = None,
+    validation_days: int = weekly.VALIDATION_DAYS,
+    param_grid: dict[str, list] | None = None,
+    overrides: DataFrame | None = None,
+    weather_grain: str = "day",
+    holiday_match: str = "sunday",
+    log_target: bool = False,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    holiday_table: DataFrame | None = None,
+    interval_paths: int = intervals.PATHS,
+) -> Run:
+    """The run from stored weekly cells on; arguments as in :func:`run_batch`."""
     gate = weekly.series_gate(cells, validation_days)
     passed = gate.where(F.col("status").isNull()).select(*SERIES)
     filled = weekly.fill_weeks(cells.join(passed, SERIES, "left_semi"))
@@ -110,14 +160,16 @@ def run_batch(
     future = regressors.future_regressors(ready, by_week)
     if holiday_table is not None:
         future = holidays.with_holiday_table(future, holiday_table, holiday_match)
-    forecast = forecasting.iterative_forecast(models, future)
+    forecast = forecasting.iterative_forecast(models, future, paths=interval_paths)
     components = forecasting.fitted_components(models, ready, future)
     if log_target:
         forecast = forecasting.natural_scale(forecast, evaluate.FORECAST_COLUMNS)
         components = forecasting.natural_components(components)
     comparison = evaluate.forecast_vs_actual(observed.where(~F.col("is_train")), forecast)
     results = result_table(series, gate, split, models, comparison, validation_days)
-    return Run(split, scored, models, forecast, comparison, components, results)
+    return Run(
+        split, scored, models, forecast, comparison, components, results, gate, validation_days
+    )
 
 
 def log_scale(rows: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from shelfcast.operators import (
     grid,
     holidays,
     ingest,
+    intervals,
     inventory,
     monitoring,
     quality,
@@ -28,10 +29,10 @@ from shelfcast.operators import (
     tuning,
     weekly,
 )
-from shelfcast.plans import batch
+from shelfcast.plans import batch, resume
 from shelfcast.plans import standins as given
 from shelfcast.plans.present import present
-from shelfcast.schemas import PARAMETERS, PROMO, WEATHER
+from shelfcast.schemas import METRICS, PARAMETERS, PROMO, WEATHER
 from shelfcast.sources import dimensions, series_list, tables, weather
 from shelfcast.sources import sales as sales_source
 from shelfcast.sources.tables import latest_models, with_partition_day
@@ -716,6 +717,20 @@ def lag_models(train, others=0):
     )
 
 
+@query
+def sampled_intervals(spark, sf):
+    """The same line with two bends: bounds are quantiles of 1,000 simulated paths a series."""
+    held = stored(split(spark, sf))
+    bent = {
+        "t_span": F.datediff("last_week", "t0").cast("double"),
+        "knots": F.array(F.lit(0.25), F.lit(0.75)),
+        "deltas": F.array(F.lit(40.0), F.lit(-20.0)),
+        "sigma": F.lit(2.0),
+    }
+    models = lag_models(held.where("is_train")).withColumns(bent)
+    return forecasting.iterative_forecast(models, regressors.future_weeks(held), paths=intervals.PATHS)
+
+
 @query
 def lag_model_components(spark, sf):
     """Components of the given lag models: the line's constant, and what the lag adds to it."""
@@ -949,6 +964,34 @@ def run_results(spark, sf):
     return run.results
 
 
+@query
+def resumed_run(spark, sf):
+    """A run over one unit, gone on over all: attempts, and metrics again in SQL from stored rows."""
+    listed = series_list.normalise_series_list(given.series_list(spark, sf))
+    absent = F.lit("absent").alias("SKU_ID"), F.lit("BUILDING").alias("Channel"), F.col("Unit")
+    listed = stored(listed.union(listed.select(*absent).distinct()))
+    folder = fresh_path(spark, "run")
+    options = {"param_grid": {p: [v] for p, v in grid.MANUAL_RECORD.items()}, "chunks": 2}
+    resume.run_resumable(given.sales(spark, sf), listed.where("Unit = 'ASIA'"), folder, **options)
+    results = resume.run_resumable(given.sales(spark, sf), listed, folder, **options)
+    again = spark.sql(
+        """
+        SELECT SKU_ID, Channel, Unit, avg(abs(y - yhat)) AS MAE2, sqrt(avg(power(y - yhat, 2))) AS RMSE2,
+               avg(if(abs(y) + abs(yhat) > 0, 2 * abs(y - yhat) / (abs(y) + abs(yhat)), 0)) AS sMAPE2,
+               if(sum(abs(y)) > 0, sum(abs(y - yhat)) / sum(abs(y)), double('infinity')) AS WAPE2,
+               bool_and(yhat BETWEEN yhat_lower AND yhat_upper) AS inside
+        FROM {comparison} GROUP BY ALL
+        """,
+        comparison=resume.rows_of(spark, folder, "comparison"),
+    )
+    agrees = F.coalesce(F.col("inside"), F.lit(True))
+    for m in METRICS:
+        # Both missing, both infinite, or equal to the four places that results have.
+        near = F.col(m).eqNullSafe(F.col(f"{m}2")) | (F.abs(F.col(m) - F.col(f"{m}2")) < 1e-4)
+        agrees = agrees & F.coalesce(near, F.lit(False))
+    return results.join(again, KEYS, "left").select(*KEYS, "Status", "attempt", agrees.alias("agrees"))
+
+
 # --- quality and features -----------------------------------------------------------------
 
 
