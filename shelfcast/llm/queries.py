@@ -114,11 +114,16 @@ def op9_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number at the end of a page's path is that of the document it shows: whose label counts."""
     bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
     labels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("id"), F.when(bad, "block").otherwise("allow").alias("label")
+        "doc_id", F.when(bad, "block").otherwise("allow").alias("label")
     )
-    return url_rules.judge_pages(table(spark, sf_dir, "pages"), labels)
+    pages = table(spark, sf_dir, "pages")
+    path = url_rules.split_url(F.col("url"))[1]
+    number = F.regexp_extract(path, r"/(\d{1,18})(?:\.html)?/?\z", 1).try_cast("long")
+    shown = pages.select(F.col("page_id").alias("id"), number.alias("doc_id"))
+    return url_rules.judge_pages(pages, shown.join(labels, "doc_id").select("id", "label"))
 
 
 def op11_box_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

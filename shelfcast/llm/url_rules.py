@@ -8,6 +8,10 @@ inverted index: each is filed under its least frequent item, looked up by the it
 distinct item sets, and checked whole.  The surest rule decides, then the best supported, then
 the first in order; without one the verdict is the default.
 
+Items that the same labelled URLs have are mined as one, so a URL of forty words that makes up a
+third of the labels is one item and not 2^40 sets.  A rule that holds such an item stands for
+the rules with any one of its members; those with two members go, as one with fewer is as sure.
+
 Everything runs in the JVM.  Pages are joined by their item set, so a host with a third of all
 pages is as many lookups as it has kinds of URL.
 
@@ -80,19 +84,51 @@ def url_items(url: Column, host: Column, path: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.array_sort(F.array_distinct(items))).otherwise(empty)
 
 
+def equal_items(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """``leader, members``: frequent items that the same rows have, under their least item.
+
+    Which rows have an item is told by the number of its item sets and 128 bits over them.  A
+    group is no larger than a URL has items; support bounds their number.
+    """
+    sets = baskets.groupBy("items").agg(F.count(F.lit(1)).alias("rows"))
+    marked = sets.select(
+        "rows", F.xxhash64("items").alias("h1"), F.xxhash64(F.lit(1), "items").alias("h2"),
+        F.explode("items").alias("item"),
+    )
+    total = baskets.agg(F.count(F.lit(1))).scalar()
+    found = (
+        marked.groupBy("item")
+        .agg(
+            F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("sets"),
+            F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"),
+        )
+        .where(F.col("rows") >= total * F.lit(min_support))
+    )
+    groups = found.groupBy("rows", "sets", "h1", "h2").agg(
+        F.array_sort(F.collect_list("item")).alias("members")
+    )
+    return groups.where(F.size("members") > 1).select(F.col("members")[0].alias("leader"), "members")
+
+
 def mine_rules(
     baskets: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
 ) -> DataFrame:
-    """``items, verdict, confidence, support`` from ``items, label`` rows.
+    """``items, needed, verdict, confidence, support`` from ``items, label`` rows.
 
+    ``needed`` lists for each item those that stand for it: itself, or its equal items.
     A rule goes if one with an item fewer and the same verdict has at least its confidence:
     what it matches the shorter one matches as surely.
     """
+    equal = settle(equal_items(baskets, min_support), "equal-items")
+    followers = equal.select(F.explode(F.slice("members", 2, F.size("members"))).alias("item"))
+    left_out = followers.agg(F.collect_list("item")).scalar()
     labelled = baskets.select(
-        F.array_append("items", F.concat(F.lit(CLASS), "label")).alias("items")
+        F.array_append(
+            F.array_except("items", left_out), F.concat(F.lit(CLASS), "label")
+        ).alias("items")
     )
     growth = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     model = growth.fit(labelled)
@@ -119,24 +155,41 @@ def mine_rules(
         .select(F.col("whole").alias("items"), "verdict")
         .distinct()
     )
-    return rules.join(weaker, ["items", "verdict"], "left_anti")
+    kept = rules.join(weaker, ["items", "verdict"], "left_anti")
+    any_of = F.coalesce("members", F.array("leader"))
+    return (
+        kept.select("*", F.explode("items").alias("leader"))
+        .join(equal, "leader", "left")
+        .groupBy("items", "verdict", "confidence", "support")
+        .agg(F.collect_list(any_of).alias("needed"))
+    )
 
 
 def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """``items, verdict``: the deciding rule of each item set in ``sets`` that some rule fits."""
+    """``items, verdict``: the deciding rule of each item set in ``sets`` that some rule fits.
+
+    A rule is filed under every member of its rarest item.
+    """
     in_sets = sets.select(F.explode("items").alias("item")).groupBy("item").agg(
         F.count(F.lit(1)).alias("n")
     )
-    filed = (
-        rules.select("*", F.explode("items").alias("item"))
+    each = rules.select("*", F.explode("needed").alias("any_of"))
+    counted = (
+        each.select("*", F.explode("any_of").alias("item"))
         .join(in_sets, "item", "left")
-        .groupBy("items", "verdict", "confidence", "support")
-        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "item"))["item"].alias("item"))
-        .withColumnRenamed("items", "needed")
+        .groupBy("needed", "verdict", "confidence", "support", "any_of")
+        .agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
+    )
+    rarest = F.min(F.struct("n", "any_of"))["any_of"]
+    filed = (
+        counted.groupBy("needed", "verdict", "confidence", "support")
+        .agg(rarest.alias("any_of"))
+        .withColumn("item", F.explode("any_of"))
     )
     looked_up = sets.select("items", F.explode("items").alias("item")).join(filed, "item")
-    fitting = looked_up.where(F.size(F.array_except("needed", "items")) == 0)
-    order = F.struct(-F.col("confidence"), -F.col("support"), "needed", "verdict")
+    fitting = looked_up.where(F.forall("needed", lambda m: F.arrays_overlap(m, F.col("items"))))
+    found = F.transform("needed", lambda m: F.array_min(F.array_intersect(m, F.col("items"))))
+    order = F.struct(-F.col("confidence"), -F.col("support"), F.array_sort(found), "verdict")
     return fitting.groupBy("items").agg(F.min(order)["verdict"].alias("mined"))
 
 

@@ -109,6 +109,43 @@ def test_mined_rules_against_brute_force(spark):
     assert {"allow", "block"} == set(want)
 
 
+def test_equal_items_give_the_rules_of_brute_force(spark):
+    """Query names that come together only; pages without a label that have one of them."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(150):
+        host, lang = rng.choice(["spam", "news", "blog"]), rng.choice("ab")
+        tail = rng.choice(["", "?u=1&v=2&w=3", "?k&l"]) if i % 3 else rng.choice(["?v", "?w#x", "?l&u", "?k", ""])
+        rows.append((i, f"https://{host}.example.org/{lang}/{i}{tail}"))
+        if i % 3:
+            bad = "u=1" in tail and host != "news" or ("k&l" in tail and lang == "b")
+            labels.append((i, "block" if bad != (rng.random() < 0.05) else "allow"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    known = spark.createDataFrame(labels, "id long, label string")
+    limits = {"min_support": 0.05, "min_confidence": 0.75, "min_lift": 1.05}
+    got = {r.page_id: r.verdict for r in urls.judge_pages(pages, known, **limits).collect()}
+    host, path = urls.split_url(F.col("url"))
+    items = dict(pages.select("page_id", urls.url_items(F.col("url"), host, path)).collect())
+    by_id = dict(labels)
+    want = plain_verdicts([(items[i], by_id.get(i)) for i, _ in rows], *limits.values())
+    assert [got[i] for i, _ in rows] == want
+    assert "block" in want[::3]
+
+
+def test_a_long_url_repeated(spark):
+    """A third of the labels are one URL of forty words: its words are one item."""
+    words = [a + b for a in "abcde" for b in "fghijklm"]
+    rows = [(i, "https://x.example.org/" + "/".join(words)) for i in range(40)]
+    rows += [(40 + i, f"https://x.example.org/{w}") for i, w in enumerate(["aa", "bb"] * 40)]
+    rows += [(200, "https://y.example.org/af"), (201, "https://x.example.org/aa/q")]
+    labels = [(i, "block" if i < 40 else "allow") for i in range(120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    known = spark.createDataFrame(labels, "id long, label string")
+    got = {r.page_id: r.verdict for r in urls.judge_pages(pages, known).collect()}
+    assert all(got[i] == ("block" if i < 40 else "allow") for i in range(120))
+    assert (got[200], got[201]) == ("block", "allow")
+
+
 def test_op10_on_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
     got = {r.page_id: r for r in entry.queries()["op10_url_rules"](spark, sf).collect()}
