@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import as_of_day, iso_day, month_key, weekday_name
 from shelfcast.functions.text import trim_text_columns
+from shelfcast.sources import published
 from shelfcast.sources.tables import read_table, replace_partitions
 
 # Fixed values of the audit and placeholder rows.
@@ -187,21 +188,18 @@ def replay_audit(
     return load_audit(later.select(*landing.columns), destination, as_of, trim=False)
 
 
-def merge_into_table(
+def merged_partitions(
+    main: DataFrame,
     landing: DataFrame,
-    main_path: str,
     trim: bool = False,
     placeholder: bool = False,
     upto: Column | None = None,
-) -> None:
-    """Fold the newest landing file into a stored table, touching only its own dates.
+) -> DataFrame:
+    """All rows of the partitions of ``main`` that the newest landing file changes.
 
-    All changed dates go out in one write.  Rows that the file does not restate but that share
-    a partition with new ones are written again: those without a date, and those of the
-    placeholder's date.  The storage must commit a dynamic partition overwrite at once, or
-    readers must wait for it: the partitions are read and replaced in place.
+    Rows that the file does not restate but that share a partition with new ones are among
+    them: those without a date, and those of the placeholder's date.
     """
-    main = read_table(landing.sparkSession, main_path, landing.schema)
     newest = newest_file(main, landing, upto)
     changed = trim_text_columns(newest) if trim else newest
     undated = changed.where(F.col("date").isNull()).agg(F.count(F.lit(1))).scalar()
@@ -210,4 +208,36 @@ def merge_into_table(
         extra = placeholder_row(newest)
         same_day = main.where(F.col("date") == extra.agg(F.max("date")).scalar())
         changed = changed.unionByName(extra).unionByName(same_day)
-    replace_partitions(changed.unionByName(beside), main_path, ["date"])
+    return changed.unionByName(beside)
+
+
+def merge_into_table(
+    landing: DataFrame,
+    main_path: str,
+    trim: bool = False,
+    placeholder: bool = False,
+    upto: Column | None = None,
+) -> None:
+    """Fold the newest landing file into a stored table, touching only its own dates.
+
+    All changed dates go out in one write.  The storage must commit a dynamic partition
+    overwrite at once, or readers must wait for it: the partitions are read and replaced in
+    place.  :func:`merge_and_publish` asks neither.
+    """
+    main = read_table(landing.sparkSession, main_path, landing.schema)
+    replace_partitions(merged_partitions(main, landing, trim, placeholder, upto), main_path, ["date"])
+
+
+def merge_and_publish(
+    landing: DataFrame,
+    main_path: str,
+    trim: bool = False,
+    placeholder: bool = False,
+    upto: Column | None = None,
+) -> int:
+    """The same for a published table: readers see it before or after the file, never between."""
+    spark = landing.sparkSession
+    base = published.latest(spark, main_path)
+    main = published.read(spark, main_path, landing.schema, base)
+    changed = merged_partitions(main, landing, trim, placeholder, upto)
+    return published.publish(changed, main_path, ["date"], base)

@@ -27,13 +27,14 @@ from shelfcast.operators import (
     regressors,
     rolling,
     tuning,
+    upkeep,
     weekly,
 )
 from shelfcast.plans import batch, resume
 from shelfcast.plans import standins as given
 from shelfcast.plans.present import present
 from shelfcast.schemas import METRICS, PARAMETERS, PROMO, WEATHER
-from shelfcast.sources import dimensions, series_list, tables, weather
+from shelfcast.sources import dimensions, published, series_list, tables, weather
 from shelfcast.sources import sales as sales_source
 from shelfcast.sources.tables import latest_models, with_partition_day
 
@@ -185,6 +186,22 @@ def weekly_rows_stored(spark, sf):
     return tables.read_table(spark, path, rows.schema).select(*rows.columns)
 
 
+@query
+def weekly_upkeep(spark, sf):
+    """Weekly rows from stored cells: built from the first load, kept up when days are restated."""
+    sales_path, cells_path = fresh_path(spark, "sales"), fresh_path(spark, "cells")
+    lines = stored(given.sales(spark, sf))
+    last = lines.agg(F.max("date")).scalar()
+    first_load = lines.where(F.col("date") < F.date_sub(last, 30))
+    restated = lines.where(F.col("date") >= F.date_sub(last, 60))
+    restated = restated.withColumn("quantity", F.col("quantity") + 1)
+    for load in (first_load, restated):
+        published.publish(load, sales_path, ["date"])
+        upkeep.refresh_cells(spark, sales_path, lines.schema, cells_path)
+    schema = weekly.weekly_cells(sales_source.daily_sales(lines)).schema
+    return weekly.fill_weeks(upkeep.stored_cells(spark, cells_path, schema))
+
+
 @query
 def run_metrics_stored(spark, sf):
     """Result rows of two runs, appended and read again."""
@@ -276,6 +293,27 @@ def daily_sales_merge(spark, sf):
     return ingest.daily_merge(main, landing, trim=True, placeholder=True, upto=upto)
 
 
+def published_sales(spark, sf):
+    """Path and schema of the sales table: the seed is published, then the newest file."""
+    path = fresh_path(spark, "main-sales")
+    landing = stored(given.landing_sales(spark, sf))
+    published.publish(given.seeded_sales(landing), path, ["date"], note="seed")
+    ingest.merge_and_publish(landing, path, trim=True, placeholder=True)
+    return path, landing.schema
+
+
+@query
+def daily_sales_published(spark, sf):
+    path, schema = published_sales(spark, sf)
+    return published.read(spark, path, schema)
+
+
+@query
+def published_states(spark, sf):
+    """Partitions in each state of the sales table and how many it changed."""
+    return published.history(spark, published_sales(spark, sf)[0])
+
+
 @query
 def daily_stock_merge(spark, sf):
     landing = given.landing_stocks(spark, sf)

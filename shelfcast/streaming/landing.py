@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.functions.text import trim_text_columns
 from shelfcast.operators.ingest import FILE_DAY, replay
+from shelfcast.sources import published
 from shelfcast.sources.tables import read_table, replace_partitions
 
 
@@ -26,15 +27,16 @@ BATCH = "_batch"
 
 
 def fold_batch(
-    batch: DataFrame, main_path: str, arrived_path: str, batch_id: int, trim: bool = False
-) -> None:
+    batch: DataFrame, main_path: str, arrived_path: str, batch_id: int, trim: bool = False,
+    publish: bool = False,
+) -> None:
     """Fold one micro-batch of landing rows into the table at ``main_path``.
 
     ``arrived_path`` keeps the rows of all batches so far.  A file day that is there replaces
     stored rows of the same file day; stored rows of other file days take part as they are.
     The folder can be emptied whenever no file day is half arrived.  Partitions of the table are
     read and replaced in place: the storage must commit a dynamic partition overwrite at once, or
-    readers must wait for it.
+    readers must wait for it.  With ``publish`` the table is a published one, which asks neither.
     """
     spark = batch.sparkSession
     rows = trim_text_columns(batch) if trim else batch
@@ -55,11 +57,17 @@ def fold_batch(
 
     here = of_these_days(arrived).drop(BATCH)
     files = F.broadcast(arrived.select(FILE_DAY).distinct())
-    stored = of_these_days(read_table(spark, main_path, rows.schema)).join(
-        files, FILE_DAY, "left_anti"
-    )
+    base = published.latest(spark, main_path) if publish else None
+    if publish:
+        main = published.read(spark, main_path, rows.schema, base)
+    else:
+        main = read_table(spark, main_path, rows.schema)
+    stored = of_these_days(main).join(files, FILE_DAY, "left_anti")
     folded = replay(stored.select(*rows.columns).unionByName(here.select(*rows.columns)))
-    replace_partitions(folded, main_path, ["date"])
+    if publish:
+        published.publish(folded, main_path, ["date"], base, note=f"batch {batch_id}")
+    else:
+        replace_partitions(folded, main_path, ["date"])
 
 
 def fold_arriving_files(
@@ -70,6 +78,7 @@ def fold_arriving_files(
     checkpoint: str,
     trim: bool = False,
     max_files_per_batch: int = 1000,
+    publish: bool = False,
 ) -> StreamingQuery:
     """Fold everything that has arrived and stop; run again for what arrives later.
 
@@ -83,7 +92,7 @@ def fold_arriving_files(
     )
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        fold_batch(batch, main_path, f"{checkpoint}-arrived", batch_id, trim)
+        fold_batch(batch, main_path, f"{checkpoint}-arrived", batch_id, trim, publish)
 
     return (
         arriving.writeStream.foreachBatch(fold)
