@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from shelfcast.llm import shingle_overlap
+from shelfcast.llm import anchor_simhash, shingle_overlap
 
 
 def plain_set(text):
@@ -92,3 +92,21 @@ def test_long_bands_tell_resemblance_from_likeness(spark):
     assert {(4 * n, 4 * n + 1) for n in range(120)} <= met
     assert sum(b % 4 == 2 and a // 4 == b // 4 for a, b in met) <= 6
     assert not any((a % 4, b % 4) == (0, 3) for a, b in met) and all(a // 4 == b // 4 for a, b in met)
+
+
+def test_stage_links_by_anchors_first(spark, docs_frame, monkeypatch):
+    """Fingerprints two bits apart are one component, and overlap goes on from there."""
+    core = " ".join(f"c{i} d{i}" for i in range(40))
+    # the same shingles in other amounts: the fingerprint follows the repeated part
+    tails = [" ".join(f"t{n}u{i}" for i in range(30)) for n in range(3)]
+    texts = [(core + " ") * 60 + t for t in tails]
+    texts += [texts[2] + " " + " ".join(f"e{i}" for i in range(12)), "alone in the world"]
+    pairs = list(enumerate(texts))
+    fps = [anchor_simhash.fingerprint(t) for t in texts]
+    assert plain_kept(pairs) == [0, 1, 2, 4]  # by overlap alone
+    assert (fps[0] ^ fps[1]).bit_count() <= 2 and (fps[0] ^ fps[2]).bit_count() <= 2
+    seen, links = [], shingle_overlap.anchor_links
+    monkeypatch.setattr(shingle_overlap, "anchor_links", lambda f, bits: seen.append(bits) or links(f, bits))
+    stage = dict(corpus_pipeline.STAGES)["near-dedup"]
+    assert sorted(r.doc_id for r in stage(spark, docs_frame(pairs), None).collect()) == [0, 4]
+    assert seen == [anchor_simhash.MAX_BITS]
