@@ -147,13 +147,33 @@ def date_range(daily: DataFrame) -> DataFrame:
     )
 
 
-def series_gate(cells: DataFrame, validation_days: int = VALIDATION_DAYS) -> DataFrame:
-    """Per series: date range, days spanned, and whether that is enough to go on."""
+def line_cells(daily: DataFrame) -> DataFrame:
+    """Every sales row as a cell of its own, for :func:`series_gate` and :func:`series_status`.
+
+    Where a series has few rows a week, adding them up first would only shuffle them once more.
+    """
+    return daily.select(
+        *SERIES,
+        closing_sunday(F.col("ds")).alias("week"),
+        F.when(F.col("y") >= 0, 1).otherwise(0).cast("bigint").alias("kept_rows"),
+        F.col("ds").alias("first_day"),
+        F.col("ds").alias("last_day"),
+    )
+
+
+def series_gate(
+    cells: DataFrame, validation_days: int = VALIDATION_DAYS, *more: Column
+) -> DataFrame:
+    """Per series: date range, days spanned, and whether that is enough to go on.
+
+    ``more`` are further aggregates of the cells.
+    """
     needed = validation_days + EXTRA_DAYS
     ranged = cells.groupBy(*SERIES).agg(
         F.min("first_day").alias("min_date"),
         F.max("last_day").alias("max_date"),
         F.sum("kept_rows").alias("kept_rows"),
+        *more,
     )
     span = span_days(F.col("min_date"), F.col("max_date"))
     return ranged.withColumn("span_days", span).withColumn(
@@ -164,6 +184,24 @@ def series_gate(cells: DataFrame, validation_days: int = VALIDATION_DAYS) -> Dat
     )
 
 
+def series_status(cells: DataFrame, validation_days: int = VALIDATION_DAYS) -> DataFrame:
+    """What the data gate and the training gate say about each series.
+
+    The weeks between the first and the last are counted and not generated: series of single
+    customers have few cells, and years of empty weeks between them.  As in a join by the keys,
+    the training gate says nothing about a series with a missing key.
+    """
+    week = F.when(F.col("kept_rows") > 0, F.col("week"))
+    gate = series_gate(
+        cells, validation_days, F.min(week).alias("_first"), F.max(week).alias("_last")
+    )
+    held_weeks = max((validation_days - 1) // 7 + 1, 0)
+    train_weeks = F.datediff("_last", "_first") / 7 + 1 - held_weeks
+    named = F.concat(*SERIES).isNotNull()
+    short = F.when(named & (train_weeks < MIN_TRAIN_WEEKS), F.lit(SHORT_TRAIN))
+    return gate.select(*SERIES, F.coalesce("status", short, F.lit(SUCCESS)).alias("Status"))
+
+
 def split_holdout(weekly: DataFrame, validation_days: int = VALIDATION_DAYS) -> DataFrame:
     """Flag training weeks and describe the training part on every row of its series.
 

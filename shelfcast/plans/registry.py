@@ -605,7 +605,7 @@ def validation_plot(spark, sf):
 def run_summary(spark, sf):
     """Means over every series that passed the gates, and over those with a finite WAPE."""
     cells = stored(weekly.weekly_cells(daily(spark, sf)))
-    scored = evaluate.score(naive_comparison(spark, sf)).join(series_status(cells), KEYS)
+    scored = evaluate.score(naive_comparison(spark, sf)).join(weekly.series_status(cells), KEYS)
     finite = evaluate.mean_metrics(evaluate.finite_rows(scored, "WAPE"))
     finite = finite.select(F.lit("finite WAPE").alias("which"), "*")
     return evaluate.mean_metrics(scored).select(F.lit("all").alias("which"), "*").unionByName(finite)
@@ -615,17 +615,8 @@ def run_summary(spark, sf):
 def status_counts(spark, sf):
     """Series of single customers, by what the data gate and the training gate say."""
     by_customer = given.sales(spark, sf).withColumn("unit", F.col("customer_ID"))
-    cells = weekly.weekly_cells(sales_source.daily_sales(by_customer))
-    return evaluate.status_counts(series_status(cells))
-
-
-def series_status(cells):
-    """What the data gate and the training gate say about each series."""
-    gate = weekly.series_gate(cells).select(*KEYS, F.col("status").alias("gate"))
-    summary = weekly.split_summary(weekly.split_holdout(weekly.fill_weeks(cells)))
-    joined = gate.join(summary.select(*KEYS, "status"), KEYS, "left")
-    status = F.coalesce("gate", "status", F.lit(weekly.SUCCESS))
-    return joined.select(*KEYS, status.alias("Status"))
+    cells = weekly.line_cells(sales_source.daily_sales(by_customer))
+    return evaluate.status_counts(weekly.series_status(cells))
 
 
 # --- tuning -------------------------------------------------------------------------------

@@ -133,3 +133,28 @@ def test_hot_series_and_partitioning_change_nothing(spark, daily_frame):
     alone = rows(weekly.weekly_features(daily.where("SKU_ID = 'hot'")), "SKU_ID", "ds", "y", "y_lag1")
     assert [r for r in one if r[0] == "hot"] == alone
     assert sum(r[2] for r in alone) == 3000
+
+
+def test_status_of_series_without_their_weeks(spark, daily_frame):
+    """The same as by the weeks in between, which are not made; a missing key has no training gate."""
+    rows = [("gone", "2024-01-01", -1, 0), ("gone", "2024-05-01", -1, 0), ("once", "2024-01-01", 5, 0)]
+    rows += [(f"s{n}", day, 5, 0) for n in range(60, 120, 3)
+             for day in ("2024-01-01", str(D(2024, 1, 1) + dt.timedelta(n)))]
+    daily = daily_frame(rows)
+    daily = daily.unionByName(daily.where("SKU_ID = 's60'").withColumn("Unit", F.lit(None).cast("string")))
+    cells = weekly.weekly_cells(daily)
+    keys = ["SKU_ID", "Channel", "Unit"]
+    for held in (0, 7, 8, 14, 21):
+        long_way = weekly.split_summary(weekly.split_holdout(weekly.fill_weeks(cells), held))
+        gate = weekly.series_gate(cells, held).withColumnRenamed("status", "gate")
+        want = gate.join(long_way.select(*keys, "status"), keys, "left").select(
+            *keys, F.coalesce("gate", "status", F.lit(weekly.SUCCESS))
+        )
+        want = sorted(map(str, want.collect()))
+        for given in (cells, weekly.line_cells(daily)):
+            got = weekly.series_status(given, held)
+            assert [r.replace("Status=", "") for r in sorted(map(str, got.collect()))] == [
+                r.replace("coalesce(gate, status, Success)=", "") for r in want
+            ]
+    plan = weekly.series_status(weekly.line_cells(daily))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan and plan.count("Exchange") == 1
