@@ -128,9 +128,12 @@ def load_audit(
     ``trim`` cleans the file name, as the sales load does and the stock load does not.
     """
     name = F.trim("filename") if trim else F.col("filename")
+    # Counted by name first: a maximum of texts sorts what it reads, which are then a few names.
     return (
-        rows.groupBy(FILE_DAY)
-        .agg(F.max(name).alias("file_name"), F.count(F.lit(1)).alias("n"))
+        rows.groupBy(FILE_DAY, name.alias("file_name"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(FILE_DAY)
+        .agg(F.max("file_name").alias("file_name"), F.sum("n").alias("n"))
         .select(
             iso_day(as_of_day(as_of)).alias("ingestion_date"),
             "file_name",

@@ -202,3 +202,18 @@ def test_arriving_batch_reads_only_near_partitions(spark, folder):
     after = {p.name: p.stat().st_mtime_ns for p in Path(path).glob("date=*")}
     assert {n for n in before if before[n] != after[n]} == {"date=2024-01-05"}
     assert tables.read_table(spark, path).where("date = '2024-01-05'").first().stock == 50.0
+
+
+def test_audit_sorts_names_and_not_rows(spark):
+    """Rows are counted by hash under each name; the largest name of a file day is found among names."""
+    rows = spark.createDataFrame(
+        [(D(2024, 1, 7), n) for n in ("b.csv", "a.csv", None, "b.csv ")] + [(D(2024, 1, 14), None)],
+        "filename_end_date date, filename string",
+    )
+    got = ingest.load_audit(rows, "main", "2024-02-01", trim=False)
+    assert [(r.file_name, r.no_of_records) for r in got.orderBy("date_from_file_name").collect()] == [
+        ("b.csv ", 4), (None, 1),
+    ]
+    first = got._jdf.queryExecution().executedPlan().toString().strip().splitlines()
+    first = [line for line in first if "Aggregate" in line or "Sort" in line]
+    assert "HashAggregate" in first[-1] and "HashAggregate" in first[-2]
