@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions.dates import closing_sunday, weekday_name
+from shelfcast.durable import spread
+from shelfcast.functions.dates import closing_sunday, month_key, weekday_name
 from shelfcast.schemas import WEATHER
 from shelfcast.operators.ingest import seed_except_month
 from shelfcast.sources.dimensions import GOODS_NUMBERS, GOODS_TEXTS, goods_attributes
@@ -146,9 +147,10 @@ def landing_stocks(spark: SparkSession, sf: str) -> DataFrame:
     last = _read(spark, sf, "lineitem").agg(F.max("l_shipdate")).scalar().cast("date")
     days = F.array(*[F.date_sub(closing_sunday(last), 7 * k) for k in range(STOCK_SUNDAYS)])
     numbers = F.array(*[F.lit(n + 1) for n in range(len(WAREHOUSES))])
-    spread = (
-        _read(spark, sf, "part")
-        .select("p_partkey", "p_retailprice", F.explode(days).alias("date"))
+    # one row becomes 70: a few files' splits would be as many tasks with all of them
+    parts = spread(_read(spark, sf, "part").select("p_partkey", "p_retailprice"), [])
+    rows = (
+        parts.select("p_partkey", "p_retailprice", F.explode(days).alias("date"))
         .select("*", F.explode(numbers).alias("warehouse_no"))
         .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("restated"))
     )
@@ -157,7 +159,7 @@ def landing_stocks(spark: SparkSession, sf: str) -> DataFrame:
         + F.col("restated")
     ).cast("double")
     file_day = F.date_add("date", F.col("restated") * 7)
-    return spread.select(
+    return rows.select(
         "date",
         F.concat(F.lit("W"), F.col("warehouse_no").cast("string")).alias("warehouse"),
         F.col("p_partkey").cast("string").alias("SKU_ID"),

@@ -165,3 +165,10 @@ def test_shared_folder_is_the_one_the_cluster_names():
         durable.shared_folder(session("spark://m:7077"))
     local = durable.shared_folder(session("local[2]"))
     assert local == durable.shared_folder(session("local[2]"))
+
+
+def test_stock_rows_are_made_in_many_tasks(spark, sf):
+    """A part makes 70 stock rows: they are not all made in the task that reads the parts."""
+    from shelfcast.plans import standins
+
+    assert standins.landing_stocks(spark, sf).rdd.getNumPartitions() >= 8
