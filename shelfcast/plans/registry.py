@@ -294,11 +294,14 @@ def daily_sales_merge(spark, sf):
 
 
 def published_sales(spark, sf):
-    """Path and schema of the sales table: the seed is published, then the newest file."""
+    """Path and schema of the sales table: the seed is published, then the newest file.
+
+    Files of the seed are in the table and never newer than it, so only the others are written.
+    """
     path = fresh_path(spark, "main-sales")
-    landing = stored(given.landing_sales(spark, sf))
+    landing = given.landing_sales(spark, sf)
     published.publish(given.seeded_sales(landing), path, ["date"], note="seed")
-    ingest.merge_and_publish(landing, path, trim=True, placeholder=True)
+    ingest.merge_and_publish(stored(given.unseeded_sales(landing)), path, trim=True, placeholder=True)
     return path, landing.schema
 
 

@@ -32,6 +32,9 @@ WAREHOUSES = [
 
 STOCK_SUNDAYS = 5
 
+#: The month whose files the seed of the sales table leaves out.
+SEED_WITHOUT = "2001-11"
+
 
 #: Columns of the test tables that are used; a given schema spares a job per read.
 TABLES = {
@@ -139,7 +142,12 @@ def landing_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 def seeded_sales(landing: DataFrame) -> DataFrame:
     """The clean sales table before the newest file: every file but November 2001's."""
-    return seed_except_month(landing, "2001-11")
+    return seed_except_month(landing, SEED_WITHOUT)
+
+
+def unseeded_sales(landing: DataFrame) -> DataFrame:
+    """All that :func:`seeded_sales` leaves out, rows of no file day among it."""
+    return landing.where(F.coalesce(month_key(F.col("filename_end_date")) == SEED_WITHOUT, F.lit(True)))
 
 
 def landing_stocks(spark: SparkSession, sf: str) -> DataFrame:
