@@ -410,15 +410,16 @@ def frozen_stocks(spark, sf):
 # --- stock cover --------------------------------------------------------------------------
 
 
-def combinations(spark, sf, sales=None, **kw):
-    sales = stored(given.sku_sales(spark, sf)) if sales is None else sales
+def combinations(spark, sf, forecasts=None, **kw):
+    """Only the window of the sales is written, and of the stocks nothing: one day of them is used."""
+    sales = given.sku_sales(spark, sf)
     return inventory.report_by_combination(
-        sales,
-        stored(ingest.replay(given.landing_stocks(spark, sf))),
+        stored(inventory.recent_sales(sales, AS_OF)),
+        ingest.replay(given.landing_stocks(spark, sf)),
         given.customers(spark, sf),
         given.goods(spark, sf),
         given.catalog(spark, sf),
-        given.forecasts(spark, sf, sales),
+        given.forecasts(spark, sf, sales) if forecasts is None else forecasts,
         given.warehouse_map(spark, sf),
         as_of=AS_OF,
         **kw,
@@ -447,18 +448,14 @@ def report_with_forecast(spark, sf):
 
 @query
 def report_sku_overlap(spark, sf):
-    sales = stored(given.sku_sales(spark, sf))
-    return inventory.skus_with_any_forecast(
-        combinations(spark, sf, sales), given.forecasts(spark, sf, sales)
-    )
+    forecasts = given.forecasts(spark, sf, given.sku_sales(spark, sf))
+    return inventory.skus_with_any_forecast(combinations(spark, sf, forecasts), forecasts)
 
 
 @query
 def forecast_vs_report(spark, sf):
-    sales = stored(given.sku_sales(spark, sf))
-    return inventory.forecast_beside_report(
-        given.forecasts(spark, sf, sales), combinations(spark, sf, sales)
-    )
+    forecasts = stored(given.forecasts(spark, sf, given.sku_sales(spark, sf)))
+    return inventory.forecast_beside_report(forecasts, combinations(spark, sf, forecasts))
 
 
 @query
