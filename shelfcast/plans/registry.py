@@ -287,7 +287,7 @@ def daily_sales_seed(spark, sf):
 @query
 def daily_sales_merge(spark, sf):
     landing = stored(given.landing_sales(spark, sf))
-    main = stored(given.seeded_sales(landing))
+    main = given.seeded_sales(landing)
     audit = ingest.load_audit(main, "main_sales", AS_OF)
     upto = ingest.loaded_upto(audit, "main_sales")
     return ingest.daily_merge(main, landing, trim=True, placeholder=True, upto=upto)

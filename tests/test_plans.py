@@ -79,3 +79,24 @@ def test_inputs_of_merge_and_report_are_read_once(spark, sf):
     for name in ("daily_sales_merge", "stock_cover_report"):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
         assert "l_shipdate" not in plan and "o_custkey" not in plan, name
+
+
+def test_report_writes_the_window_only(spark, sf, monkeypatch):
+    """The report uses 16 days of the sales and one of the stocks, and writes no more aside."""
+    from shelfcast.operators import inventory
+    from shelfcast.plans import registry, standins
+
+    written, stored = [], registry.stored
+    monkeypatch.setattr(registry, "stored", lambda df: written.append(stored(df)) or written[-1])
+    assert registry.report(spark, sf).count() > 0
+    window = inventory.recent_sales(standins.sku_sales(spark, sf), registry.AS_OF)
+    assert [w.count() for w in written] == [window.count()]
+
+
+def test_merge_writes_the_landing_rows_once(spark, sf, monkeypatch):
+    from shelfcast.plans import registry
+
+    written, stored = [], registry.stored
+    monkeypatch.setattr(registry, "stored", lambda df: written.append(df) or stored(df))
+    registry.QUERIES["daily_sales_merge"](spark, sf)
+    assert len(written) == 1
