@@ -86,3 +86,22 @@ def test_rows_of_figures_stay(spark, docs_frame):
     got = {r.doc_id: r.text for r in line_templates.dedup_lines(docs_frame([*enumerate(texts)])).collect()}
     # the line with words recurs with other figures, the row of equal figures as it is
     assert got == {0: texts[0], 1: texts[1].removesuffix("\nTotal of page 1\n1 2 3")}
+
+
+def test_lines_are_parsed_once(spark, docs_frame):
+    """The condition on the number of tokens masks and splits no line a second time."""
+    rows = line_templates.numbered_rows(docs_frame([(1, "a b c 4")]), "doc_id", "text")
+    plan = line_templates.hashed_lines(rows, 3)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any(w in line for line in filters for w in ("split(", "<*>"))
+
+
+def test_tokens_with_letters_are_counted(spark):
+    lines = ["", "a", " a\t- b--\x0b7 x9 ", "É | 日本\r..\x0c--", "-", "a b", "  ,,,,  b  <*> ß1", "  a\u0085 ."]
+    frame = spark.createDataFrame([(line,) for line in lines], "line string")
+    spaced = line_templates.spaced_line(frame.line)
+    n = line_templates.F.size(line_templates.tokens_of(spaced))
+    got = frame.select("line", n, line_templates.lettered_count(spaced, n)).collect()
+    for line, tokens, lettered in got:
+        words = re.findall(r"[^\x20\x09-\x0D]+", line)
+        assert (tokens, lettered) == (len(words), sum(any(c.isalpha() for c in w) for w in words))
