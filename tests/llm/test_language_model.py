@@ -114,3 +114,14 @@ def test_discarded_tables_are_gone_and_others_stay(spark, tmp_path):
     assert not spark.read.format("binaryFile").option("pathGlobFilter", "*").load(
         other.inputFiles()[0].rsplit("/", 2)[0]
     ).where("path like '%gone-%'").count()
+
+
+def test_gradients_of_equal_rows_are_added_as_numpy_does():
+    """Bit by bit what ``reduceat`` gives, over groups of one row up to many."""
+    rng = np.random.default_rng(7)
+    for sizes in ([1], [9], [1, 2, 3, 7, 8, 9, 10, 200, 1, 1, 2], rng.integers(1, 30, 200), [1] * 50, [8] * 5):
+        ends = np.cumsum(sizes)
+        values = rng.normal(size=(ends[-1], 33)).astype(np.float32)
+        order, starts = rng.permutation(ends[-1]), ends - np.array(sizes)
+        want = np.add.reduceat(values[order], starts, axis=0)
+        assert np.array_equal(hashed_maxent.group_sums(values, order, starts), want)
