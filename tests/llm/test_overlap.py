@@ -110,3 +110,23 @@ def test_stage_links_by_anchors_first(spark, docs_frame, monkeypatch):
     stage = dict(corpus_pipeline.STAGES)["near-dedup"]
     assert sorted(r.doc_id for r in stage(spark, docs_frame(pairs), None).collect()) == [0, 4]
     assert seen == [anchor_simhash.MAX_BITS]
+
+
+def test_rare_shingles_find_every_similar_pair(spark):
+    """Groups around a core: all pairs at 0.8 or more meet, by a fifth of the shingles, few others do."""
+    rng, sets = random.Random(5), []
+    for group in range(4):
+        core = [rng.randrange(1 << 60) for _ in range(60)]
+        for _ in range(60):
+            own = rng.randint(0, 30)
+            sets.append({*rng.sample(core, 60 - rng.randint(0, 4)), *(rng.randrange(1 << 60) for _ in range(own))})
+    sets += [{7}, {7, 8}, set()]
+    rows = [(n, n, shingle_overlap.np.array(sorted(s), "<u8").tobytes()) for n, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "same long, root long, hashes binary").repartition(7)
+    members = shingle_overlap.fine_members(frame)
+    held = {r.same: r["count"] for r in members.groupBy("same").count().collect()}
+    assert all(held.get(n, 0) <= len(s) // 5 + 1 for n, s in enumerate(sets))
+    met = {(r.a, r.b) for r in shingle_overlap.across(members, 0.8).collect()}
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j) if sets[j]]
+    similar = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert len(similar) > 100 and similar <= met and len(met) < 3 * len(similar)
