@@ -61,13 +61,19 @@ class _Posterior:
         self.ridge = np.hstack([level, 1.0 / effect_scale**2])
         self.bend = np.asarray(bend_scale, float)[:, None]
         width = self.columns.shape[1]
-        self.upper = np.triu_indices(width)
-        i, j = self.upper
-        self.pairs = self.columns[:, i] * self.columns[:, j]
+        i, j = np.triu_indices(width)
+        pairs = self.columns[:, i] * self.columns[:, j]
+        # which factor weighs a pair of columns: 0 both of the trend, 1 mixed, 2 both effects
+        block = (i >= self.q).astype(int) + (j >= self.q)
+        #: products of pairs of columns, by factor, and where each entry of a full matrix finds its own
+        self.pairs = [pairs[:, block == k] for k in range(3)]
+        number = np.empty(len(i), int)
+        number[np.argsort(block, kind="stable")] = np.arange(len(i))
+        self.entry = np.empty((width, width), int)
+        self.entry[i, j] = self.entry[j, i] = number
+        self.entry = self.entry.ravel()
         #: sums of products, which in the additive form do not depend on the coefficients
-        self.gram = None if multiplicative else self.pairs.sum(axis=0)
-        #: which factor weighs a pair of columns: 0 both of the trend, 1 mixed, 2 both effects
-        self.block = (i >= self.q).astype(int) + (j >= self.q)
+        self.gram = None if multiplicative else np.concatenate([pairs.sum(axis=0)[block == k] for k in range(3)])[self.entry]
 
     def only(self, rows):
         part = object.__new__(_Posterior)
@@ -108,16 +114,15 @@ class _Posterior:
         if self.multiplicative:
             residual = self.y - level * effect
             moment = np.hstack([(residual * effect) @ self.trend, (residual * level) @ self.x])
-            packed = np.empty((len(w), self.pairs.shape[1]))
             mixed = effect * level
             if near is not None:
                 mixed = mixed - np.where(near[:, None], residual, 0.0)
-            for block, weight in enumerate((effect * effect, mixed, level * level)):
-                packed[:, self.block == block] = weight @ self.pairs[:, self.block == block]
+            factors = (effect * effect, mixed, level * level)
+            packed = np.concatenate([f @ p for f, p in zip(factors, self.pairs)], axis=1)
         else:
             residual = self.y - level - effect
             moment = residual @ self.columns
-            packed = np.broadcast_to(self.gram, (len(w), self.pairs.shape[1]))
+            packed = None
         rss = (residual**2).sum(axis=1)
         v, slope = self._noise(rss)
         root = np.sqrt(w[:, 2 : self.q] ** 2 + rounding**2)
@@ -126,9 +131,12 @@ class _Posterior:
         curve = self.ridge.copy()
         curve[:, 2 : self.q] += rounding**2 / root**3 / self.bend
         width = w.shape[1]
-        hessian = np.empty((len(w), width, width))
-        hessian[:, self.upper[0], self.upper[1]] = packed / v[:, None]
-        hessian[:, self.upper[1], self.upper[0]] = packed / v[:, None]
+        if packed is None:
+            hessian = self.gram / v[:, None]
+        else:
+            packed /= v[:, None]
+            hessian = packed.take(self.entry, axis=1)
+        hessian = hessian.reshape(len(w), width, width)
         index = np.arange(width)
         hessian[:, index, index] += curve + 1e-10
         both = np.linalg.solve(hessian, np.stack([-gradient, moment], axis=2))
