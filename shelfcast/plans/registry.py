@@ -299,10 +299,11 @@ def published_sales(spark, sf):
     Files of the seed are in the table and never newer than it, so only the others are written.
     """
     path = fresh_path(spark, "main-sales")
-    landing = given.landing_sales(spark, sf)
-    published.publish(given.seeded_sales(landing), path, ["date"], note="seed")
-    ingest.merge_and_publish(stored(given.unseeded_sales(landing)), path, trim=True, placeholder=True)
-    return path, landing.schema
+    seed = given.seeded_sales(given.landing_sales(spark, sf))
+    published.publish(seed, path, ["date"], note="seed", slices=published.slices_for(seed))
+    late = stored(given.unseeded_sales(given.landing_sales(spark, sf, given.unseeded)))
+    ingest.merge_and_publish(late, path, trim=True, placeholder=True)
+    return path, seed.schema
 
 
 @query

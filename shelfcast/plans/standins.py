@@ -7,6 +7,8 @@ hint, so Spark decides from sizes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,13 +106,20 @@ def sku_sales(spark: SparkSession, sf: str) -> DataFrame:
     return sales(spark, sf, "p_partkey")
 
 
-def landing_sales(spark: SparkSession, sf: str) -> DataFrame:
-    """Weekly files of all sales; open lines come again, restated, in the next file."""
+def landing_sales(
+    spark: SparkSession, sf: str, of_files: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Weekly files of all sales; open lines come again, restated, in the next file.
+
+    ``of_files``: condition on a file's day; lines in no such file are left out before any join.
+    """
     lines = sku_sales(spark, sf)
     own_file = closing_sunday(F.col("date"))
     files = F.when(
         F.col("l_linestatus") == "O", F.array(own_file, F.date_add(own_file, 7))
     ).otherwise(F.array(own_file))
+    if of_files is not None:
+        lines = lines.where(F.exists(files, of_files))
     filed = lines.select("*", F.posexplode(files).alias("_restated", "filename_end_date"))
 
     def padded(name: str) -> Column:
@@ -145,9 +154,14 @@ def seeded_sales(landing: DataFrame) -> DataFrame:
     return seed_except_month(landing, SEED_WITHOUT)
 
 
+def unseeded(file_day: Column) -> Column:
+    """Whether the seed leaves a file out; no file day counts as left out."""
+    return F.coalesce(month_key(file_day) == SEED_WITHOUT, F.lit(True))
+
+
 def unseeded_sales(landing: DataFrame) -> DataFrame:
     """All that :func:`seeded_sales` leaves out, rows of no file day among it."""
-    return landing.where(F.coalesce(month_key(F.col("filename_end_date")) == SEED_WITHOUT, F.lit(True)))
+    return landing.where(unseeded(F.col("filename_end_date")))
 
 
 def landing_stocks(spark: SparkSession, sf: str) -> DataFrame:

@@ -50,8 +50,11 @@ def with_partition_day(df: DataFrame, source: str, name: str) -> DataFrame:
     return df.withColumn(name, F.to_date(F.col(source)))
 
 
-def append(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    _spread(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+def append(
+    df: DataFrame, path: str, partition_by: list[str], compression: str | None = None
+) -> None:
+    writer = _spread(df, partition_by).write.mode("append").partitionBy(*partition_by)
+    writer.parquet(path, compression=compression)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str]) -> None:
