@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.durable import spread
+from shelfcast.durable import settle, spread
 from shelfcast.functions.dates import closing_sunday, month_key, weekday_name
 from shelfcast.schemas import WEATHER
 from shelfcast.operators.ingest import seed_except_month
@@ -166,7 +166,9 @@ def unseeded_sales(landing: DataFrame) -> DataFrame:
 
 def landing_stocks(spark: SparkSession, sf: str) -> DataFrame:
     """Stock of every part and warehouse on five Sundays; each file restates the last one."""
-    last = _read(spark, sf, "lineitem").agg(F.max("l_shipdate")).scalar().cast("date")
+    # every use of the rows would look for the last day among all lines
+    last = _read(spark, sf, "lineitem").agg(F.max("l_shipdate").cast("date").alias("last"))
+    last = settle(last, "last-day").scalar()
     days = F.array(*[F.date_sub(closing_sunday(last), 7 * k) for k in range(STOCK_SUNDAYS)])
     numbers = F.array(*[F.lit(n + 1) for n in range(len(WAREHOUSES))])
     # one row becomes 70: a few files' splits would be as many tasks with all of them
@@ -259,7 +261,10 @@ def goods(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forecasts(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
-    """Forecasts for each channel and unit a part was sold in; small sizes are not planned."""
+    """Forecasts for each channel and unit a part was sold in; small sizes are not planned.
+
+    Written once: reports read them several times, and they are made from all lines.
+    """
     sold = lines.select(F.col("SKU_ID").alias("sku_id"), "channel", "unit").distinct()
     part = (
         _read(spark, sf, "part")
@@ -267,13 +272,14 @@ def forecasts(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
         .select(F.col("p_partkey").cast("string").alias("sku_id"), "p_size")
     )
     kind = F.when(F.col("p_size") > 25, "Accurate").otherwise("Rough")
-    return sold.join(part, "sku_id").select(
+    planned = sold.join(part, "sku_id").select(
         "sku_id",
         "channel",
         "unit",
         (F.col("p_size") * 14).cast("double").alias("predicted_quantity"),
         kind.alias("Type of Forecast"),
     )
+    return settle(planned, "forecasts")
 
 
 def series_list(spark: SparkSession, sf: str) -> DataFrame:
